@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, token_orc
+from . import bpe, exact_dedup, jaccard, lm_score, mixing, pii, quality, token_counts, token_orc, toxicity
 from .shared import shared_path
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -19,6 +19,35 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_tokens(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return mixed.selectExpr("doc_id", "mix_size AS size", "source_size", "target", "taken")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).drop("judged_sha")
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(documents(spark, sf_dir)))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(documents(spark, sf_dir), size=3, percent=90)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -41,6 +70,13 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_encoding": op1_bpe_encoding,
+    "op2_source_mixing": op2_source_mixing,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_personal_data": op4_personal_data,
+    "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_token_counts": op7_token_counts,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_orc": op10_token_orc,
 }
