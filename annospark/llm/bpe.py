@@ -1,15 +1,18 @@
 """Byte-level BPE encoding and decoding of whole texts.
 
 The distinct pre-tokens of a batch form a trie. It is walked depth first (in sorted order, so only the path from the root to
-the current word is held), and every node keeps one state: the last token of the encoding of its prefix. A state follows from
+the current word is held), and every node keeps one state: the last token of the encoding of its prefix (with the tokens that
+may go on from there). A state follows from
 those of shorter prefixes, hence a prefix shared by many words is encoded once. A word's encoding is read off by stepping
 back from its last state.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -18,11 +21,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-#: The pre-token pattern of byte-level BPE.
+#: The pre-token pattern of byte-level BPE, and all white space but the plain space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WHITE = "\t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
-#: Pre-tokens whose encodings a Python worker keeps before it starts anew.
-CACHE_WORDS = 400_000
+#: Strings whose encodings a Python worker keeps before it starts anew.
+CACHE_STRINGS = 800_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -32,102 +36,139 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class ByteBPE:
-    """Encoder and decoder for the contents of a byte-level ``tokenizer.json``."""
+class TrieBPE:
+    """Encoder and decoder for the contents of a byte-level ``tokenizer.json``.
+
+    Texts are cut into strings that don't influence each other, each encoded once and kept: a plain space with no white space
+    next to it begins a pre-token, so most texts are cut before each space, and others into their pre-tokens.
+    """
 
     def __init__(self, contents: bytes) -> None:
         spec = json.loads(contents)
+        self.special = {x["content"]: np.uint32(x["id"]).tobytes() for x in spec["added_tokens"]}
+        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self.find = regex.compile(PRE_TOKEN).findall
+        self.mixed = ["  ", *(w + " " for w in WHITE)]
+        self.spaced: dict[str, bytes] = {}  # by what follows the space
+        self.plain: dict[str, bytes] = {"": b""}
         letters = _byte_letters()
         vocabulary = spec["model"]["vocab"]
-        self.ids = {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items() if all(c in letters for c in piece)}
-        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.ids = {piece: i for piece, i in self.ids.items() if i not in set(self.special.values())}
-        self.pieces = [b""] * (1 + max(*self.ids.values(), *self.special.values()))
-        for piece, i in self.ids.items():
+        special = {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
+        ids = {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items() if i not in special and all(c in letters for c in piece)}
+        self.pieces = [b""] * (1 + max(*ids.values(), *special))
+        for i, piece in [*((i, piece) for piece, i in ids.items()), *special.items()]:
             self.pieces[i] = piece
-        for text, i in self.special.items():
-            self.pieces[i] = text.encode()
         merges = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         self.merges = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(merges)}
-        self.longest = max(map(len, self.ids))
-        self.adjacent: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.find = regex.compile(PRE_TOKEN).findall
-        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
-
-    def merged(self, symbols: list[int]) -> list[int]:
-        """Plain BPE: joins the pair of lowest rank until none is left."""
-        while len(symbols) > 1:
-            none = (len(self.merges), -1)
-            rank, new = min(self.merges.get(pair, none) for pair in zip(symbols, symbols[1:]))
-            if new < 0:
-                break
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and self.merges.get((symbols[i], symbols[i + 1]), none)[0] == rank:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return symbols
+        self.parts = {i: ((i, i), -1) for i in ids.values()} | {new: (pair, rank) for pair, (rank, new) in self.merges.items()}
+        self.tokens: list = [None, {}]  # the tokens by their bytes: a token's id (if these bytes are one), and what may follow
+        for piece, i in ids.items():
+            node = self.tokens
+            for byte in piece:
+                node = node[1].setdefault(byte, [None, {}])
+            node[0] = i
+        self.known: dict[str, bytes] = {}  # by pre-token
+        self.adjacent: dict[int, bool] = {}
 
     def stands(self, a: int, b: int) -> bool:
-        """Whether token ``b`` can follow ``a`` in an encoding."""
-        if (known := self.adjacent.get((a, b))) is None:
-            known = self.adjacent[a, b] = self.merged([self.ids[bytes([x])] for x in self.pieces[a] + self.pieces[b]]) == [a, b]
-        return known
-
-    def learn(self, fresh: set[str]) -> None:
+        """Whether token ``b`` can follow ``a`` in an encoding.
+
+        It can unless two parts on either side of the border would have been merged before one of them was used up on its
+        own side. Going back in time, the side made last is undone first; of merges of one rank the left one comes first.
+        """
+        key, used, none = a << 20 | b, len(self.merges), (len(self.merges), -1)
+        while True:
+            if self.merges.get((a, b), none)[0] < used:
+                self.adjacent[key] = False
+                return False
+            (before, made_a), (after, made_b) = self.parts[a], self.parts[b]
+            if made_a < 0 and made_b < 0:
+                self.adjacent[key] = True
+                return True
+            if made_a > made_b:
+                a, used = before[1], made_a
+            else:
+                b, used = after[0], made_b + 1
+
+    def walk(self, fresh: set[str]) -> None:
         """Encodes distinct pre-tokens in one depth-first walk over their trie."""
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known.clear()
-        if len(self.adjacent) > 4 * CACHE_WORDS:
+        if len(self.adjacent) > 4 * CACHE_STRINGS:
             self.adjacent.clear()
-        path, last, begin = b"", [], []  # of each prefix of the path: its last token, and where that starts
+        known, stands, first = self.adjacent.get, self.stands, self.tokens[1]
+        # of each prefix of the path: its last token, where that starts, and the tokens that may go on from it
+        path, last, begin, open_tokens = b"", [], [], [[]]
         for word, text in sorted((t.encode(), t) for t in fresh):
-            same = next((i for i, (x, y) in enumerate(zip(path, word)) if x != y), min(len(path), len(word)))
-            del last[same:], begin[same:]
-            for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - self.longest), end):
-                    token = self.ids.get(word[start:end])
-                    if token is not None and (not start or self.stands(last[start - 1], token)):
-                        last.append(token)
-                        begin.append(start)
-                        break
+            same = 0
+            for x, y in zip(path, word):
+                if x != y:
+                    break
+                same += 1
+            del last[same:], begin[same:], open_tokens[same + 1 :]
+            going = open_tokens[-1]
+            for at in range(same, len(word)):
+                byte = word[at]
+                going = [(start, longer) for start, node in going if (longer := node[1].get(byte))]
+                going.append((at, first[byte]))
+                for start, node in going:
+                    if (token := node[0]) is not None:
+                        if not start:
+                            break
+                        fits = known(last[start - 1] << 20 | token)
+                        if stands(last[start - 1], token) if fits is None else fits:
+                            break
+                last.append(token)
+                begin.append(start)
+                open_tokens.append(going)
             path, ids, end = word, [], len(word)
             while end:
                 ids.append(last[end - 1])
                 end = begin[end - 1]
-            self.known[text] = np.array(ids[::-1], "<u4").tobytes()
+            ids.reverse()
+            self.known[text] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def cut(self, text: str) -> tuple[list[str], list[str]]:
+        """Strings as they are, and strings that a space precedes."""
+        if any(m in text for m in self.mixed):
+            return self.find(text), []
+        first, *rest = text.split(" ")
+        return [first], rest
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Token ids of each text as little-endian 32-bit integers. The strings of special tokens count as those tokens."""
-        parts = [self.split(t) if t and self.split else [t or ""] for t in texts]
-        found = [[[p] if i % 2 else self.find(p) for i, p in enumerate(ps)] for ps in parts]
-        fresh = {w for ps in found for i, p in enumerate(ps) if not i % 2 for w in p if w not in self.known}
-        if fresh:
-            if len(self.known) + len(fresh) > CACHE_WORDS:  # then learn() forgets what it knew
-                fresh = {w for ps in found for i, p in enumerate(ps) if not i % 2 for w in p}
-            self.learn(fresh)
-        get = self.known.__getitem__
-        special = {t: np.uint32(i).tobytes() for t, i in self.special.items()}
-        return [b"".join(special[p[0]] if i % 2 else b"".join(map(get, p)) for i, p in enumerate(ps)) for ps in found]
+        parts = [[p if i % 2 else self.cut(p) for i, p in enumerate(self.split(t or "") if self.split else [t or ""])] for t in texts]
+        if len(self.spaced) + len(self.plain) > CACHE_STRINGS:
+            self.spaced.clear()
+            self.plain = {"": b""}
+        cuts = [c for ps in parts for c in ps[::2]]
+        for known, place, space in ((self.plain, 0, ""), (self.spaced, 1, " ")):
+            fresh = list(set().union(*(c[place] for c in cuts)).difference(known))
+            if fresh:
+                known.update(zip(fresh, self.encode_strings([space + x for x in fresh])))
+        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
+        return [b"".join(self.special[p] if i % 2 else b"".join((*map(plain, p[0]), *map(spaced, p[1]))) for i, p in enumerate(ps)) for ps in parts]
+
+    def encode_strings(self, strings: list[str]) -> list[bytes]:
+        found = [self.find(x) for x in strings]
+        if len(self.known) > CACHE_STRINGS // 2:
+            self.known.clear()
+        self.walk({p for ps in found for p in ps}.difference(self.known))
+        known = self.known.__getitem__
+        return [known(ps[0]) if len(ps) == 1 else b"".join(map(known, ps)) for ps in found]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as :meth:`encode` gives them; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_loaded: dict[bytes, ByteBPE] = {}
+_loaded: dict[bytes, TrieBPE] = {}
 
 
-def tokenizer(contents: bytes) -> ByteBPE:
+def tokenizer(contents: bytes) -> TrieBPE:
     """The worker's encoder for these file contents; it stays with its cache from task to task."""
     key = hashlib.sha256(contents).digest()
     if key not in _loaded:
-        _loaded[key] = ByteBPE(contents)
+        _loaded[key] = TrieBPE(contents)
+        gc.freeze()  # the vocabulary stays, so collections needn't visit it
     return _loaded[key]
 
 
