@@ -24,11 +24,22 @@ def _rate(text: Column) -> Column:
     return F.when((ratio > 0) & (ratio < F.lit(float("inf"))), ratio)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _median_gap(pts: Column) -> Column:
-    gaps = F.array_sort(F.transform(F.sequence(F.lit(2), F.size(pts)), lambda i: F.element_at(pts, i) - F.element_at(pts, i - 1)))
-    n = F.size(gaps)
-    middle = (F.element_at(gaps, F.floor((n + 1) / 2).cast("int")) + F.element_at(gaps, F.floor(n / 2).cast("int") + 1)) / 2.0
-    return F.when(F.size(pts) > 1, middle)
+    middle = lambda g: (F.element_at(g, F.floor((F.size(g) + 1) / 2).cast("int")) + F.element_at(g, F.floor(F.size(g) / 2).cast("int") + 1)) / 2.0
+    gaps = lambda p: F.array_sort(F.zip_with(F.slice(p, F.lit(2), F.size(p) - 1), F.slice(p, F.lit(1), F.size(p) - 1), lambda x, y: x - y))
+    return _let(pts, lambda p: F.when(F.size(p) > 1, _let(gaps(p), middle)))
+
+
+def _frame_times(frames: Column, start: Column) -> Column:
+    """Distinct ascending milliseconds from the stream's start, or else from the earliest frame."""
+    times = F.filter(F.transform(frames, lambda f: finite(f["best_effort_timestamp_time"])), lambda t: t.isNotNull())
+    since = lambda ts, origin: F.filter(F.transform(ts, lambda t: half_even((t - origin) * 1000)), lambda t: t >= 0)
+    return F.array_sort(F.array_distinct(_let(F.coalesce(times, F.expr("cast(array() as array<double>)")), lambda ts: _let(F.coalesce(finite(start), F.array_min(ts)), lambda origin: since(ts, origin)))))
 
 
 def normalise(probes: DataFrame, column: str = "probe") -> tuple[DataFrame, DataFrame]:
@@ -38,13 +49,9 @@ def normalise(probes: DataFrame, column: str = "probe") -> tuple[DataFrame, Data
     frame; earlier ones go; they are distinct and ascending. Rates come from the stream, else from the median gap.
     """
     parsed = probes.withColumn("p", F.from_json(column, PROBE)).withColumn("stream", F.try_element_at("p.streams", F.lit(1)))
-    times = F.filter(F.transform("p.frames", lambda f: finite(f["best_effort_timestamp_time"])), lambda t: t.isNotNull())
-    rows = parsed.withColumn("times", F.coalesce(times, F.expr("cast(array() as array<double>)")))
-    origin = F.coalesce(finite(F.col("stream.start_time")), F.array_min("times"))
-    rows = rows.withColumn("origin", origin)
-    pts = F.array_sort(F.array_distinct(F.filter(F.transform("times", lambda t: half_even((t - F.col("origin")) * 1000)), lambda t: t >= 0)))
-    rows = rows.withColumn("pts", pts).withColumn("duration_ms", F.coalesce(_duration(F.col("stream.duration")), _duration(F.col("p.format.duration"))))
-    rows = rows.withColumn("nominal_fps", F.coalesce(_rate(F.col("stream.avg_frame_rate")), F.lit(1000.0) / F.when(_median_gap(F.col("pts")) > 0, _median_gap(F.col("pts")))))
+    rows = parsed.withColumn("pts", _frame_times(F.col("p.frames"), F.col("stream.start_time")))
+    rows = rows.withColumn("duration_ms", F.coalesce(_duration(F.col("stream.duration")), _duration(F.col("p.format.duration"))))
+    rows = rows.withColumn("nominal_fps", F.coalesce(_rate(F.col("stream.avg_frame_rate")), _let(_median_gap(F.col("pts")), lambda gap: F.when(gap > 0, F.lit(1000.0) / gap))))
     rows = rows.withColumn("width", F.col("stream.width").try_cast("int")).withColumn("height", F.col("stream.height").try_cast("int"))
     code = (
         F.when(F.coalesce(F.size("p.streams"), F.lit(0)) != 1, "not_one_stream")

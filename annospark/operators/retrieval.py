@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def rerank(queries: DataFrame, documents: DataFrame, top_n: int, query_limit: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(1)))
+            batch = batch.filter(pc.is_valid(batch.column(1)))
             if not batch.num_rows or not ids:
                 continue
             doc = batch.column(0)
@@ -77,8 +78,6 @@ def rerank(queries: DataFrame, documents: DataFrame, top_n: int, query_limit: in
             best = order[np.argsort(-scores[:, order], axis=1, kind="stable")[:, :top_n]]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids), best.shape[1])), doc.take(pa.array(best.ravel())), pa.array(np.take_along_axis(scores, best, axis=1).ravel())], names=["query_id", "doc_id", "score"])
 
-    import pyarrow.compute  # noqa: F401  (pa.compute)
-
     found = kept.mapInArrow(run, f"query_id {queries.schema['query_id'].dataType.simpleString()}, doc_id {documents.schema['doc_id'].dataType.simpleString()}, score double")
     return top_by_score(found, "query_id", top_n)
 
@@ -113,7 +112,7 @@ def lexical_scores(query_weights: DataFrame, doc_weights: DataFrame, hot_salt: i
     ``hot_salt`` above 1 spreads each token over so many parts, with the query side repeated: for stop words.
     """
     docs = doc_weights.select("doc_id", "token", F.col("weight").alias("wd")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(hot_salt)))
-    queries = query_weights.select("query_id", "token", F.col("weight").alias("wq")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(hot_salt - 1))).cast("bigint"))
+    queries = query_weights.select("query_id", "token", F.col("weight").alias("wq")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(hot_salt - 1).cast("bigint"))))
     return docs.join(queries, ["token", "salt"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score"))
 
 

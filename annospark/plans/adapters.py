@@ -22,7 +22,7 @@ def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TIMED = """timed AS (SELECT 'user-' || user_id AS video_id, 'ev-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS segment_id, event_id, event_type, value,
-  epoch_ms(ts) - min(epoch_ms(ts)) OVER (PARTITION BY user_id) AS start_ms FROM events)"""
+  epoch_us(ts) // 1000 - min(epoch_us(ts) // 1000) OVER (PARTITION BY user_id) AS start_ms FROM events)"""
 
 
 def _segments(timed: DataFrame, end: F.Column) -> DataFrame:

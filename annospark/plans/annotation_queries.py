@@ -297,7 +297,7 @@ def boundary_requests(spark, sf_dir):
 def bad_requests(spark, sf_dir):
     t = a.timed_events(spark, sf_dir)
     made = t.select("video_id", F.col("segment_id").alias("request_id"), F.col("start_ms").alias("media_start_ms"), (F.col("start_ms") + F.when(F.col("event_id") % 5 == 0, 0).otherwise(10)).alias("media_end_ms"), F.array(F.col("start_ms") + F.when(F.col("event_id") % 7 == 0, 10).otherwise(9)).alias("sample_timestamps_ms"))
-    return requests.bad_requests(made).select("request_id", "code")
+    return requests.bad_requests(made).select(F.col("item_id").alias("request_id"), "code")
 
 
 # --- E: responses
