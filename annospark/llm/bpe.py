@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import os
 import struct
 from collections.abc import Iterator
 from pathlib import Path
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers import Tokenizer
 
 #: The pre-token pattern of byte-level BPE, and all white space but the plain space.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,11 +38,11 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class TrieBPE:
-    """Encoder and decoder for the contents of a byte-level ``tokenizer.json``.
+class CachedBPE:
+    """Byte-level BPE for the contents of a ``tokenizer.json``, by strings that don't influence each other.
 
-    Texts are cut into strings that don't influence each other, each encoded once and kept: a plain space with no white space
-    next to it begins a pre-token, so most texts are cut before each space, and others into their pre-tokens.
+    Each string is encoded once and kept. A plain space with no white space next to it begins a pre-token, so most texts are
+    cut before each space, and others into their pre-tokens.
     """
 
     def __init__(self, contents: bytes) -> None:
@@ -51,6 +53,38 @@ class TrieBPE:
         self.mixed = ["  ", *(w + " " for w in WHITE)]
         self.spaced: dict[str, bytes] = {}  # by what follows the space
         self.plain: dict[str, bytes] = {"": b""}
+
+    def encode_strings(self, strings: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def cut(self, text: str) -> tuple[list[str], list[str]]:
+        """Strings as they are, and strings that a space precedes."""
+        if any(m in text for m in self.mixed):
+            return self.find(text), []
+        first, *rest = text.split(" ")
+        return [first], rest
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Token ids of each text as little-endian 32-bit integers. The strings of special tokens count as those tokens."""
+        parts = [[p if i % 2 else self.cut(p) for i, p in enumerate(self.split(t or "") if self.split else [t or ""])] for t in texts]
+        if len(self.spaced) + len(self.plain) > CACHE_STRINGS:
+            self.spaced.clear()
+            self.plain = {"": b""}
+        cuts = [c for ps in parts for c in ps[::2]]
+        for known, place, space in ((self.plain, 0, ""), (self.spaced, 1, " ")):
+            fresh = list(set().union(*(c[place] for c in cuts)).difference(known))
+            if fresh:
+                known.update(zip(fresh, self.encode_strings([space + x for x in fresh])))
+        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
+        return [b"".join(self.special[p] if i % 2 else b"".join((*map(plain, p[0]), *map(spaced, p[1]))) for i, p in enumerate(ps)) for ps in parts]
+
+
+class TrieBPE(CachedBPE):
+    """Encoder by a walk over the trie of distinct pre-tokens, and decoder."""
+
+    def __init__(self, contents: bytes) -> None:
+        super().__init__(contents)
+        spec = json.loads(contents)
         letters = _byte_letters()
         vocabulary = spec["model"]["vocab"]
         special = {x["id"]: x["content"].encode() for x in spec["added_tokens"]}
@@ -126,27 +160,6 @@ class TrieBPE:
             ids.reverse()
             self.known[text] = struct.pack(f"<{len(ids)}I", *ids)
 
-    def cut(self, text: str) -> tuple[list[str], list[str]]:
-        """Strings as they are, and strings that a space precedes."""
-        if any(m in text for m in self.mixed):
-            return self.find(text), []
-        first, *rest = text.split(" ")
-        return [first], rest
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Token ids of each text as little-endian 32-bit integers. The strings of special tokens count as those tokens."""
-        parts = [[p if i % 2 else self.cut(p) for i, p in enumerate(self.split(t or "") if self.split else [t or ""])] for t in texts]
-        if len(self.spaced) + len(self.plain) > CACHE_STRINGS:
-            self.spaced.clear()
-            self.plain = {"": b""}
-        cuts = [c for ps in parts for c in ps[::2]]
-        for known, place, space in ((self.plain, 0, ""), (self.spaced, 1, " ")):
-            fresh = list(set().union(*(c[place] for c in cuts)).difference(known))
-            if fresh:
-                known.update(zip(fresh, self.encode_strings([space + x for x in fresh])))
-        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
-        return [b"".join(self.special[p] if i % 2 else b"".join((*map(plain, p[0]), *map(spaced, p[1]))) for i, p in enumerate(ps)) for ps in parts]
-
     def encode_strings(self, strings: list[str]) -> list[bytes]:
         found = [self.find(x) for x in strings]
         if len(self.known) > CACHE_STRINGS // 2:
@@ -160,14 +173,29 @@ class TrieBPE:
         return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_loaded: dict[bytes, TrieBPE] = {}
+class LibraryBPE(CachedBPE):
+    """Encoder that leaves the strings to the tokenizers library."""
+
+    def __init__(self, contents: bytes) -> None:
+        super().__init__(contents)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        self.library = Tokenizer.from_buffer(contents)
+        self.library.no_padding()
+        self.library.no_truncation()
+
+    def encode_strings(self, strings: list[str]) -> list[bytes]:
+        found = (x.ids for x in self.library.encode_batch_fast(strings, add_special_tokens=False))
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
+
+_loaded: dict[tuple[type, bytes], CachedBPE] = {}
 
 
-def tokenizer(contents: bytes) -> TrieBPE:
+def tokenizer(contents: bytes, kind: type[CachedBPE] = TrieBPE) -> CachedBPE:
     """The worker's encoder for these file contents; it stays with its cache from task to task."""
-    key = hashlib.sha256(contents).digest()
+    key = kind, hashlib.sha256(contents).digest()
     if key not in _loaded:
-        _loaded[key] = TrieBPE(contents)
+        _loaded[key] = kind(contents)
         gc.freeze()  # the vocabulary stays, so collections needn't visit it
     return _loaded[key]
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import groups, tokenizer, vocabulary
+from .bpe import LibraryBPE, groups, tokenizer, vocabulary
 
 #: Options of the ORC writer.
 STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1_000, 0.01
@@ -36,7 +36,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int,
     schema = ordered.limit(0).selectExpr(f"`{key}`", "file", "0L offset", "cast(null as array<int>) token_ids").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, before, end = tokenizer(held.value), 0, np.uint32(end_id).tobytes()
+        bpe, before, end = tokenizer(held.value, LibraryBPE), 0, np.uint32(end_id).tobytes()
         for batch in groups(batches):
             ids = [x + end for x in bpe.encode(batch.column(1).to_pylist())]
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
