@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,9 +23,9 @@ def duck():
 
 
 def plain(df):
-    df = df[sorted(df.columns)].copy()
+    df = df[sorted(df.columns)].astype(object)
     for c in df.columns:
-        df[c] = df[c].map(lambda x: None if x is None or x is np.nan or x != x else (round(float(x), 5) if isinstance(x, (int, float, np.number)) and not isinstance(x, bool) else str(x)))
+        df[c] = pd.Series([None if x is None or x is pd.NA or x != x else (round(float(x), 5) if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)) for x in df[c]], dtype=object)
     return sorted(map(tuple, df.itertuples(index=False)), key=repr)
 
 
