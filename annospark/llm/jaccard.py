@@ -32,7 +32,7 @@ from .shared import fitted, stored
 from .text import LOWER, flat, hashes, mixed, pieces, words
 
 #: Bits of a parity bitmap; members of a list that are compared as one block.
-BITS, BLOCK = 2048, 512
+BITS, BLOCK = 1024, 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
