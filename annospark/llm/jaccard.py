@@ -18,7 +18,7 @@ parity bitmap, which bounds the difference of two sets from below, and are decid
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -209,8 +209,13 @@ def shared_lists(rows: DataFrame) -> DataFrame:
     return rows.repartition(parts, "list_id").sortWithinPartitions("list_id", "node").mapInArrow(run, "list_id long, node long")
 
 
-def profiles(docs: DataFrame, chosen: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """``node, n, bitmap, elements`` of the sets of ``chosen`` (columns ``key, node``: one row of each node)."""
+def parity_bitmap(s: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def described(docs: DataFrame, chosen: DataFrame, describe: Callable[[np.ndarray], bytes], name: str, size: int, key: str, text: str) -> DataFrame:
+    """``node, n`` and a column ``name`` with what ``describe`` makes of a set, for the sets of ``chosen`` (columns ``key,
+    node``: one row of each node)."""
     mine = docs.select(key, text).join(fitted(chosen.select(key)), key, "left_semi").select(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,13 +223,9 @@ def profiles(docs: DataFrame, chosen: DataFrame, size: int, key: str, text: str)
         for batch in pieces(batches, text):
             found = {i: s for s in sets(*flat(batch.column(0)), size) if (i := _identity(s)) not in done}
             done |= set(found)
-            bitmaps = []
-            for s in found.values():
-                bits = np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS) & 1
-                bitmaps.append(np.packbits(bits.astype(np.uint8)).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([len(s) for s in found.values()], pa.int64()), pa.array(bitmaps, pa.binary()), pa.array([s.tobytes() for s in found.values()], pa.binary())], names=["node", "n", "bitmap", "elements"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([len(s) for s in found.values()], pa.int64()), pa.array([describe(s) for s in found.values()], pa.binary())], names=["node", "n", name])
 
-    return mine.mapInArrow(run, "node long, n long, bitmap binary, elements binary").dropDuplicates(["node"])
+    return mine.mapInArrow(run, f"node long, n long, {name} binary").dropDuplicates(["node"])
 
 
 def _may_link(rule: Threshold, n: np.ndarray, maps: np.ndarray, m: int, bitmap: np.ndarray) -> np.ndarray:
@@ -321,8 +322,13 @@ def rest_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     return placed.groupBy("pair").applyInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets_of: DataFrame, rule: Threshold) -> DataFrame:
-    """The pairs that do link."""
+def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, rule: Threshold, size: int, key: str, text: str) -> DataFrame:
+    """The pairs that do link. Whole sets are made from the texts again, for the nodes of ``pairs`` alone: few members of
+    lists are left by then."""
+    pairs = stored(pairs, "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(chosen.join(ends, "node", "left_semi"), "wanted")
+    sets_of = stored(described(docs, wanted, np.ndarray.tobytes, "elements", size, key, text), "sets")
     mine = pairs.join(sets_of.select(F.col("node").alias("a"), F.col("elements").alias("first")), "a")
     both = mine.join(sets_of.select(F.col("node").alias("b"), F.col("elements").alias("second")), "b").select("a", "b", "first", "second")
 
@@ -351,12 +357,11 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 80, key: str
     lists = stored(shared_lists(postings(docs, size, rule, text)), "lists")
     found = lists.select("node").distinct()
     chosen = stored(rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min(key).alias(key)).join(found, "node", "left_semi"), "chosen")
-    sets_of = stored(profiles(docs, chosen, size, key, text), "sets")
-    members = stored(lists.join(sets_of.select("node", "n", "bitmap"), "node"), "members")
-    links = stored(verified(leader_pairs(members, rule), sets_of, rule), "leader-links")
+    members = stored(lists.join(described(docs, chosen, parity_bitmap, "bitmap", size, key, text), "node"), "members")
+    links = stored(verified(leader_pairs(members, rule), docs, chosen, rule, size, key, text), "leader-links")
     parts = stored(components(links), "components")
     placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = stored(verified(rest_pairs(placed, rule), sets_of, rule), "rest-links")
+    more = stored(verified(rest_pairs(placed, rule), docs, chosen, rule, size, key, text), "rest-links")
     if not more.isEmpty():
         parts = stored(components(links.union(more)), "components")
     of = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
