@@ -335,8 +335,8 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, rule: Thresho
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 joint = np.sort(np.concatenate([x, y]))
                 common = int((joint[1:] == joint[:-1]).sum())
                 keep.append(100 * common >= rule.percent * (len(x) + len(y) - common))

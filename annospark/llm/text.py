@@ -22,7 +22,7 @@ _CODES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of whole rows with about ``limit`` bytes of text, so that arrays per byte stay small."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
