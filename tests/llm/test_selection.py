@@ -136,3 +136,28 @@ def test_junk_is_rejected_and_clean_kept(spark):
     junk = [(1000 + i, " ".join("".join(r.choice(list("#$%&|<>*"), 6)) for _ in range(150)), "en") for i in range(5)]
     found = {x.doc_id: x.kept for x in quality.judge(spark.createDataFrame(clean + junk, "doc_id bigint, text string, lang string")).collect()}
     assert all(found[i] for i, *_ in clean) and not any(found[i] for i, *_ in junk)
+
+
+def test_bands_reject_bad_rows_of_every_language(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = d.select("doc_id", "lang").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("quality is not null")
+    found = quality.judge(d).where("not base_failed").join(labels, "doc_id").groupBy("lang", "quality").agg(F.count_if(~F.col("kept")).alias("out"), F.count("*").alias("n")).collect()
+    share = {(r.lang, r.quality): r.out / r.n for r in found}
+    print({(r.lang, r.quality): f"{r.out}/{r.n}" for r in found})
+    for lang in ("de", "en", "es", "fr"):
+        assert share[lang, 0] > 0.25 and share[lang, 1] < 0.04, (lang, share)
+
+
+def test_small_languages_have_the_pooled_band(spark):
+    r = np.random.default_rng(3)
+    vocabulary = ["".join(r.choice(list("etaoinshrdlu"), n)) for n in r.integers(2, 9, 400)]
+    clean = [(i, " ".join(r.choice(vocabulary, 150)), "xx" if i < 3 else "en") for i in range(200)]
+    junk = [(1000, " ".join("".join(r.choice(list("#$%&|<>*"), 6)) for _ in range(150)), "xx")]
+    found = {x.doc_id: x for x in quality.judge(spark.createDataFrame(clean + junk, "doc_id bigint, text string, lang string")).collect()}
+    assert not found[1000].kept and all(found[i].kept for i in range(3)) and found[0].lowest is not None
+
+
+def test_letters_outside_ascii_have_classes():
+    of = lambda t: quality.grams(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[-1]
+    letters = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþß"
+    assert len({of(x) for x in letters}) == len(letters) and of("é") == of("É") and len({of(x) for x in "абвгд"}) == 5
