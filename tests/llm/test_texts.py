@@ -62,6 +62,14 @@ def test_copies_are_no_evidence(spark):
     assert not any(r.terms for r in pii.find_personal_data(docs).collect())
 
 
+def test_entities_seen_once_are_scored_by_kind_and_terms_marked_anywhere(spark):
+    rows = [(i, f"Zorblax said {'some words ' * 60} {'abcde'[i]}{i}@{'abcde'[i]}host{i}.org number{i}") for i in range(5)] + [(50, "here Zorblax is named, and zorblax again")] + [(100 + i, f"plain words said {i}") for i in range(200)]
+    found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all([(t.first, t.last) for t in found[i].terms if t.entity == "Zorblax"] == [(0, 7)] for i in range(5))
+    assert [(t.first, t.last, t.entity) for t in found[50].terms] == [(5, 12, "Zorblax"), (27, 34, "zorblax")]
+    assert not any(found[100 + i].terms for i in range(200))
+
+
 def test_gradients_match_differences():
     net = toxicity.Network(3, state=3, width=2, words=12, trigrams=9, dtype=np.float64)
     r = np.random.default_rng(0)
