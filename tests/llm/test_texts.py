@@ -70,6 +70,14 @@ def test_entities_seen_once_are_scored_by_kind_and_terms_marked_anywhere(spark):
     assert not any(found[100 + i].terms for i in range(200))
 
 
+def test_copies_hide_no_term(spark):
+    filler = ["the report was sent on time", "a meeting took place in town", "nothing new to say here", "the work goes on as planned"]
+    texts = [f"{x} Zorblax z@corp.example.com" for x in filler]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(10 + i, texts[0]) for i in range(300)] + [(0, texts[0])] * 2 + [(1000 + i, f"other {i}") for i in range(60)]
+    found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert all([t.entity for t in found[i].terms] == ["Zorblax"] for i in (0, 1, 2, 3, 10, 309))
+
+
 def test_gradients_match_differences():
     net = toxicity.Network(3, state=3, width=2, words=12, trigrams=9, dtype=np.float64)
     r = np.random.default_rng(0)
