@@ -5,6 +5,7 @@ import difflib
 from pyspark.sql import functions as F
 
 from annospark.operators import batch, evals, prompts, retrieval, serving
+from annospark.plans import catalog
 
 
 def test_chat_formats_without_asking(spark):
@@ -29,6 +30,14 @@ def test_prefixed_match(spark):
     assert row.match_ratio == difflib.SequenceMatcher(None, "xyz", "xyy").ratio() / 2 and row.passed
 
 
+def test_prefixed_match_query_reads_whole_answers(spark, tmp_path):
+    texts = ["".join(chr(97 + (i * k * k + i) % 23) for i in range(n)) for k, n in ((1, 40), (2, 500), (3, 900))]
+    spark.createDataFrame([(k, 0, "user", t) for k, t in enumerate(texts)], "conv_id bigint, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    row = catalog.QUERIES["eval_prefixed_match"](spark, str(tmp_path)).first()
+    want = sum(difflib.SequenceMatcher(None, t[3:], t[5:]).ratio() for t in texts[1:]) / 3
+    assert row.n == 3 and abs(row.match_ratio - want) < 1e-8
+
+
 def test_long_text_is_cut_in_37(spark):
     docs = spark.createDataFrame([(1, "w " * 150_000)], "doc_id int, text string")
     assert retrieval.text_chunks(docs, 4096, 200_000).count() == 37
