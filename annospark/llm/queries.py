@@ -45,7 +45,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_score.score_documents(documents(spark, sf_dir))
+    return lm_score.score_whole(documents(spark, sf_dir))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

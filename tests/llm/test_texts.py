@@ -144,3 +144,33 @@ def test_stupid_backoff(spark):
         assert abs(r.log_score - want[r.doc_id]) < 1e-2
         assert (r.mean_log_score is None) == (r.n_words == 0)
     assert lm_score.score_documents(docs.limit(0)).count() == 0
+
+
+def test_whole_counts_keep_rare_words_and_trigrams(spark):
+    texts = ["a b a b c", "a b c", "rare words here", None, "", "a b c", "a " * 2000, "once", "a b rare"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "b c")]
+    shown = [(i, ["<s>", "<s>", *(t or "").split()]) for i, t in rows]
+    grams = lambda n: Counter(tuple(w[i : i + n]) for _, w in shown if len(w) > 2 for i in range(len(w) - n + 1))
+    count = {n: grams(n) for n in (1, 2, 3)}
+
+    def backed_off(g):
+        if len(g) == 1:
+            return count[1][g] / sum(n for w, n in count[1].items() if w != ("<s>",))
+        return count[len(g)][g] / count[len(g) - 1][g[:-1]] if count[len(g)][g] else 0.4 * backed_off(g[1:])
+
+    want = {i: sum(math.log(backed_off(tuple(w[k - 2 : k + 1]))) for k in range(2, len(w))) for i, w in shown}
+    found = lm_score.score_whole(spark.createDataFrame(rows, "doc_id bigint, text string"), parts=3).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert abs(r.log_score - want[r.doc_id]) < 1e-2 and (r.mean_log_score is None) == (r.n_words == 0)
+    assert lm_score.score_whole(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_hashes_travel_whole():
+    r = np.random.default_rng(5)
+    for parts in (1, 3, 400):
+        x = np.unique(r.integers(0, 1 << 64, 2000, dtype=np.uint64))
+        part = ((x >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        for p in np.unique(part).tolist():
+            own, begin = x[part == p], lm_score.part_begin(p, parts)
+            assert (lm_score.summed(lm_score.stepped(own, begin), begin) == own).all()
