@@ -31,7 +31,7 @@ def test_prefixed_match(spark):
 
 
 def test_prefixed_match_query_reads_whole_answers(spark, tmp_path):
-    texts = ["".join(chr(97 + (i * k * k + i) % 23) for i in range(n)) for k, n in ((1, 40), (2, 500), (3, 900))]
+    texts = ["".join(chr(0x4E00 + i * k) for i in range(n)) for k, n in ((1, 40), (2, 500), (3, 900))]
     spark.createDataFrame([(k, 0, "user", t) for k, t in enumerate(texts)], "conv_id bigint, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     row = catalog.QUERIES["eval_prefixed_match"](spark, str(tmp_path)).first()
     want = sum(difflib.SequenceMatcher(None, t[3:], t[5:]).ratio() for t in texts[1:]) / 3
