@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _fallback: list[str] = []
 
-#: Rows up to which a side whose size was counted is broadcast.
-BROADCAST_ROWS = 2_000_000
+#: Rows and bytes up to which a side that was measured is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every machine of the cluster can reach.
 
-    Where that setting is missing (tests on one machine) a temporary folder takes its place.
+    A session that runs on one machine (master ``local``) may leave the setting out and gets a temporary folder; elsewhere
+    that is an error, since executors would write where nobody reads.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         if not _fallback:
             _fallback.append("file://" + tempfile.mkdtemp(prefix="annospark-"))
         base = _fallback[0]
@@ -34,6 +38,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fitted(small: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``small`` with a broadcast hint if it was counted to hold at most ``limit`` rows, else as it is, for a shuffled join."""
-    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+def fitted(small: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``small`` with a broadcast hint if it was measured to hold at most ``limit`` rows and ``size`` bytes, else as it is, for a shuffled join.
+
+    Text counts by its length, any other column as 8 bytes; counting stops at ``limit`` rows.
+    """
+    width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in small.dtypes]
+    held = small.limit(limit + 1).select(sum(width, F.lit(0)).alias("width")).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
+    return F.broadcast(small) if held[0] <= limit and held[1] <= size else small
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with as many underscores as it takes to differ from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

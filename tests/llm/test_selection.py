@@ -33,7 +33,7 @@ def test_exact_duplicates(docs, rows, hashed):
     groups = defaultdict(list)
     for i, t, *_ in rows:
         groups[t or ""].append(i)
-    found = exact_dedup.exact_duplicates(docs, hashed=hashed, bucket_entries=4, bits=6).collect()
+    found = exact_dedup.exact_duplicates(docs, hashed=hashed, capacity=4).collect()
     want = Counter((i, max((x for x in groups[t or ""] if x is not None), default=None), len(groups[t or ""])) for i, t, *_ in rows)
     assert Counter((r.doc_id, r.keep_id, r.group_size) for r in found) == want
     assert all(r.kept == (r.doc_id == r.keep_id) for r in found)
@@ -45,6 +45,37 @@ def test_kept_rows_and_empty_table(docs, rows):
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
 
 
+def test_index_splits_only_overfull_buckets_and_chains_collisions(spark):
+    texts = [f"text {i}" for i in range(400)] + ["hot"] * 300 + ["", None] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    index = exact_dedup.build_index(docs, capacity=30).collect()
+    keys, depths = defaultdict(set), defaultdict(set)
+    for r in index:
+        keys[r.depth, r.bucket].add(r.key)
+        depths[r.bucket, r.depth].add((r.key % (1 << 64)) >> (64 - r.depth))
+    assert len(index) == len(texts) and len(keys) > 8 and all(len(v) <= 30 for v in keys.values())
+    assert all(v == {bucket} for (bucket, _), v in depths.items()) and len({d for d, _ in keys}) > 1
+    # one key for every three texts: they are told apart by their bytes, in owners and across salts
+    index = exact_dedup.build_index(docs, hashed=lambda t: F.pmod(F.xxhash64(t), F.lit(3)).cast("bigint"), capacity=30).collect()
+    chains = defaultdict(set)
+    for r in index:
+        chains[r.key, r.chain].add(r.sha)
+    assert len(chains) == 402 and all(len(v) == 1 for v in chains.values())
+    assert {r.group_size for r in index if r.sha == next(x.sha for x in index if x.id == 400)} == {300}
+
+
+def test_index_files_answer_look_ups(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "doc_id bigint, text string")
+    index = exact_dedup.write_index(docs, str(tmp_path / "index"))
+    asked = spark.createDataFrame([(9, "a"), (8, "c"), (7, "")], "doc_id bigint, text string")
+    assert sorted(map(tuple, exact_dedup.look_up(asked, index).collect())) == [(7, 4, 1), (9, 2, 2)]
+
+
+def test_dropping_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", "x", 5), (2, "a", "y", 6), (2, "a", "y", 6), (None, None, "z", 7)], "doc_id bigint, text string, lost_id string, lost_sha int")
+    assert sorted(map(tuple, exact_dedup.drop_exact_duplicates(docs).collect()), key=str) == [(2, "a", "y", 6), (2, "a", "y", 6), (None, None, "z", 7)]
+
+
 def filled(sizes):
     """Targets by repeated resharing."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
