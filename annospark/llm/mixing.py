@@ -52,10 +52,11 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 def _drawn(key: str, source: str, seed: int) -> tuple[Column, Column, Column]:
     """A row's exponential key, the range it falls in, and the value that breaks ties.
 
-    The uniform number comes from a hash of id, source and seed, so every run draws the same.
+    The uniform number comes from a digest of id, source and seed, so every run draws the same, here and in SQL.
     """
-    tie = F.xxhash64(F.col(key), F.col(source), F.lit(seed))
-    uniform = (F.shiftrightunsigned(tie, 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    text = F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col(source))
+    tie = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+    uniform = (tie + F.lit(0.5)) / F.lit(float(1 << 52))
     drawn = -F.log(uniform) / F.col("mix_quality")
     return drawn, F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-drawn)) * RANGES)).cast("int"), tie
 
@@ -66,7 +67,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     Sources in order of code points, null last, weigh ``weights`` in turn and share ``share`` of all sizes. A target stops at
     ``most`` times the source's size and the excess goes to the others by weight: all others are then one level times their
     weight. With sources in order of the level at which they stop, it is the words left over by the weight left over at the
-    first source that doesn't stop below. One row a source, so the order over all of them is a small sort.
+    first source that doesn't stop below. One row a source, and their order is global by definition: a sort of names in one task,
+    for up to millions of sources, not for a source to each document.
     """
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -130,7 +132,13 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     return placed.withColumn("taken", taken).drop("mix_quality", "mix_source", "epochs", "cut_range", "cut_key", "cut_tie", "cut_share", "mix_drawn", "mix_tie")
 
 
-def repeated(mixed: DataFrame) -> DataFrame:
-    """The rows of :func:`mix` as often as they are taken: a part counts as one more whole row, rows not taken go."""
+def mixture(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 7, **parameters) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns and values, whatever their names.
+
+    A part counts as one more whole row; rows not taken go, and so do those without words. Null sources, repeated rows and
+    empty tables as in :func:`mix`.
+    """
+    whole = docs.select(F.struct("*").alias("own"), F.col(key).alias("mix_id"), F.col(source).alias("mix_from"), F.col(text).alias("mix_text"))
+    mixed = mix(whole, "mix_id", "mix_from", "mix_text", seed, **parameters)
     times = F.ceil(F.col("taken") / F.greatest(F.col("mix_size"), F.lit(1))).cast("int")
-    return mixed.where("taken > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), times))).drop("mix_copy", "mix_size", "source_size", "target", "taken")
+    return mixed.where("taken > 0").select("own", F.explode(F.sequence(F.lit(1), times)).alias("copy")).select("own.*")

@@ -24,8 +24,33 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.selectExpr("doc_id", "mix_size AS size", "source_size", "target", "taken")
 
 
+#: Words, in DuckDB's regular expressions.
+WORD = r"[^\x20\x09-\x0D]+"
+
+OP2_SQL = rf"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS size, strlen(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS inside,
+    strlen(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS letters,
+    CAST('0x' || substring(md5(concat_ws('|', '7', CAST(doc_id AS VARCHAR), source)), 1, 13) AS BIGINT) AS tie
+  FROM documents),
+drawn AS (SELECT *, -ln((tie + 0.5) / 4503599627370496.0::DOUBLE) / CASE WHEN inside > 0 THEN greatest(0.05::DOUBLE, letters / inside::DOUBLE) ELSE 1::DOUBLE END AS drawn FROM sized),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY 1),
+weighed AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM sources),
+stops AS (SELECT *, 2.0::DOUBLE * source_size / weight AS stop, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM weighed),
+levels AS (SELECT *, (total - coalesce(sum(2.0::DOUBLE * source_size) OVER earlier, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+  FROM stops WINDOW earlier AS (ORDER BY stop, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+reached AS (SELECT *, max(CASE WHEN level <= stop THEN level END) OVER () AS reached FROM levels),
+aims AS (SELECT source, source_size, CASE WHEN stop <= reached THEN 2.0::DOUBLE * source_size ELSE coalesce(reached * weight, 2.0::DOUBLE * source_size) END AS target FROM reached),
+budgets AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(round(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM aims),
+summed AS (SELECT d.doc_id, d.size, b.source_size, b.target, b.epochs, CAST(round(b.target) AS BIGINT) - b.epochs * b.source_size AS budget,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.drawn, d.tie) AS upto
+  FROM drawn d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(epochs * size + least(size, greatest(0, budget - (upto - size))) AS BIGINT) AS taken FROM summed
+"""
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(documents(spark, sf_dir)).drop("judged_sha")
+    return quality.judge(documents(spark, sf_dir))
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +65,18 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(documents(spark, sf_dir), size=3, percent=90)
 
 
+OP6_SQL = rf"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM texts),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON r.other = l.x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+FROM sets s JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
 
@@ -48,6 +85,20 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_whole(documents(spark, sf_dir))
 
 
+OP8_SQL = rf"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+grams AS (SELECT doc_id, i, word AS c, lag(word) OVER t AS b, lag(word, 2) OVER t AS a, lead(word) OVER t IS NULL AS last FROM placed WINDOW t AS (PARTITION BY doc_id ORDER BY i)),
+contexts AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM grams UNION ALL SELECT b, c FROM grams WHERE last) GROUP BY 1, 2),
+trigrams AS (SELECT a, b, c, count(*) AS n FROM grams GROUP BY 1, 2, 3),
+steps AS (SELECT g.doc_id, sum(CAST(round(ln(t.n) * 1048576) AS BIGINT) - CAST(round(ln(x.n) * 1048576) AS BIGINT)) AS score FROM grams g
+  JOIN trigrams t ON g.a IS NOT DISTINCT FROM t.a AND g.b IS NOT DISTINCT FROM t.b AND g.c = t.c
+  JOIN contexts x ON g.a IS NOT DISTINCT FROM x.a AND g.b IS NOT DISTINCT FROM x.b GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(score, 0) AS DOUBLE) / 1048576 AS log_score, CASE WHEN len(w) > 0 THEN CAST(score AS DOUBLE) / len(w) / 1048576 END AS mean_log_score
+FROM texts LEFT JOIN steps USING (doc_id)
+"""
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -81,4 +132,5 @@ QUERIES = {
     "op10_token_orc": op10_token_orc,
 }
 
-SQL = {"op9_exact_dedup": OP9_SQL}
+#: The others have no SQL form: they rest on vocabulary files, fitted models or regular expressions that DuckDB lacks.
+SQL = {"op2_source_mixing": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op8_lm_scoring": OP8_SQL, "op9_exact_dedup": OP9_SQL}

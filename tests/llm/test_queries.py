@@ -1,0 +1,22 @@
+"""The queries with SQL against DuckDB."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from annospark.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for f in Path(FOLDER).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
+    want = con.execute(queries.SQL[name]).df().sort_values("doc_id").reset_index(drop=True)
+    found = queries.QUERIES[name](spark, FOLDER).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert sorted(found.columns) == sorted(want.columns) and len(found) == len(want) == 200
+    for c in want.columns:
+        assert found[c].equals(want[c].astype(found[c].dtype)), c

@@ -71,6 +71,13 @@ def test_index_files_answer_look_ups(spark, tmp_path):
     assert sorted(map(tuple, exact_dedup.look_up(asked, index).collect())) == [(7, 4, 1), (9, 2, 2)]
 
 
+def test_quality_keeps_values_of_columns_of_any_name(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, "en", -7, "mine", 2.0, "t"), (2, None, "en", 1, "x", 0.0, "u"), (None, text, None, 3, None, 4.0, "v")], "doc_id bigint, text string, lang string, n_words int, lowest string, log_perplexity double, own string")
+    assert sorted(map(tuple, quality.keep_good(docs).collect()), key=str) == [(1, text, "en", -7, "mine", 2.0, "t"), (None, text, None, 3, None, 4.0, "v")]
+    assert quality.keep_good(docs.limit(0)).count() == 0
+
+
 def test_dropping_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, "a", "x", 5), (2, "a", "y", 6), (2, "a", "y", 6), (None, None, "z", 7)], "doc_id bigint, text string, lost_id string, lost_sha int")
     assert sorted(map(tuple, exact_dedup.drop_exact_duplicates(docs).collect()), key=str) == [(2, "a", "y", 6), (2, "a", "y", 6), (None, None, "z", 7)]
@@ -106,10 +113,17 @@ def test_mix_meets_targets_and_repeats(docs, rows):
     again = {(r.doc_id, r.text, r.source): r.taken for r in mixing.mix(docs.repartition(2)).collect()}
     assert all(again[r.doc_id, r.text, r.source] == r.taken for r in found)
     assert mixing.mix(docs.limit(0)).count() == 0
-    copies = mixing.repeated(mixing.mix(docs))
+    copies = mixing.mixture(docs)
     assert copies.columns == docs.columns and copies.count() == sum(-(-r.taken // r.mix_size) for r in found if r.taken)
 
 
+def test_mixture_keeps_values_of_columns_of_any_name(spark):
+    rows = [(1, "a b c", "x", 9, "t", 1.5, "o"), (2, "d e f", "y", 8, "u", 2.5, None), (None, "g h", None, 7, None, None, "p"), (4, None, "x", 1, "v", 0.0, "q")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, taken int, target string, mix_size double, own string")
+    found = Counter(map(tuple, mixing.mixture(docs).collect()))
+    assert set(found) <= set(rows[:3]) and sum(found.values()) >= 4 and mixing.mixture(docs.limit(0)).columns == docs.columns
+
+
 def test_cut_follows_exponential_keys(docs):
     """In the fractional epoch the rows taken are the first by their keys."""
     sized = mixing.measured(docs)
@@ -140,24 +154,78 @@ def test_quality_counts_and_model(docs, rows):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in found)
 
 
-def test_kneser_ney_is_a_distribution_and_matches_plain_counts():
+def plain_kneser_ney(text_rows):
+    """Interpolated modified Kneser-Ney over letter classes with dictionaries; a function from four classes to a log probability."""
+    rows = [[0, 0, 0, *(int(quality._CLASS[x]) for x in t.encode())] for t in text_rows]
+    top = Counter(tuple(r[k - 3 : k + 1]) for r in rows for k in range(3, len(r)))
+    tables = [top]
+    for _ in range(3):
+        tables.append(Counter(g[1:] for g in tables[-1]))
+
+    def probability(gram):
+        if not gram:
+            return 1 / 32
+        table = tables[4 - len(gram)]
+        n = [max(1, sum(c == k for c in table.values())) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        cut = [0, *(min(k - 0.05, max(0.05, d)) for k, d in zip((1, 2, 3), (1 - 2 * y * n[1] / n[0], 2 - 3 * y * n[2] / n[1], 3 - 4 * y * n[3] / n[2])))]
+        after = [c for g, c in table.items() if g[:-1] == gram[:-1]]
+        if not after:
+            return probability(gram[1:])
+        spare = sum(cut[min(c, 3)] for c in after) / sum(after)
+        return max(table[gram] - cut[min(table[gram], 3)], 0) / sum(after) + spare * probability(gram[1:])
+
+    known = {}
+    return lambda t: -sum(math.log(known.get(g) or known.setdefault(g, probability(g))) for r in [[0, 0, 0, *(int(quality._CLASS[x]) for x in t.encode())]] for g in (tuple(r[k - 3 : k + 1]) for k in range(3, len(r)))) / max(1, len(t.encode()))
+
+
+def test_verdicts_equal_brute_force(spark, monkeypatch):
+    """Models, perplexities, bands and verdicts of a small corpus from dictionaries and sorted lists."""
+    monkeypatch.setattr(quality, "LANGUAGES", 2)
+    r = np.random.default_rng(6)
+    words = {x: ["".join(r.choice(list(letters), n)) for n in r.integers(2, 7, 60)] for x, letters in (("aa", "abcde"), ("bb", "efghé"), (None, "klmno"), ("cc", "pqr"))}
+    rows = [(i, " ".join(r.choice(words[x], 55)), x) for i, x in enumerate([*["aa"] * 24, *["bb"] * 22, *[None] * 4, *["cc"] * 3])]
+    rows += [(90, " ".join(r.choice(words["bb"], 60)), "aa"), (91, "zq " * 70, "bb"), (92, "".join(r.choice(list("#$ %&"), 400)), "aa"), (93, None, "aa"), (94, "short", "bb"), (95, " ".join(f"{k}:{k * 7919}" for k in range(60)), None)]
+    found = {x.doc_id: x for x in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)).collect()}
+    large, every = ["aa", "bb"], plain_kneser_ney([t or "" for _, t, _ in rows])  # the others have too few documents
+    own = {x: plain_kneser_ney([t or "" for _, t, y in rows if y == x]) for x in large}
+    score = {i: own.get(x, every)(t) for i, t, x in rows if t}
+    pooled = {i: every(t) for i, t, _ in rows if t}
+    for i, want in score.items():
+        assert math.isclose(found[i].log_perplexity, want, rel_tol=1e-5), i
+
+    def band(values):
+        middle = lambda v: sorted(v)[(len(v) + 1) // 2 - 1]
+        mid = middle([round(v * 2000) for v in values]) / 2000
+        spread = middle([round(abs(v - mid) * 2000) for v in values]) / 2000
+        return mid - max(0.05, quality.LOWER_BAND * 1.4826 * spread), mid + max(0.05, quality.UPPER_BAND * 1.4826 * spread)
+
+    passed = {i for i in score if not found[i].base_failed}
+    verdicts = Counter()
+    for i, _, x in rows:
+        low, high = band([score[j] for j, _, y in rows if y == x and j in passed] if x in large else [pooled[j] for j in passed])
+        want = i in passed and low <= score[i] <= high
+        verdicts[want, i in passed] += 1
+        assert found[i].kept == want, i
+    assert verdicts[False, True] and verdicts[True, True] and verdicts[False, False]
+
+
+def test_grams_do_not_depend_on_the_block():
+    r = np.random.default_rng(2)
+    data = np.frombuffer(bytes(r.choice(list(b"abcd e."), 300).tolist()), np.uint8)
+    offsets = np.array([0, 0, 2, 100, 101, 102, 103, 300, 300])
+    whole = quality.grams(data, offsets)
+    for step in (1, 2, 3, 7, 299):
+        assert (np.concatenate([quality.grams(data, offsets, a, min(300, a + step)) for a in range(0, 300, step)]) == whole).all()
+
+
+def test_kneser_ney_is_a_distribution():
     r = np.random.default_rng(2)
     data = np.frombuffer(bytes(r.choice(list(b"abcd e."), 3000).tolist()), np.uint8)
-    grams = quality.grams(data, np.array([0, 1000, 1000, 3000]))
-    keys, n = np.unique(grams, return_counts=True)
+    keys, n = np.unique(quality.grams(data, np.array([0, 1000, 1000, 3000])), return_counts=True)
     levels = quality.kneser_ney(keys, n)
-    logs = quality.unpacked(levels)
-    assert np.allclose(np.exp(logs.reshape(-1, quality.CLASSES)).sum(axis=1), 1, atol=1e-4)
-    # the highest order by hand for one n-gram, on top of the lower orders
-    top = {int(k): int(c) for k, c in zip(keys, n)}
-    key = max(top, key=top.get)
-    context = key // 32
-    following = {k: c for k, c in top.items() if k // 32 == context}
-    cut = quality._discounts(n)
-    lower = quality.unpacked(levels[:3])[key % 32**3]
-    spare = sum(cut[min(c, 3)] for c in following.values()) / sum(following.values())
-    want = (top[key] - cut[3]) / sum(following.values()) + spare * np.exp(lower)
-    assert math.isclose(np.exp(logs[key]), want, rel_tol=1e-4)
+    every = quality.log_probability(levels, np.arange(32**4)).reshape(-1, 32)
+    assert np.allclose(np.exp(every).sum(axis=1), 1, atol=1e-4)
 
 
 def test_junk_is_rejected_and_clean_kept(spark):
