@@ -15,34 +15,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import LibraryBPE, groups, tokenizer, vocabulary
+from .bpe import SLICE, LibraryBPE, tokenizer, vocabulary
+from .text import flat, pieces
 
-#: Options of the ORC writer.
+#: Options of the ORC writer; characters of text for a file, beyond the least number of files.
 STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1_000, 0.01
+FILE_CHARS = 256_000_000
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int, files: int | None = None, key: str = "doc_id", text: str = "text") -> None:
-    """Encodes each text, appends ``end_id`` and writes ``key, file, offset, token_ids`` in ascending order of ``key``.
+    """Encodes each text, appends ``end_id`` and writes ``key, file, offset, n_tokens, token_ids`` in ascending order of ``key``.
 
     ``file`` counts the files in that order and ``offset`` the ids in the file before the row; what precedes a file is the
     sum over those before it, so no task sees more than its own rows. Null keys come first; rows of equal key lie in order
     of the text's hash, so that a key with very many rows spans several files. Null texts hold just ``end_id``.
+    An empty table gives files without rows; other columns are left out. The number of files follows from the shuffle
+    partitions and the length of all texts.
     """
     spark = docs.sparkSession
     held = vocabulary(spark, vocabulary_path)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files is None:
+        chars = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0]
+        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // FILE_CHARS))
     tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     ordered = docs.select(key, text).repartitionByRange(files, F.col(key), tie).sortWithinPartitions(F.col(key), tie).withColumn("file", F.spark_partition_id())
-    schema = ordered.limit(0).selectExpr(f"`{key}`", "file", "0L offset", "cast(null as array<int>) token_ids").schema
+    schema = ordered.limit(0).selectExpr(f"`{key}`", "file", "0L offset", "0L n_tokens", "cast(null as array<int>) token_ids").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, before, end = tokenizer(held.value, LibraryBPE), 0, np.uint32(end_id).tobytes()
-        for batch in groups(batches):
-            ids = [x + end for x in bpe.encode(batch.column(1).to_pylist())]
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
-            tokens = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(before + offsets[:-1]), tokens], names=[key, "file", "offset", "token_ids"])
-            before += int(offsets[-1])
+        bpe, before = tokenizer(held.value, LibraryBPE), 0
+        for batch in pieces(batches, text, SLICE):
+            ids, at = bpe.encode(*flat(batch.column(1)))
+            n = np.diff(at) + 1
+            ended = np.insert(ids, at[1:], end_id)
+            upto = np.concatenate([[0], np.cumsum(n)])
+            tokens = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ended.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(before + upto[:-1]), pa.array(n), tokens], names=[key, "file", "offset", "n_tokens", "token_ids"])
+            before += int(upto[-1])
 
     options = {
         "orc.stripe.size": STRIPE_BYTES,
@@ -58,10 +66,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int,
 def read_tokens(spark, path: str) -> DataFrame:
     """The rows of such files with ``start``: the number of ids of all rows before.
 
-    Only ``file`` and lengths are read for the files' sums; there is one row a file in the table of what precedes each.
+    Of the ids none is read for the files' sums; there is one row a file in the table of what precedes each.
     """
     rows = spark.read.orc(path)
-    sums = rows.groupBy("file").agg(F.sum(F.size("token_ids")).alias("n"))
+    sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = sums.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     return rows.join(F.broadcast(before), "file").withColumn("start", F.col("before") + F.col("offset")).drop("before")
 
