@@ -2,37 +2,47 @@
 
 Equal sets are one node from the start, so copies cost nothing further. Nodes are then split by the size of their sets:
 
-* *Light* sets enumerate subsets of fixed size: two sets of sizes x and y that link share at least ``c(x, y)`` elements,
-  hence a subset of that size. Each set emits its subsets of the sizes that its possible partners ask for.
-* *Heavy* sets are put into inverted lists that are scanned. A list belongs to a *segment*, the elements of a set that fall
-  into one hash range; at a similarity this high two linked sets differ in so few elements that some segment is untouched,
-  hence equal in both. (A list for every single element would hold all documents that share one frequent passage.)
+* *Light* sets enumerate subsets of fixed size. Two sets of sizes x and y link exactly if they share a subset of ``overlap(x, y)``
+  elements, so what meets in a subset is a link, and nothing is left to verify. Those that meet are linked to the smallest of
+  them alone, which reaches all that any of them does.
+* *Heavy* sets are put into inverted lists, one for an element, and the lists are scanned. Elements have one order for all
+  sets, rare ones first; two linked sets have their first common element near the begin of both, so a set is put into the lists of its first
+  elements alone. Texts of one template that differ too much to link have their own elements there, and never meet.
 
-The boundary is the size up to which enumerating costs no more rows than segments do.
+The boundary is the size with the least cost for the small sets there are: rows of subsets against rows of lists and what
+scanning the shared ones takes, from counts of these sets and their elements.
+
+The order comes from counts of all elements, in a table of fixed size by hash; it need not be exact to be the same for all.
 
 In each list every member is compared with a leader, and a member that cannot link with any leader yet becomes the next one;
 links to leaders settle nearly everything. Members of one list that are still in different components are then compared
-pair by pair, so no link between components is lost; pairs inside a component need none. Pairs are ruled out by size and by a
-parity bitmap, which bounds the difference of two sets from below, and are decided on the sets themselves.
+pair by pair, so no link between components is lost; pairs inside a component need none. Pairs are ruled out by size, by their
+places in the list's order and by a parity bitmap, which bounds the difference of two sets from below, and are decided on the
+sets themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .shared import fitted, stored
+from .shared import fitted, stored, unused
 from .text import LOWER, flat, hashes, mixed, pieces, words
 
 #: Bits of a parity bitmap; members of a list that are compared as one block.
 BITS, BLOCK = 1024, 512
+#: Largest set that may be light, and most subsets it may have.
+SMALL, MOST_SUBSETS = 40, 1_000
+#: Counters for the order of elements (a power of two), and the chunks and tasks in which they are added up.
+COUNTERS, CHUNKS, MERGED = 1 << 18, 16, 64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,12 +51,8 @@ class Threshold:
 
     def __init__(self, percent: int) -> None:
         self.percent = percent
-        self.starts = [1]  # of size levels: partners of a set lie in its own level or a neighbouring one
-        self.light = 0
-        while self.subsets(self.light + 1) <= self.segment_rows(self.light + 1):
-            self.light += 1
 
-    def overlap(self, x: int, y: int) -> int:
+    def overlap(self, x, y):
         """Fewest common elements of linked sets of these sizes."""
         return -(-self.percent * (x + y) // (100 + self.percent))
 
@@ -54,37 +60,34 @@ class Threshold:
         """Sizes of sets that can link with one of size x."""
         return range(max(1, -(-self.percent * x // 100)), 100 * x // self.percent + 1)
 
-    def differ(self, total: int) -> int:
-        """Most elements in just one of two linked sets whose sizes add up to ``total``."""
-        return total - 2 * -(-self.percent * total // (100 + self.percent))
+    def sizes(self, x: int, light: int) -> list[int]:
+        """Sizes of the subsets by which a set of size x meets others up to ``light``; equal sets are one node and need none."""
+        return sorted({self.overlap(x, y) for y in self.partners(x) if y <= light and (y != x or self.overlap(x, y) < x)} if x <= light else ())
 
-    def level(self, x: int) -> int:
-        while self.starts[-1] <= x:
-            self.starts.append(100 * self.starts[-1] // self.percent + 1)
-        return int(np.searchsorted(self.starts, x, "right")) - 1
+    def subsets(self, x: int, light: int) -> int:
+        return sum(comb(x, c) for c in self.sizes(x, light))
 
-    def segments(self, level: int) -> tuple[int, int]:
-        """Segments at a level, and how many of a set's may be empty before its empty ones count as well.
+    def prefix(self, x: int, light: int) -> int:
+        """How many of a set's first elements have lists that it must be in, to meet all partners of which one at least is above ``light``."""
+        wanted = [y for y in (self.partners(x) if x > light else self.partners(x)[-1:]) if max(x, y) > light]
+        least = min(wanted[:1] if x > light else [light + 1] * len(wanted), default=None)
+        return 0 if least is None else max(0, x - self.overlap(x, least) + 1)
 
-        Linked sets differ in at most ``d`` elements, so of ``d + 1 + spare`` segments more than ``spare`` are equal.
-        """
-        while level + 1 >= len(self.starts):
-            self.level(self.starts[-1])
-        largest = self.starts[level + 1] - 1
-        d = max(self.differ(2 * largest), self.differ(2 * largest - 1))
-        empty = (d + 1) * np.exp(-self.starts[max(0, level - 1)] / (d + 1))
-        spare = int(np.ceil(empty + 4 * np.sqrt(empty)))
-        return d + 1 + spare, spare
 
-    def sizes(self, x: int) -> set[int]:
-        return {self.overlap(x, y) for y in self.partners(x) if self.overlap(x, y) <= min(x, y)}
+def boundary(rule: Threshold, held: dict[int, tuple[int, float]]) -> int:
+    """The largest light size with the least cost, in bytes moved. ``held`` has for each size the number of sets and the share
+    of their elements that other small sets have too."""
 
-    def subsets(self, x: int) -> int:
-        return sum(comb(x, c) for c in self.sizes(x))
+    def cost(light: int) -> float:
+        total = 0.0
+        for n, (sets_, share) in held.items():
+            total += sets_ * (24 * rule.subsets(n, light) + rule.prefix(n, light) * (28 + share * (BITS // 8 + 28 + 16 * n)))
+        return total
 
-    def segment_rows(self, x: int) -> int:
-        level = self.level(x)
-        return self.segments(level)[0] + self.segments(level + 1)[0]
+    able = [0]
+    while able[-1] < SMALL and all(rule.subsets(n, able[-1] + 1) <= MOST_SUBSETS for n in range(1, able[-1] + 2)):
+        able.append(able[-1] + 1)
+    return min(reversed(able), key=cost)
 
 
 def sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -116,62 +119,139 @@ def _identity(s: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0]) if len(s) else 0
 
 
-def nodes(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """``key, n_shingles, node`` per row."""
-    kept = docs.select(key, text)
-    schema = kept.limit(0).selectExpr(f"`{key}`", "0L n_shingles", "0L node").schema
+def parity_bitmap(s: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def counter(s: np.ndarray) -> np.ndarray:
+    """The counter of each element."""
+    return (mixed(s + _GOLD) >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def scanned(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """One reading of all texts: ``key, n_shingles, node`` of each row, with ``bitmap`` and, for small sets, ``small`` (the elements) where a
+    task meets a node for the first time; and rows with ``task, chunk, counts``, each task's counts of the elements of its nodes."""
+    kept = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    schema = kept.limit(0).selectExpr("key", "0L n_shingles", "0L node", "cast('' as binary) bitmap", "cast('' as binary) small", "0 task", "0 chunk", "cast('' as binary) counts").schema
+    for field in schema:
+        field.nullable = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        done: set[int] = set()
+        total = np.zeros(COUNTERS, np.int64)
+        kind = None
+        for batch in pieces(batches, "body"):
+            kind = batch.schema.field(0).type
+            ids, bitmaps, smalls, fresh = [], [], [], []
             found = sets(*flat(batch.column(1)), size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([_identity(s) for s in found], pa.int64())], names=[key, "n_shingles", "node"])
+            for s in found:
+                ids.append(_identity(s))
+                new = len(s) > 0 and ids[-1] not in done
+                if new:
+                    done.add(ids[-1])
+                    fresh.append(s)
+                bitmaps.append(parity_bitmap(s) if new else None)
+                smalls.append(s.tobytes() if new and len(s) <= SMALL else None)
+            if fresh:
+                total += np.bincount(counter(np.concatenate(fresh)), minlength=COUNTERS)
+            none = pa.nulls(batch.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(ids, pa.int64()), pa.array(bitmaps, pa.binary()), pa.array(smalls, pa.binary()), none, none, pa.nulls(batch.num_rows, pa.binary())], names=schema.names)
+        if kind is not None:
+            count, none = TaskContext.get().partitionId(), pa.nulls(CHUNKS, pa.int64())
+            chunks = [x.astype("<i8").tobytes() for x in np.split(total, CHUNKS)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), none, none, pa.nulls(CHUNKS, pa.binary()), pa.nulls(CHUNKS, pa.binary()), pa.array([count] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array(chunks, pa.binary())], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
-def signatures(s: np.ndarray, rule: Threshold) -> np.ndarray:
-    """Keys of the lists that a set is in: hashes of its subsets if it is light, of its segments if it can have a heavy partner."""
-    n, found = len(s), []
-    if n <= rule.light:
-        spread = mixed(s)
-        for c in sorted(rule.sizes(n)):
-            chosen = np.array(list(combinations(range(n), c)))
-            found.append(mixed(np.add.reduce(spread[chosen], axis=1) * _GOLD + np.uint64(c)))
-    if rule.partners(n)[-1] > rule.light:
-        level = rule.level(n)
-        for at in (level, level + 1):
-            p, spare = rule.segments(at)
-            where = (s >> np.uint64(33)).astype(np.int64) * p >> 31  # sorted as the set is
-            bounds = np.searchsorted(where, np.arange(p + 1))
-            running = np.zeros(n + 1, np.uint64)
-            np.cumsum(mixed(s ^ np.uint64(at + 1)), out=running[1:])
-            sums = running[bounds[1:]] - running[bounds[:-1]]
-            filled = bounds[1:] > bounds[:-1]
-            if p - filled.sum() > spare:
-                filled[:] = True
-            found.append(mixed(sums + mixed((np.arange(p, dtype=np.uint64) << np.uint64(20)) + np.uint64(at + 1)))[filled])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-
-
-def postings(docs: DataFrame, size: int, rule: Threshold, text: str) -> DataFrame:
-    """``list_id, node``: the lists of every set. A task emits those of equal sets once."""
+def element_counts(scan: DataFrame) -> np.ndarray:
+    """All tasks' counts added up, some tasks at a time and again, so that no group holds more than ``MERGED`` rows."""
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, "<i8") for x in table["counts"].to_pylist())
+        return pa.table({"task": pa.array([table["task"][0].as_py() // MERGED], pa.int32()), "chunk": table["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    rows, tasks = scan.where("chunk is not null").select("task", "chunk", "counts"), MERGED
+    while tasks > 1:
+        rows = stored(rows.groupBy("chunk", F.expr(f"task div {MERGED}")).applyInArrow(added, "task int, chunk int, counts binary"), "element-counts")
+        tasks = rows.agg(F.coalesce(F.max("task"), F.lit(0))).first()[0] + 1
+    total = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
+    for row in rows.collect():
+        total[row.chunk] = np.frombuffer(row.counts, "<i8")
+    return total.ravel()
+
+
+def small_sets(nodes: DataFrame) -> dict[int, tuple[int, float]]:
+    """For each size of the small sets their number, and the share of their elements that another one has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat([len(x) for x in found], [len(x) for x in found]).astype(np.int32)), pa.array(np.concatenate(found))], names=["n", "element"])
+
+    each = nodes.where("small is not null").select("small").mapInArrow(run, "n int, element long")
+    spread = each.groupBy("element", "n").agg(F.count("*").alias("held"))  # a row for each size at most
+    shared = spread.groupBy("element").agg(F.sum("held").alias("all"), F.collect_list(F.struct("n", "held")).alias("by"))
+    by_size = shared.select("all", F.explode("by").alias("x")).groupBy(F.col("x.n").alias("n")).agg(F.sum("x.held").alias("rows"), F.sum(F.when(F.col("all") > 1, F.col("x.held")).otherwise(0)).alias("shared"))
+    return {r.n: (r.rows // r.n, r.shared / r.rows) for r in by_size.collect()}
+
+
+def light_links(nodes: DataFrame, rule: Threshold, light: int) -> DataFrame:
+    """``a, b``: links between light sets, each to the smallest set that shares its subset."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                subsets, size, n, of = [], [], [], []
+                for node, packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    s = mixed(np.frombuffer(packed, np.uint64))
+                    for c in rule.sizes(len(s), light):
+                        chosen = np.array(list(combinations(range(len(s)), c)))
+                        subsets.append(mixed(np.add.reduce(s[chosen], axis=1) * _GOLD + np.uint64(c)))
+                        size.append(np.full(len(chosen), c, np.int32))
+                        n.append(np.full(len(chosen), len(s), np.int32))
+                        of.append(np.full(len(chosen), node, np.int64))
+                if subsets:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in ([y.view(np.int64) for y in subsets], size, n, of)], names=["subset", "c", "n", "node"])
+
+    rows = nodes.where((F.col("n") <= light) & F.col("small").isNotNull()).select("node", "small").mapInArrow(run, "subset long, c int, n int, node long")
+    rows = stored(rows, "subsets")
+    first = rows.groupBy("subset").agg(F.min(F.struct("n", "node")).alias("first"), F.count("*").alias("held")).where("held > 1").select("subset", "first")
+    least = F.expr(f"({rule.percent} * (n + first.n) + {99 + rule.percent}) div {100 + rule.percent}")
+    met = rows.join(first, "subset").where((F.col("node") != F.col("first.node")) & (least <= F.col("c")))
+    return met.select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b")).distinct()
+
+
+def postings(docs: DataFrame, size: int, rule: Threshold, light: int, order, text: str) -> DataFrame:
+    """``list_id, node, n, at``: the lists of every set that can have a heavy partner, one for each of its first elements, with the element's place. A task emits those of equal
+    sets once."""
+    prefixes: dict[int, int] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        often = order.value
         for batch in pieces(batches, text):
-            lists, ids = [], []
+            lists, ids, sizes = [], [], []
             for s in sets(*flat(batch.column(0)), size):
-                if len(s) and (node := _identity(s)) not in done:
+                n = len(s)
+                if n not in prefixes:
+                    prefixes[n] = rule.prefix(n, light) if n else 0
+                if prefixes[n] and (node := _identity(s)) not in done:
                     done.add(node)
-                    lists.append(signatures(s, rule))
+                    lists.append(s[np.argsort(often[counter(s)], kind="stable")[: prefixes[n]]])  # of equally frequent ones the lower hash comes first
                     ids.append(node)
+                    sizes.append(n)
             if lists:
-                of = np.repeat(np.array(ids, np.int64), [len(x) for x in lists])
+                each = [len(x) for x in lists]
+                of, n = np.repeat(np.array(ids, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
+                at = np.concatenate([np.arange(k, dtype=np.int32) for k in each])
                 every = np.concatenate(lists).view(np.int64)
-                for a in range(0, len(every), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(every[a : a + 100_000]), pa.array(of[a : a + 100_000])], names=["list_id", "node"])
+                for a in range(0, len(every), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 50_000]) for x in (every, of, n, at)], names=["list_id", "node", "n", "at"])
 
-    return docs.select(text).mapInArrow(run, "list_id long, node long")
+    return docs.select(text).mapInArrow(run, "list_id long, node long, n int, at int")
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
@@ -180,14 +260,15 @@ def shared_lists(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a row belongs to a shared list if its neighbour before or after has the same list and another node
-        held = np.zeros((0, 2), np.int64)
+        held = np.zeros((0, 4), np.int64)
         open_list = None  # the list of which earlier rows were passed on
-        def settled(rows: np.ndarray, last: bool):
+
+        def settled(rows: np.ndarray, last: bool) -> np.ndarray | None:
             nonlocal held, open_list
             if not len(rows):
                 return None
             fresh = np.ones(len(rows), bool)
-            fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+            fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
             rows = rows[fresh]
             cut = len(rows) if last else len(rows) - 1
             same = np.zeros(len(rows), bool)
@@ -199,42 +280,45 @@ def shared_lists(rows: DataFrame) -> DataFrame:
             out, held = rows[:cut][same[:cut]], rows[cut:]
             open_list = int(rows[cut - 1, 0]) if cut else open_list
             return out if len(out) else None
+
+        def packed(rows: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), pa.array(rows[:, 3].astype(np.int32))], names=["list_id", "node", "n", "at"])
+
         for batch in batches:
-            rows = np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
+            rows = np.column_stack([c.to_numpy() for c in batch.columns])
             if (out := settled(np.concatenate([held, rows]), False)) is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["list_id", "node"])
+                yield packed(out)
         if (out := settled(held, True)) is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["list_id", "node"])
+            yield packed(out)
 
-    return rows.repartition(parts, "list_id").sortWithinPartitions("list_id", "node").mapInArrow(run, "list_id long, node long")
+    return rows.repartition(parts, "list_id").sortWithinPartitions("list_id", "node").mapInArrow(run, "list_id long, node long, n int, at int")
 
 
-def parity_bitmap(s: np.ndarray) -> bytes:
-    return np.packbits(np.bincount((s >> np.uint64(7)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
-
-
-def described(docs: DataFrame, chosen: DataFrame, describe: Callable[[np.ndarray], bytes], name: str, size: int, key: str, text: str) -> DataFrame:
-    """``node, n`` and a column ``name`` with what ``describe`` makes of a set, for the sets of ``chosen`` (columns ``key,
-    node``: one row of each node)."""
-    mine = docs.select(key, text).join(fitted(chosen.select(key)), key, "left_semi").select(text)
+def described(docs: DataFrame, chosen: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """``node, elements`` for the nodes of ``chosen`` (columns ``key, node``: one row of each node): their sets, made from the texts again."""
+    own = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    mine = own.join(fitted(chosen.select("key").distinct()), own["key"].eqNullSafe(chosen["key"]), "left_semi").select("body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, "body"):
             found = {i: s for s in sets(*flat(batch.column(0)), size) if (i := _identity(s)) not in done}
             done |= set(found)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([len(s) for s in found.values()], pa.int64()), pa.array([describe(s) for s in found.values()], pa.binary())], names=["node", "n", name])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([s.tobytes() for s in found.values()], pa.binary())], names=["node", "elements"])
 
-    return mine.mapInArrow(run, f"node long, n long, {name} binary").dropDuplicates(["node"])
+    return mine.mapInArrow(run, "node long, elements binary").join(chosen.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _may_link(rule: Threshold, n: np.ndarray, maps: np.ndarray, m: int, bitmap: np.ndarray) -> np.ndarray:
-    """Which sets of sizes ``n`` can link with one of size ``m``, by size and parity bitmap."""
+def _may_link(rule: Threshold, n: np.ndarray, at: np.ndarray, maps: np.ndarray, m: int, its: int, bitmap: np.ndarray) -> np.ndarray:
+    """Which members of a list, of sizes ``n`` and with its element at the places ``at``, can link with one of size ``m`` and place ``its``."""
     total = n + m
-    need = -(-rule.percent * total // (100 + rule.percent))
-    fits = need <= np.minimum(n, m)
-    apart = np.bitwise_count(maps ^ bitmap).sum(axis=1, dtype=np.int64)
-    return fits & (apart <= total - 2 * need)
+    need = rule.overlap(n, m)
+    # if it is the first common element of two linked sets, enough must be left from it on; if it isn't, the pair meets in the first one's list
+    fits = (need <= np.minimum(n - at, m - its)).nonzero()[0]
+    apart = np.bitwise_count(maps[fits] ^ bitmap).sum(axis=1, dtype=np.int64)
+    out = np.zeros(len(n), bool)
+    out[fits[apart <= total[fits] - 2 * need[fits]]] = True
+    return out
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +341,7 @@ def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
-    """``a, b``: each member of a list with the first leader that it can link with. ``members``: ``list_id, node, n, bitmap``.
+    """``a, b``: each member of a list with the first leader that it can link with. ``members``: ``list_id, node, n, at, bitmap``.
 
     Only the current list's leaders are held, at most ``BLOCK`` of them; a member that fits none of those is left to
     :func:`rest_pairs`.
@@ -267,7 +351,8 @@ def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, held, now, leaders = [], [], 0, None, []
         for part in _lists(batches):
-            node, n, maps = part.column(1).to_numpy(), part.column(2).to_numpy(), _maps(part.column(3))
+            node, n, at = (part.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
+            maps = _maps(part.column(4))
             if part.column(0)[0].as_py() != now:
                 now, leaders = part.column(0)[0].as_py(), []
             rest, tried = np.arange(len(node)), 0
@@ -275,11 +360,11 @@ def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
                 if tried == len(leaders):
                     if len(leaders) == BLOCK:
                         break
-                    leaders.append((node[rest[0]], int(n[rest[0]]), maps[rest[0]].copy()))
+                    leaders.append((node[rest[0]], int(n[rest[0]]), int(at[rest[0]]), maps[rest[0]].copy()))
                     rest = rest[1:]
-                lead, size, bitmap = leaders[tried]
+                lead, *its = leaders[tried]
                 tried += 1
-                fits = _may_link(rule, n[rest], maps[rest], size, bitmap)
+                fits = _may_link(rule, n[rest], at[rest], maps[rest], *its)
                 if fits.any():
                     right.append(node[rest[fits]])
                     left.append(np.full(len(right[-1]), lead))
@@ -291,7 +376,7 @@ def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
         if held:
             yield _pairs(left, right)
 
-    ordered = members.select("list_id", "node", "n", "bitmap").repartition(parts, "list_id").sortWithinPartitions("list_id", "node")
+    ordered = members.select("list_id", "node", "n", "at", "bitmap").repartition(parts, "list_id").sortWithinPartitions("list_id", "node")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -304,17 +389,18 @@ def rest_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     split = members.groupBy("list_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low != high").select("list_id", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
     mine = members.join(split, "list_id").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = mine.withColumn("with", other).select(F.struct("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y")).alias("pair"), "node", "n", "bitmap", "component", F.col("block").alias("side"))
+    placed = mine.withColumn("with", other).select(F.struct("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y")).alias("pair"), "node", "n", "at", "bitmap", "component")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
-        node, n, part = (rows[c].to_numpy() for c in ("node", "n", "component"))
+        node, n, at, part = (rows[c].to_numpy().astype(np.int64) for c in ("node", "n", "at", "component"))
         maps = _maps(rows["bitmap"].combine_chunks())
         left, right = [], []
         for i in range(len(node) - 1):
-            fits = _may_link(rule, n[i + 1 :], maps[i + 1 :], int(n[i]), maps[i]) & (part[i + 1 :] != part[i])
-            if fits.any():
-                right.append(node[i + 1 :][fits])
+            other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
+            fits = other[_may_link(rule, n[other], at[other], maps[other], int(n[i]), int(at[i]), maps[i])] if len(other) else other
+            if len(fits):
+                right.append(node[fits])
                 left.append(np.full(len(right[-1]), node[i]))
         if left:
             yield _pairs(left, right)
@@ -322,13 +408,13 @@ def rest_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     return placed.groupBy("pair").applyInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, rule: Threshold, size: int, key: str, text: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Threshold, size: int, key: str, text: str) -> DataFrame:
     """The pairs that do link. Whole sets are made from the texts again, for the nodes of ``pairs`` alone: few members of
     lists are left by then."""
     pairs = stored(pairs, "candidates")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(chosen.join(ends, "node", "left_semi"), "wanted")
-    sets_of = stored(described(docs, wanted, np.ndarray.tobytes, "elements", size, key, text), "sets")
+    wanted = stored(nodes.select("key", "node").join(ends, "node", "left_semi"), "wanted")
+    sets_of = stored(described(docs, wanted, size, key, text), "sets")
     mine = pairs.join(sets_of.select(F.col("node").alias("a"), F.col("elements").alias("first")), "a")
     both = mine.join(sets_of.select(F.col("node").alias("b"), F.col("elements").alias("second")), "b").select("a", "b", "first", "second")
 
@@ -345,32 +431,52 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, rule: Thresho
     return both.mapInArrow(run, "a long, b long")
 
 
+def links(docs: DataFrame, scan: DataFrame, rule: Threshold, size: int, key: str, text: str, light: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``a, b, side``: links between nodes that connect all of each component, found by ``light`` or ``heavy`` sets; and the components of them all."""
+    nodes = scan.where("bitmap is not null").groupBy("node").agg(F.min("key").alias("key"), F.first("n_shingles").cast("int").alias("n"), F.first("bitmap").alias("bitmap"), F.first("small").alias("small"))
+    nodes = stored(nodes, "nodes")
+    if light is None:
+        light = boundary(rule, small_sets(nodes))
+    order = docs.sparkSession.sparkContext.broadcast(element_counts(scan))
+    near = stored(light_links(nodes, rule, light), "light-links")
+    lists = stored(shared_lists(postings(docs, size, rule, light, order, text)), "lists")
+    members = stored(lists.join(nodes.select("node", "bitmap"), "node"), "members")
+    lead = stored(verified(leader_pairs(members, rule), docs, nodes, rule, size, key, text), "leader-links")
+    parts = stored(components(near.union(lead)), "components")
+    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = stored(verified(rest_pairs(placed, rule), docs, nodes, rule, size, key, text), "rest-links")
+    if not more.isEmpty():
+        parts = stored(components(near.union(lead).union(more)), "components")
+    return near.withColumn("side", F.lit("light")).union(lead.union(more).withColumn("side", F.lit("heavy"))), parts
+
+
 def linked_documents(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key, n_shingles, component_id``, the smallest key reachable by links.
 
     Words are lower-cased (A to Z). Null and empty texts have an empty set and link with nothing: they are their own
-    component. A null key is never a component's id, and a set held by rows of null key alone links with its copies only. Rows that repeat a text are copies and linked. An empty table gives an empty
-    result; other columns are ignored. The result is exact but for collisions of 64-bit hashes.
+    component. A null key is never a component's id; a set held by rows of null key alone links its copies alone if it isn't linked to others. Rows that repeat a
+    text are copies and linked. An empty table gives an empty result; other columns are ignored, whatever their names. The
+    result is exact but for collisions of 64-bit hashes.
     """
-    rule = Threshold(percent)
-    rows = stored(nodes(docs, size, key, text), "nodes")
-    lists = stored(shared_lists(postings(docs, size, rule, text)), "lists")
-    found = lists.select("node").distinct()
-    chosen = stored(rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min(key).alias(key)).join(found, "node", "left_semi"), "chosen")
-    members = stored(lists.join(described(docs, chosen, parity_bitmap, "bitmap", size, key, text), "node"), "members")
-    links = stored(verified(leader_pairs(members, rule), docs, chosen, rule, size, key, text), "leader-links")
-    parts = stored(components(links), "components")
-    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = stored(verified(rest_pairs(placed, rule), docs, chosen, rule, size, key, text), "rest-links")
-    if not more.isEmpty():
-        parts = stored(components(links.union(more)), "components")
-    of = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    low = of.where(F.col("n_shingles") > 0).groupBy("component").agg(F.min(key).alias("component_id"))
-    own = of.where(F.col("n_shingles") == 0).select(key, "n_shingles", F.col(key).alias("component_id"))
-    return of.where(F.col("n_shingles") > 0).join(low, "component").select(key, "n_shingles", "component_id").union(own)
+    scan = stored(scanned(docs, size, key, text), "scan")
+    _, parts = links(docs, scan, Threshold(percent), size, key, text)
+    rows = scan.where("chunk is null").select("key", "n_shingles", "node")
+    full = rows.where("n_shingles > 0")
+    # copies are combined before anything is joined, and components before their nodes
+    own = stored(full.groupBy("node").agg(F.min("key").alias("low")), "node-keys")
+    linked = own.join(parts, "node")
+    low = stored(linked.groupBy("component").agg(F.min("low").alias("component_id")), "component-keys")
+    moved = linked.join(fitted(low), "component").select("node", "component_id")
+    ids = stored(own.join(moved, "node", "left").select("node", F.coalesce("component_id", "low").alias("component_id")), "component-ids")
+    out = full.join(fitted(ids), "node").select("key", "n_shingles", "component_id").union(rows.where("n_shingles = 0").select("key", "n_shingles", "key"))
+    return out.withColumnRenamed("key", key)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest of their component, with all their columns."""
-    lost = stored(linked_documents(docs, size, percent, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias("lost_id")).distinct(), "lost")
-    return docs.join(fitted(lost), F.col(key) == F.col("lost_id"), "left_anti")
+    """The rows of ``docs`` whose key is the smallest of their component, with all their columns, whatever their names.
+
+    Rows of null key stay, and so do those with empty or null texts; rows that repeat the smallest key stay together.
+    """
+    at = unused(docs.columns, "lost_id")
+    lost = stored(linked_documents(docs, size, percent, key, text).where(F.col("component_id") < F.col(key)).select(F.col(key).alias(at)).distinct(), "lost")
+    return docs.join(fitted(lost), F.col(key) == F.col(at), "left_anti")

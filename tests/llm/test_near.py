@@ -67,15 +67,76 @@ def test_empty_table_and_null_keys(spark):
 
 
 def test_thresholds_lose_no_pair():
-    """Any two linked sets share a subset or a segment: sizes, overlaps and pigeonholes are consistent."""
+    """Any two linked sets share a subset, or an element of both prefixes: sizes, overlaps and prefixes are consistent."""
     for percent in (70, 80, 90):
         rule = jaccard.Threshold(percent)
-        for x in range(1, 400, 7):
-            for y in rule.partners(x):
-                assert abs(rule.level(x) - rule.level(y)) <= 1
-                at = max(rule.level(x), rule.level(y))
-                p, spare = rule.segments(at)
-                assert x + y - 2 * rule.overlap(x, y) + spare < p
+        for light in (0, 7, 12):
+            for x in range(1, 300):
+                for y in rule.partners(x):
+                    need = rule.overlap(x, y)
+                    assert need <= min(x, y) and 100 * need >= percent * (x + y - need)
+                    if max(x, y) <= light:
+                        assert need in rule.sizes(x, light) or x == y == need
+                    else:
+                        assert rule.prefix(x, light) >= x - need + 1 and rule.prefix(y, light) >= y - need + 1
+
+
+def linked(rows, size, percent):
+    """All linked pairs of different sets, by comparing all."""
+    sets = {}
+    for _, t in rows:
+        w = WORD.findall(t or "")
+        sets.setdefault(frozenset(tuple(w[k : k + size]) for k in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else []), len(sets))
+    every = [s for s in sets if s]
+    return every, [(a, b) for a in every for b in every if len(a) < len(b) or len(a) == len(b) and sets[a] < sets[b] if 100 * len(a & b) >= percent * len(a | b)]
+
+
+@pytest.mark.parametrize("size, percent, light", [(3, 90, 24), (5, 80, 12), (3, 90, None)])
+def test_both_sides_find_their_links(spark, size, percent, light):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
+    rows = []
+    for n in [9, 13, 16, 20, 24, 30, 60, 200] * 6:
+        text = [word() for _ in range(n)]
+        for k in range(4):  # longer and shorter ones, so that subsets are proper
+            rows.append((len(rows), " ".join(text[k % 3 :] + [word()] * (k == 3))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    rule, scan = jaccard.Threshold(percent), jaccard.stored(jaccard.scanned(docs, size, "doc_id", "text"), "scan")
+    found, parts = jaccard.links(docs, scan, rule, size, "doc_id", "text", light)
+    sides = {x.side: x["count"] for x in found.groupBy("side").count().collect()}
+    every, want = linked(rows, size, percent)
+    nodes = {x.node: x.n_shingles for x in scan.where("n_shingles > 0").select("node", "n_shingles").collect()}
+    if light:
+        small, large = sum(len(b) <= light for _, b in want), sum(len(b) > light for _, b in want)
+        assert small and large and 0 < sides["light"] <= small and 0 < sides["heavy"] <= large
+        assert all(max(nodes[x.a], nodes[x.b]) <= light for x in found.where("side = 'light'").collect())
+        assert any(rule.sizes(n, light) and rule.sizes(n, light)[0] < n for n in range(1, light + 1))
+    root = {s: s for s in every}
+
+    def find(x):
+        while root[x] is not x:
+            x = root[x]
+        return x
+
+    for a, b in want:
+        root[find(a)] = find(b)
+    assert len({find(s) for s in every}) == len(nodes) - parts.count() + parts.select("component").distinct().count()
+
+
+def test_texts_of_one_template_never_meet(spark):
+    template = [f"w{i}" for i in range(22)]
+    rows = [(i, " ".join([*template[:11], f"own{i}", *template[11:]])) for i in range(3000)] + [(5000 + i, " ".join(template)) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    rule, scan = jaccard.Threshold(90), jaccard.stored(jaccard.scanned(docs, 3, "doc_id", "text"), "scan")
+    order = spark.sparkContext.broadcast(jaccard.element_counts(scan))
+    assert sum(order.value) - 3000 * 21 in (20, 40)  # copies count once in each task
+    assert jaccard.shared_lists(jaccard.postings(docs, 3, rule, 0, order, "text")).count() < 300
+    assert jaccard.linked_documents(docs, 3, 90).where("component_id = doc_id").count() == 3001
+
+
+def test_boundary_follows_the_cost():
+    rule = jaccard.Threshold(90)
+    assert jaccard.boundary(rule, {19: (1000, 1.0)}) >= 19 > jaccard.boundary(rule, {28: (1000, 0.0)} | {19: (1000, 0.0)})
 
 
 @pytest.mark.parametrize("links", [[(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)], [(5, 9), (9, 7), (20, 21), (3, 3), (21, 20)]])
