@@ -54,6 +54,73 @@ def sampled_conversations(turns: DataFrame, max_items: int, seed: int, by: str =
     return turns.join(chosen, by, "left_semi")
 
 
+def embedding_lines(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Request lines that ask for the embedding of each text."""
+    return request_lines(docs, F.concat(F.lit("e-"), F.col(key).cast("string")), "/v1/embeddings", F.struct(F.lit(model).alias("model"), F.coalesce(F.col(text), F.lit("")).alias("input")))
+
+
+def score_lines(groups: DataFrame, model: str, key: str = "item_id", query: str = "query", documents: str = "documents") -> DataFrame:
+    """Request lines that ask for the scores of an array of documents with a query."""
+    return request_lines(groups, F.concat(F.lit("s-"), F.col(key).cast("string")), "/v1/score", F.struct(F.lit(model).alias("model"), F.col(query).alias("queries"), F.col(documents).alias("documents")))
+
+
+_NUMBER, _WHOLE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$", r"^(TINYINT|SMALLINT|INT|BIGINT)$"
+_TYPES = {"object": r"^OBJECT", "array": r"^ARRAY", "string": r"^STRING$", "number": _NUMBER, "integer": _WHOLE, "boolean": r"^BOOLEAN$", "null": r"^VOID$"}
+_CHECKED = {"type", "properties", "required", "additionalProperties", "items", "enum", "const", "minLength", "maxLength", "minimum", "maximum", "minItems", "maxItems"}
+
+
+def schema_fault(value: Column, schema: dict, path: str = "$") -> Column:
+    """What of a VARIANT breaks a JSON schema first, as ``path: rule``; null if nothing does.
+
+    Types, properties, items, choices and limits are checked, in plan as in the schema; other keywords raise an error. An integer is one as such, not 1.0.
+    """
+    if unknown := set(schema) - _CHECKED:
+        raise ValueError(f"schema keywords that aren't checked: {', '.join(sorted(unknown))}")
+    kind = F.schema_of_variant(value)
+    get = lambda to: F.try_variant_get(value, "$", to)
+    faults = []
+
+    def rule(name: str, broken: Column) -> None:
+        faults.append(F.when(F.coalesce(broken, F.lit(True)), F.lit(f"{path}: {name}")))
+
+    if "type" in schema:
+        rule("type", ~kind.rlike(_TYPES[schema["type"]]))
+    if "enum" in schema:
+        rule("enum", ~get("string").isin([str(x) for x in schema["enum"]]))
+    if "const" in schema:
+        rule("const", get("string") != F.lit(str(schema["const"])))
+    for name, test in (("minLength", lambda n: F.length(get("string")) < n), ("maxLength", lambda n: F.length(get("string")) > n)):
+        if name in schema:
+            faults.append(F.when(kind.rlike(_TYPES["string"]) & test(schema[name]), F.lit(f"{path}: {name}")))
+    for name, test in (("minimum", lambda n: get("double") < n), ("maximum", lambda n: get("double") > n)):
+        if name in schema:
+            faults.append(F.when(kind.rlike(_NUMBER) & test(schema[name]), F.lit(f"{path}: {name}")))
+    if "properties" in schema or "required" in schema or "additionalProperties" in schema:
+        known, held = schema.get("properties", {}), get("map<string,variant>")
+        for name in schema.get("required", []):
+            faults.append(F.when(kind.startswith("OBJECT") & ~F.coalesce(F.map_contains_key(held, name), F.lit(False)), F.lit(f"{path}.{name}: required")))
+        if schema.get("additionalProperties") is False:
+            extra = F.array_sort(F.array_except(F.map_keys(held), F.array(*map(F.lit, known)) if known else F.expr("cast(array() as array<string>)")))
+            faults.append(F.when(kind.startswith("OBJECT") & (F.size(extra) > 0), F.concat(F.lit(f"{path}."), F.element_at(extra, 1), F.lit(": additionalProperties"))))
+        for name, inner in known.items():
+            faults.append(F.when(kind.startswith("OBJECT") & F.coalesce(F.map_contains_key(held, name), F.lit(False)), schema_fault(F.try_element_at(held, F.lit(name)), inner, f"{path}.{name}")))
+    if "items" in schema or "minItems" in schema or "maxItems" in schema:
+        items = get("array<variant>")
+        for name, test in (("minItems", lambda n: F.size(items) < n), ("maxItems", lambda n: F.size(items) > n)):
+            if name in schema:
+                faults.append(F.when(kind.startswith("ARRAY") & test(schema[name]), F.lit(f"{path}: {name}")))
+        if "items" in schema:
+            each = F.array_compact(F.transform(items, lambda x: schema_fault(x, schema["items"], f"{path}[]")))
+            faults.append(F.when(kind.startswith("ARRAY") & (F.size(each) > 0), F.element_at(each, 1)))
+    return F.coalesce(*faults, F.lit(None).cast("string")) if faults else F.lit(None).cast("string")
+
+
+def output_fault(text: Column, schema: dict) -> Column:
+    """Why generated text doesn't keep to a JSON schema: ``not_json``, or the first fault; null if it does."""
+    parsed = F.try_parse_json(text)
+    return F.when(parsed.isNull(), F.lit("not_json")).otherwise(schema_fault(parsed, schema))
+
+
 def output_matches(text: Column, choices: list[str] | None = None, pattern: str | None = None) -> Column:
     """Whether generated text is one of the choices, or matches a pattern as a whole."""
     if choices is not None:

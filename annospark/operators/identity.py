@@ -22,29 +22,50 @@ def file_digests(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", "length", F.sha2("content", 256).alias("digest"))
 
 
-def streamed_digests(files: DataFrame, path: str = "path", block: int = 1 << 20) -> DataFrame:
-    """``path, digest`` of files of any size on storage that executors mount, read in blocks."""
+def present_files(files: DataFrame, path: str = "path") -> DataFrame:
+    """``path, digest`` of files on storage that executors mount; the digest is null where there is no such file."""
+    return streamed_digests(files, path, missing=True)
+
+
+def streamed_digests(files: DataFrame, path: str = "path", block: int = 1 << 20, missing: bool = False) -> DataFrame:
+    """``path, digest`` of files of any size on storage that executors mount, read in blocks. A file that isn't there is an error, or with ``missing`` a null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for name in batch.column(0).to_pylist():
+                if missing and not Path(name.removeprefix("file:")).is_file():
+                    found.append(None)
+                    continue
                 with open(name.removeprefix("file:"), "rb") as f:
                     digest = hashlib.sha256()
                     while data := f.read(block):
                         digest.update(data)
                 found.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["path", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "digest"])
 
     return files.select(F.col(path).alias("path")).mapInArrow(run, "path string, digest string")
 
 
-def video_set_digest(digests: DataFrame, parts: int = 256) -> str:
-    """One digest for ``video_id, digest`` rows in any order: rows are hashed in order within fixed parts of the ids, then the parts."""
-    row = F.concat_ws(" ", F.length("video_id").cast("string"), "video_id", "digest")
-    part = F.pmod(F.xxhash64("video_id"), F.lit(parts))
-    folded = digests.select(part.alias("part"), row.alias("row")).groupBy("part").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("row")), "\n"), 256).alias("d"))
-    return hashlib.sha256("\n".join(f"{r.part} {r.d}" for r in folded.orderBy("part").collect()).encode()).hexdigest()
+#: Digests that are folded into one at a time.
+FOLDED = 4096
+
+
+def part_digests(rows: DataFrame, parts: int) -> DataFrame:
+    """``part, digest`` of ``key, digest`` rows: the digest of a part's rows in order. A key's part follows from its own digest."""
+    part = F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("long") % parts
+    row = F.concat_ws(" ", F.length("key").cast("string"), "key", "digest")
+    return rows.select(part.alias("part"), row.alias("row")).groupBy("part").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("row")), "\n"), 256).alias("digest"))
+
+
+def video_set_digest(digests: DataFrame) -> str:
+    """One digest for ``video_id, digest`` rows in any order: rows are folded into parts, as many as keep a part small, and these again."""
+    rows, n = digests.select(F.col("video_id").alias("key"), "digest"), digests.count()
+    while n > FOLDED:
+        rows = part_digests(rows, -(-n // FOLDED)).select(F.col("part").cast("string").alias("key"), "digest")
+        n = rows.count()
+    last = part_digests(rows, 1).first()
+    return last.digest if last else hashlib.sha256(b"").hexdigest()
 
 
 def run_id(config: dict[str, Any], identity: dict[str, Any]) -> str:

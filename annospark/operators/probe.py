@@ -17,10 +17,10 @@ def _duration(seconds: Column) -> Column:
 
 
 def _rate(text: Column) -> Column:
-    """Frames a second written as a ratio or a decimal, if positive."""
+    """Frames a second written as a ratio of whole numbers or as a decimal, if positive."""
     parts = F.split(text, "/")
     top, below = finite(F.element_at(parts, 1)), finite(F.try_element_at(parts, F.lit(2)))
-    ratio = F.when(F.size(parts) == 2, F.when(below != 0, top / below)).when(F.size(parts) == 1, top)
+    ratio = F.when(text.rlike(r"^\s*[+-]?\d+/\d+\s*$"), F.when(below != 0, top / below)).when(F.size(parts) == 1, top)
     return F.when((ratio > 0) & (ratio < F.lit(float("inf"))), ratio)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_integer
@@ -26,6 +26,13 @@ def scripted(responses: DataFrame) -> Backend:
     return lambda requests: requests.join(responses.select("request_id", "n", "response"), ["request_id", "n"], "left")
 
 
+def read_script(spark: SparkSession, path: str) -> DataFrame:
+    """``request_id, n, response`` of a JSON file that maps request ids to lists of responses."""
+    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("json"))
+    each = whole.select(F.explode(F.variant_get("json", "$", "map<string,variant>")).alias("request_id", "all"))
+    return each.select("request_id", F.posexplode(F.variant_get("all", "$", "array<variant>")).alias("at", "one")).select("request_id", (F.col("at") + 1).alias("n"), F.to_json("one").alias("response"))
+
+
 def attach(requests: DataFrame, backend: Backend) -> tuple[DataFrame, DataFrame]:
     """Requests with their response, and rejects for those without."""
     answered = backend(requests)

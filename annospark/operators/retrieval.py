@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,12 +12,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import islands
+from ..sources.manifest import reject
 
 
-def text_chunks(docs: DataFrame, max_tokens: int, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, chunk, n_tokens, chunk_text``: white-space tokens in chunks of ``max_tokens``; texts of more than ``limit`` tokens are left out."""
-    tokens = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda t: t != "")
-    rows = docs.select(key, tokens.alias("tokens")).where(F.size("tokens").between(1, limit))
+#: Fixed value: the most tokens that a text may have.
+MAX_TEXT_TOKENS = 3_072_000
+
+
+def _tokens(text: str) -> Column:
+    return F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+"), lambda t: t != "")
+
+
+def too_long_texts(docs: DataFrame, limit: int = MAX_TEXT_TOKENS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rejects for texts of more than ``limit`` tokens."""
+    n = docs.select(F.col(key).alias("key"), F.size(_tokens(text)).alias("n")).where(F.col("n") > limit)
+    return reject(n, "embedding", "text_too_long", F.col("n").cast("string"), video=F.lit(None), item=F.col("key"))
+
+
+def text_chunks(docs: DataFrame, max_tokens: int, limit: int = MAX_TEXT_TOKENS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, chunk, n_tokens, chunk_text``: white-space tokens in chunks of ``max_tokens``; texts of more than ``limit`` tokens are in :func:`too_long_texts`."""
+    rows = docs.select(key, _tokens(text).alias("tokens")).where(F.size("tokens").between(1, limit))
     each = rows.select(key, "tokens", F.explode(F.sequence(F.lit(0), F.ceil(F.size("tokens") / max_tokens).cast("int") - 1)).alias("chunk"))
     part = F.slice("tokens", F.col("chunk") * max_tokens + 1, F.lit(max_tokens))
     return each.select(key, "chunk", F.size(part).alias("n_tokens"), F.array_join(part, " ").alias("chunk_text"))
@@ -54,31 +69,40 @@ def score_block(queries: np.ndarray, documents: np.ndarray) -> np.ndarray:
     return unit(queries) @ unit(documents).T
 
 
-def rerank(queries: DataFrame, documents: DataFrame, top_n: int, query_limit: int = 100_000) -> DataFrame:
+def rerank(queries: DataFrame, documents: DataFrame, top_n: int, block: int = 100_000, part: int = 512) -> DataFrame:
     """``query_id, doc_id, score, rank``: the ``top_n`` documents of each query by cosine, ties by id.
 
-    A stated set of queries (``query_id, embedding``; at most ``query_limit`` rows, checked) against all documents in
-    blocks: each block keeps its best ``top_n`` per query before anything is shuffled.
+    A stated set of queries (``query_id, embedding``) against all documents. Queries go out in blocks of about ``block`` rows, one
+    pass over the documents each; a task scores ``part`` of them at a time against a batch and keeps their best ``top_n``
+    before anything is shuffled. Rows without a vector take no part.
     """
-    if queries.limit(query_limit + 1).count() > query_limit:
-        raise ValueError(f"more than {query_limit} queries: split them")
-    table = queries.toArrow()
-    ids = table["query_id"].to_pylist()
-    held = documents.sparkSession.sparkContext.broadcast(np.array(table["embedding"].to_pylist(), float).reshape(len(ids), -1))
-    kept = documents.select("doc_id", "embedding")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(1)))
-            if not batch.num_rows or not ids:
-                continue
-            doc = batch.column(0)
-            scores = score_block(held.value, np.array(batch.column(1).to_pylist(), float))
-            order = np.argsort(np.array(doc.to_pylist()), kind="stable")
-            best = order[np.argsort(-scores[:, order], axis=1, kind="stable")[:, :top_n]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids), best.shape[1])), doc.take(pa.array(best.ravel())), pa.array(np.take_along_axis(scores, best, axis=1).ravel())], names=["query_id", "doc_id", "score"])
-
-    found = kept.mapInArrow(run, f"query_id {queries.schema['query_id'].dataType.simpleString()}, doc_id {documents.schema['doc_id'].dataType.simpleString()}, score double")
+    queries = queries.where(F.col("embedding").isNotNull())
+    passes = max(1, -(-queries.count() // block))
+    kept = documents.select("doc_id", "embedding").where(F.col("embedding").isNotNull())
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, doc_id {documents.schema['doc_id'].dataType.simpleString()}, score double"
+
+    def best(number: int) -> DataFrame:
+        table = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number).select("query_id", "embedding").toArrow()
+        ids = table["query_id"].combine_chunks()
+        held = documents.sparkSession.sparkContext.broadcast((ids, np.array(table["embedding"].to_pylist(), float).reshape(len(ids), -1)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, vectors = held.value
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                order = pc.sort_indices(batch.column(0))
+                doc, block = batch.column(0).take(order), np.array(batch.column(1).take(order).to_pylist(), float)
+                for a in range(0, len(ids), part):
+                    scores = score_block(vectors[a : a + part], block)
+                    top = np.argsort(-scores, axis=1, kind="stable")[:, :top_n]
+                    yield pa.RecordBatch.from_arrays([ids[a : a + part].take(pa.array(np.repeat(np.arange(len(top)), top.shape[1]))), doc.take(pa.array(top.ravel())), pa.array(np.take_along_axis(scores, top, axis=1).ravel())], names=["query_id", "doc_id", "score"])
+
+        return kept.mapInArrow(run, schema)
+
+    found = best(0)
+    for number in range(1, passes):
+        found = found.union(best(number))
     return top_by_score(found, "query_id", top_n)
 
 
@@ -143,16 +167,20 @@ def entity_spans(tokens: DataFrame, by: str, outside: str = "O") -> DataFrame:
 
 def prefix_blocks(prompts: DataFrame, block: int, key: str = "request_id", tokens: str = "tokens", salt: Column | None = None, extra: Column | None = None) -> DataFrame:
     """``key, pos, block_key`` of a prompt's full blocks of tokens: each key is a digest of the one before, the tokens and ``extra``; the salt is in the first."""
-    text = F.transform(tokens, lambda t: t.cast("string"))
-    n = F.floor(F.size(tokens) / block).cast("int")
-    part = lambda i: F.array_join(F.slice(text, (i - 1) * block + 1, F.lit(block)), " ")
-    more = F.coalesce(extra, F.lit("")) if extra is not None else F.lit("")
-    keys = F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.array(F.coalesce(salt, F.lit("")) if salt is not None else F.lit("")),
-        lambda done, i: F.concat(done, F.array(F.sha2(F.concat_ws("|", F.element_at(done, -1), part(i), more), 256))),
-    )
-    return prompts.where(n > 0).select(key, F.posexplode(F.slice(keys, F.lit(2), n)).alias("pos", "block_key"))
+    none = F.lit(None).cast("string")
+    rows = prompts.select(F.col(key).alias("key"), F.transform(tokens, lambda t: t.cast("string")).alias("tokens"), (none if salt is None else salt).alias("salt"), (none if extra is None else extra).alias("extra")).where(F.size("tokens") >= block)
+    schema = rows.limit(0).selectExpr("key", "0 pos", "'' block_key").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (words, first, more) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))):
+                digest, out = first or "", []
+                for a in range(0, len(words) - block + 1, block):
+                    digest = hashlib.sha256("|".join([digest, " ".join(w for w in words[a : a + block] if w is not None), more or ""]).encode()).hexdigest()
+                    out.append(digest)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(out), i))), pa.array(range(len(out)), pa.int32()), pa.array(out, pa.string())], names=["key", "pos", "block_key"])
+
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def shared_blocks(blocks: DataFrame, block: int) -> DataFrame:

@@ -79,17 +79,26 @@ def sample_ranges(ranges: DataFrame, fps: float, start: str = "chunk_start_ms",
     return kept.mapInArrow(run, schema)
 
 
+def guarded(ranges: DataFrame, fps: float, start: str = "chunk_start_ms", end: str = "chunk_end_ms", item: str = "chunk_id") -> tuple[DataFrame, DataFrame]:
+    """The ranges that can be sampled at ``fps``, and rejects for the others."""
+    fault = sampling_fault(F.lit(float(fps)), F.col(start), F.col(end))
+    judged = ranges.withColumn("fault", fault)
+    return judged.where("fault is null").drop("fault"), reject(judged.where("fault is not null"), "sampling", F.col("fault"), F.col(item), item=F.col(item))
+
+
 def targets_table(ranges: DataFrame, fps: float, start: str = "chunk_start_ms", end: str = "chunk_end_ms") -> DataFrame:
-    """``ranges`` with a row for each ``target_ms``, by built-in functions: a running sum over a sequence of bounded length."""
-    step = 1000.0 / fps
-    n = F.ceil((F.col(end) - F.col(start)) / F.lit(step)).cast("int") + 2
-    sums = F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.array(F.col(start).cast("double")),
-        lambda done, i: F.concat(done, F.array(F.element_at(done, -1) + F.lit(step))),
-    )
-    times = F.filter(sums, lambda t: t < F.col(end))
-    return ranges.where(sampling_fault(F.lit(fps), F.col(start), F.col(end)).isNull()).withColumn("target_ms", F.explode(F.transform(times, lambda t: F.rint(t).cast("bigint"))))
+    """``ranges`` with a row for each ``target_ms``; ranges that can't be sampled have none."""
+    good, _ = guarded(ranges.drop("target_ms"), fps, start, end, start)
+    schema = good.limit(0).selectExpr("*", "0L target_ms").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (s, e) in enumerate(zip(batch.column(start).to_pylist(), batch.column(end).to_pylist())):
+                times = target_times(s, e, fps)
+                rows = pa.RecordBatch.from_arrays([c.take(pa.array(np.full(len(times), i))) for c in batch.columns], names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(times)], names=schema.names)
+
+    return good.mapInArrow(run, schema)
 
 
 def frames_in_ranges(ranges: DataFrame, frames: DataFrame, bin_ms: int, start: str = "chunk_start_ms", end: str = "chunk_end_ms") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordered import largest_before, quantiles
+
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.99)
 
 
@@ -24,10 +26,15 @@ def request_metrics(log: DataFrame) -> DataFrame:
 
 
 def summary(rows: DataFrame, metrics: list[str], exact: bool = True) -> DataFrame:
-    """``metric, count, mean, std, min, p25, p50, p75, p90, p99, max``: one pass over the rows turned to long form."""
+    """``metric, count, mean, std, min, p25, p50, p75, p90, p99, max``: over the rows turned to long form; exact quantiles by ranges."""
     stacked = rows.select(F.expr(f"stack({len(metrics)}, {', '.join(f"'{m}', cast(`{m}` as double)" for m in metrics)}) as (metric, v)")).where("v is not null")
-    chosen = F.percentile if exact else F.percentile_approx
-    return stacked.groupBy("metric").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), *(chosen("v", F.lit(q)).alias(f"p{int(q * 100)}") for q in QUANTILES), F.max("v").alias("max"))
+    names = {f"p{int(q * 100)}": q for q in QUANTILES}
+    plain = [F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")]
+    if exact:
+        found = stacked.groupBy("metric").agg(*plain).join(quantiles(stacked, ["metric"], "v", names), "metric")
+    else:
+        found = stacked.groupBy("metric").agg(*plain, *(F.percentile_approx("v", F.lit(q)).alias(n) for n, q in names.items()))
+    return found.select("metric", "count", "mean", "std", "min", *names, "max")
 
 
 def sweep_grid(servers: DataFrame, benches: DataFrame, runs: int = 3) -> DataFrame:
@@ -51,11 +58,10 @@ def best_under_limit(runs: DataFrame, limit_ms: float, throughput: str = "throug
 def pareto_frontier(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Rows that no other one matches or beats in both ``x`` and ``y`` (and beats in one).
 
-    The best y of each x first, so that the order over all is over distinct x values alone.
+    The best y of each x first; what lies ahead of it follows range by range of x.
     """
     top = points.groupBy(F.col(x).alias("px")).agg(F.max(y).alias("py"))
-    ahead = F.max("py").over(Window.orderBy(F.desc("px")).rowsBetween(Window.unboundedPreceding, -1))
-    front = top.withColumn("ahead", ahead).where(F.col("ahead").isNull() | (F.col("py") > F.col("ahead"))).drop("ahead")
+    front = largest_before(top, [F.desc("px")], "py", "ahead").where(F.col("ahead").isNull() | (F.col("py") > F.col("ahead"))).drop("ahead")
     return points.join(front, (F.col(x) == F.col("px")) & (F.col(y) == F.col("py"))).drop("px", "py")
 
 

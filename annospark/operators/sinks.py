@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canonical import to_canonical_json
+from ..functions.ordered import numbered
 from ..sources.manifest import unsafe_id
 
 STAGES = ("coarse-sample-plan", "coarse", "refined", "final")
@@ -33,6 +34,11 @@ def document(row_quality: Column, provenance: Column) -> Column:
     return F.struct(F.col("duration_ms"), provenance.alias("provenance"), row_quality.alias("quality"), F.col("segments"), F.col("task_summary"), F.col("video_id"))
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``line, json``: the lines of an export with their numbers, in order of ``video_id``."""
+    return numbered(lines.select("video_id", "json"), ["video_id"]).select("line", "json")
+
+
 def export_jsonl(lines: DataFrame, path: str, files: int | None = None) -> None:
     """``video_id, json`` as text in order of ``video_id``, over as many files as ranges (one only when asked)."""
     ordered = lines.repartitionByRange(files, "video_id").sortWithinPartitions("video_id") if files else lines.orderBy("video_id")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.canonical import to_canonical_json
@@ -10,6 +9,7 @@ from ..operators import identity, probe, requests, responses, sampling, sinks, t
 from ..sources import contract as contracts
 from ..sources import manifest
 from . import adapters as a
+from . import job
 from .registry import query
 
 GAP_MS = 21_600_000
@@ -146,7 +146,7 @@ def _probes(spark, sf_dir):
     stream = F.struct(
         F.lit("640").alias("width"),
         F.lit("360").alias("height"),
-        F.when(F.col("u") % 3 == 0, "30/1").when(F.col("u") % 3 == 1, "0/0").otherwise("25").alias("avg_frame_rate"),
+        F.when(F.col("u") % 3 == 0, "30/1").when(F.col("u") % 3 == 1, "0/0").when(F.col("u") % 2 == 0, "25").when(F.col("u") % 4 == 1, "30.0/1.0").otherwise("30 / 1").alias("avg_frame_rate"),
         F.when(F.col("u") % 4 == 0, "N/A").when(F.col("u") % 4 == 1, "-1").otherwise(F.format_string("%.4f", (F.element_at("ms", 1) + 1) / 1000.0 + 0.0005)).alias("duration"),
         F.lit("5.000").alias("start_time"),
     )
@@ -161,7 +161,7 @@ u AS (SELECT video_id, CAST(regexp_extract(video_id, '(\\d+)$', 1) AS INT) AS u,
 
 
 @query(f"""{PROBED} SELECT video_id, CASE WHEN u % 4 IN (0, 1) THEN 123456 ELSE CAST(round_even(CAST(printf('%.4f', (last + 1) / 1000.0 + 0.0005) AS DOUBLE) * 1000, 0) AS BIGINT) END AS duration_ms,
-  round(CASE u % 3 WHEN 0 THEN 30.0 WHEN 2 THEN 25.0 ELSE 1000.0 / gap END, 9) AS fps, CAST(n AS INT) AS n_frames, last AS last_ms, CAST(total AS BIGINT) AS sum_ms
+  round(CASE WHEN u % 3 = 0 THEN 30.0 WHEN u % 3 = 2 AND u % 2 = 0 THEN 25.0 ELSE 1000.0 / gap END, 9) AS fps, CAST(n AS INT) AS n_frames, last AS last_ms, CAST(total AS BIGINT) AS sum_ms
   FROM u JOIN med USING (video_id) WHERE u % 10 <> 9 AND NOT (u % 20 = 8 AND u % 4 IN (0, 1))""")
 def probe_videos(spark, sf_dir):
     good, _ = probe.normalise(_probes(spark, sf_dir))
@@ -254,6 +254,17 @@ def coarse_requests(spark, sf_dir):
     return made.select("request_id", "media_start_ms", "media_end_ms", F.size("sample_timestamps_ms").alias("n_samples"), limit("end_ms").alias("max_end_ms"), limit("start_ms").alias("max_start_ms"))
 
 
+_SCHEMA_SQL = """{"additionalProperties":false,"properties":{"segments":{"items":{"additionalProperties":false,"properties":{"end_ms":{"maximum":' || d || ',"minimum":1,"type":"integer"},"evidence_timestamps_ms":{"items":{"maximum":' || d - 1 || ',"minimum":0,"type":"integer"},"type":"array"},"segment_id":{"type":"string"},"sentence":{"minLength":1,"type":"string"},"start_ms":{"maximum":' || d - 1 || ',"minimum":0,"type":"integer"},"values":{"additionalProperties":false,"properties":{"action":{"enum":["view","click","purchase","signup"],"type":"string"},"note":{"type":"string"}},"required":["action"],"type":"object"}},"required":["segment_id","start_ms","end_ms","values","sentence","evidence_timestamps_ms"],"type":"object"},"type":"array"},"task_summary":{"minLength":1,"type":"string"}},"required":["task_summary","segments"],"type":"object"}"""
+
+
+@query("WITH " + CHUNKS + ", c AS (SELECT video_id, chunk_id, chunk_end_ms - chunk_start_ms AS d FROM chunks) SELECT video_id, chunk_id, '" + _SCHEMA_SQL + "' AS response_schema FROM c")
+def response_schemas(spark, sf_dir):
+    """The whole response schema of each chunk, with its limits."""
+    plans = _chunks(spark, sf_dir).withColumn("path", F.lit("/v")).withColumn("samples", F.array("chunk_start_ms"))
+    made = requests.coarse_requests(plans, EVENT_CONTRACT)
+    return made.join(_chunks(spark, sf_dir).select("video_id", "chunk_id", F.col("chunk_start_ms").alias("media_start_ms")), ["video_id", "media_start_ms"]).select("video_id", "chunk_id", "response_schema")
+
+
 WINDOW_MS = 4_000_000
 
 
@@ -279,6 +290,18 @@ def segment_neighbours(spark, sf_dir):
     return rows.select("video_id", "segment_id", F.col("previous.segment_id").alias("previous_id"), F.col("following.segment_id").alias("following_id"), F.col("following.start_ms").alias("following_start_ms"))
 
 
+@query(f"""WITH RECURSIVE {WINDOWS}, held AS (SELECT * FROM windows WHERE we - ws > 0),
+  steps AS (SELECT video_id, segment_id, kind, ws, we, CAST(ws AS DOUBLE) AS cur FROM held UNION ALL SELECT video_id, segment_id, kind, ws, we, cur + 400000.0::DOUBLE FROM steps WHERE cur + 400000.0::DOUBLE < we),
+  inside AS (SELECT w.video_id, segment_id, kind, f.start_ms AS pts FROM held w JOIN (SELECT DISTINCT video_id, start_ms FROM timed) f ON f.video_id = w.video_id AND f.start_ms >= ws AND f.start_ms < we),
+  near AS (SELECT DISTINCT s.video_id, s.segment_id, s.kind, first(i.pts ORDER BY abs(i.pts - round_even(cur, 0)::BIGINT), i.pts) AS pts FROM steps s JOIN inside i USING (video_id, segment_id, kind) GROUP BY s.video_id, s.segment_id, s.kind, cur)
+  SELECT video_id, segment_id, kind, string_agg(pts, ',' ORDER BY pts) AS samples FROM near GROUP BY 1, 2, 3""")
+def window_samples(spark, sf_dir):
+    """The frames that stand for the evenly spaced times of each boundary window."""
+    pts = a.frames(spark, sf_dir).groupBy("video_id").agg(F.array_sort(F.collect_list("pts_ms")).alias("pts"))
+    rows = sampling.sample_ranges(_windows(spark, sf_dir).drop("previous", "following", "values", "evidence").join(pts, "video_id"), 0.0025, "window_start_ms", "window_end_ms")
+    return rows.where(F.size("samples") > 0).select("video_id", "segment_id", "kind", F.array_join("samples", ",").alias("samples"))
+
+
 @query(f"""WITH {WINDOWS} SELECT kind || ' of ' || segment_id AS message FROM windows w WHERE NOT EXISTS (SELECT 1 FROM timed f WHERE f.video_id = w.video_id AND f.event_id % 3 = 0 AND f.start_ms >= ws AND f.start_ms < we)""")
 def windows_without_frames(spark, sf_dir):
     pts = a.timed_events(spark, sf_dir).where("event_id % 3 = 0").groupBy("video_id").agg(F.collect_set("start_ms").alias("pts"))
@@ -350,6 +373,18 @@ def coarse_rejects(spark, sf_dir):
     return bad.groupBy("code").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {ASKED}, calls AS (SELECT 'coarse:' || video_id AS request_id, u, unnest([1, 2, 3]) AS n FROM who)
+  SELECT request_id, n AS call, CASE WHEN n <= 1 + u % 3 THEN request_id || '#' || n END AS response FROM calls WHERE n = 1 OR u % 2 = 0 OR n = 2 AND u % 4 = 1""")
+def repeated_calls(spark, sf_dir):
+    """The n-th request of an id, in order of its range, gets the n-th response of its script."""
+    asked, _ = _asked(spark, sf_dir)
+    user = F.regexp_extract("video_id", r"(\d+)$", 1).cast("int")
+    calls = asked.withColumn("u", user).withColumn("k", F.explode(F.array(F.lit(3), F.lit(1), F.lit(2))))
+    calls = calls.where("k = 1 OR u % 2 = 0 OR k = 2 AND u % 4 = 1").withColumn("media_start_ms", F.col("media_start_ms") + F.col("k") * 100)
+    script = asked.withColumn("u", user).select("request_id", F.explode(F.sequence(F.lit(1), 1 + F.col("u") % 3)).alias("n")).withColumn("response", F.concat("request_id", F.lit("#"), F.col("n").cast("string")))
+    return responses.scripted(script)(responses.numbered(calls)).select("request_id", F.col("n").alias("call"), "response")
+
+
 def _replies(spark, sf_dir):
     """Boundary responses for the windows: mostly right, some with another id, a quoted number or a late boundary."""
     w = _windows(spark, sf_dir)
@@ -441,11 +476,11 @@ def timeline_faults(spark, sf_dir):
 # --- G: identity and artifacts
 
 
-@query("""SELECT part, sha256(string_agg(row, chr(10) ORDER BY row)) AS digest FROM (SELECT doc_id % 16 AS part, length(doc_id::VARCHAR) || ' ' || doc_id || ' ' || sha256(text) AS row FROM documents) GROUP BY 1""")
+@query("""WITH rows AS (SELECT doc_id::VARCHAR AS key, sha256(text) AS digest, ('0x' || substring(md5(doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, (count(*) + 63) // 64) FROM documents) AS part FROM documents)
+  SELECT part, sha256(string_agg(length(key) || ' ' || key || ' ' || digest, chr(10) ORDER BY length(key) || ' ' || key || ' ' || digest)) AS digest FROM rows GROUP BY 1""")
 def content_digests(spark, sf_dir):
-    d = a.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
-    row = F.concat_ws(" ", F.length(F.col("doc_id").cast("string")).cast("string"), F.col("doc_id").cast("string"), "digest")
-    return d.groupBy((F.col("doc_id") % 16).alias("part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(row)), "\n"), 256).alias("digest"))
+    d = a.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), F.sha2("text", 256).alias("digest"))
+    return identity.part_digests(d, max(1, -(-d.count() // 64)))
 
 
 ARTIFACTS = f"""WITH {a.SEGMENTS}, {MERGED} SELECT video_id, '{{"segments":[' || string_agg('{{"end_ms":' || end_ms || ',"segment_id":"' || segment_id || '","start_ms":' || start_ms || ',"values":{{"action":"' || action || '"}}}}', ',' ORDER BY start_ms, segment_id) || '],"video_id":"' || video_id || '"}}' AS json FROM merged GROUP BY video_id"""
@@ -465,9 +500,62 @@ def stage_artifacts(spark, sf_dir):
 
 @query(f"SELECT row_number() OVER (ORDER BY video_id)::INT AS line, json FROM ({ARTIFACTS})")
 def jsonl_export(spark, sf_dir):
-    return _artifacts(spark, sf_dir).select(F.row_number().over(Window.orderBy("video_id")).alias("line"), "json")
+    return sinks.numbered_lines(_artifacts(spark, sf_dir)).withColumn("line", F.col("line").cast("int"))
 
 
 @query(f"WITH {ITEMS} SELECT video_id, path AS message FROM items WHERE c_custkey = 11")
 def output_aliases(spark, sf_dir):
     return identity.aliased_videos(_items(spark, sf_dir)[0], "/data/raw/../raw/11.mp4").select("video_id", "message")
+
+
+# --- the whole run
+
+#: A user's events as a short video: the n-th event is at n * 100 ms and lasts 100 ms; every third one is a segment.
+SHORT = f"""{a.TIMED}, placed AS (SELECT *, (row_number() OVER (PARTITION BY video_id ORDER BY start_ms, event_id) - 1) * 100 AS pos, count(*) OVER (PARTITION BY video_id) * 100 AS duration_ms, CAST(regexp_extract(video_id, '(\\d+)$', 1) AS INT) AS u FROM timed),
+segments AS (SELECT video_id, segment_id, event_type, pos AS start_ms, pos + 100 AS end_ms FROM placed WHERE pos // 100 % 3 < 2)"""
+
+
+def _short_videos(spark, sf_dir):
+    t = a.timed_events(spark, sf_dir)
+    each = t.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("start_ms", "event_id", "segment_id", "event_type"))).alias("e"))
+    return each.select("video_id", F.regexp_extract("video_id", r"(\d+)$", 1).cast("int").alias("u"), F.size("e").alias("n"), F.transform("e", lambda x, i: F.struct((i * 100).cast("bigint").alias("at"), x["segment_id"].alias("segment_id"), x["event_type"].alias("event_type"))).alias("e"))
+
+
+def _run(spark, sf_dir):
+    """The whole job over short videos: every 7th user has no script, every 11th a boundary that was asked for and isn't there."""
+    v = _short_videos(spark, sf_dir)
+    items = v.select("video_id", F.concat("video_id", F.lit(".mp4")).alias("video_uri"), F.lit("d").alias("dataset_id"), F.lit("events-1").alias("schema_version"), F.lit("events").alias("ontology_id"), F.lit("{}").alias("context"), F.lit("{}").alias("metadata"), F.concat(F.lit("/v/"), "video_id").alias("path"))
+    frames = F.transform("e", lambda x: F.struct(F.format_string("%.3f", x["at"] / 1000.0).alias("best_effort_timestamp_time")))
+    stream = F.struct(F.lit("64").alias("width"), F.lit("64").alias("height"), F.lit("10/1").alias("avg_frame_rate"), F.format_string("%.3f", F.col("n") / 10.0).alias("duration"), F.lit("0").alias("start_time"))
+    probes = v.select("video_id", F.to_json(F.struct(F.array(stream).alias("streams"), F.struct(F.lit("1").alias("duration")).alias("format"), frames.alias("frames"))).alias("probe"))
+    chosen = F.filter("e", lambda x: x["at"] / 100 % 3 < 2)
+    segments = F.transform(chosen, lambda x: F.struct(F.array(x["at"]).alias("evidence_timestamps_ms"), (x["at"] + 100).alias("end_ms"), x["segment_id"].alias("segment_id"), F.concat(F.lit("do "), x["event_type"]).alias("sentence"), x["at"].alias("start_ms"), F.create_map(F.lit("action"), x["event_type"]).alias("values")))
+    script = v.where("u % 7 <> 0").select(F.concat(F.lit("coarse:"), "video_id").alias("request_id"), F.to_json(F.struct(F.lit("day").alias("task_summary"), segments.alias("segments"))).alias("response"))
+    ends = v.select("video_id", "u", (F.col("n") * 100).cast("bigint").alias("d"), F.explode(chosen).alias("x")).select("*", F.explode(F.array(F.lit("start"), F.lit("end"))).alias("kind")).where("u % 11 <> 0 OR x.at > 0")
+    at = F.when(F.col("kind") == "start", F.col("x.at")).otherwise(F.col("x.at") + 100)
+    first = F.greatest(F.lit(0), F.least(F.col("d"), F.greatest(F.lit(0), at - 2000) + 4000) - 4000)
+    reply = F.struct((at - first).alias("boundary_ms"), F.col("kind").alias("boundary_kind"), F.array(F.col("x.at") - first).alias("evidence_timestamps_ms"), F.col("x.segment_id").alias("segment_id"))
+    replies = ends.select(F.concat(F.lit("boundary-"), "kind", F.lit(":"), "video_id", F.lit(":"), "x.segment_id").alias("request_id"), F.to_json(reply).alias("response"))
+    return job.run_annotation(items, probes, EVENT_CONTRACT, responses.scripted(script.union(replies).withColumn("n", F.lit(1))), job.RunConfig(coarse_fps=5.0, refine_fps=5.0))
+
+
+#: Videos with a reject and the code of it: no script, a missing boundary, or an event type that the contract doesn't know.
+STOPPED = """stopped AS (SELECT DISTINCT video_id FROM placed p WHERE duration_ms > 120000 OR u % 7 = 0 OR u % 11 = 0 OR event_type = 'error' AND pos // 100 % 3 < 2)"""
+
+
+@query(f"""WITH {SHORT}, {STOPPED}, {ISLANDS.replace(str(GAP_MS), '250')},
+  merged AS (SELECT video_id, island, first(segment_id ORDER BY start_ms) AS segment_id, min(start_ms) AS start_ms, max(end_ms) AS end_ms, min(event_type) AS action FROM numbered WHERE video_id NOT IN (SELECT video_id FROM stopped) GROUP BY 1, 2)
+  SELECT video_id, count(*)::INT AS segments, string_agg(segment_id || ':' || start_ms || '-' || end_ms || ':' || action, ',' ORDER BY start_ms) AS timeline,
+    CASE WHEN bool_or(end_ms - start_ms < 300) THEN 0.8 ELSE 1.0 END::DOUBLE AS score FROM merged GROUP BY 1""")
+def run_documents(spark, sf_dir):
+    found = _run(spark, sf_dir).documents
+    line = F.transform("segments", lambda s: F.concat_ws(":", s["segment_id"], F.concat_ws("-", s["start_ms"].cast("string"), s["end_ms"].cast("string")), s["values"]["action"]))
+    return found.select("video_id", F.size("segments").alias("segments"), F.array_join(line, ",").alias("timeline"), "score")
+
+
+@query(f"""WITH {SHORT}, short AS (SELECT * FROM placed WHERE duration_ms <= 120000)
+  SELECT 'no_response' AS code, count(DISTINCT video_id) AS n FROM short WHERE u % 7 = 0 HAVING count(*) > 0 UNION ALL
+  SELECT 'bad_values', count(*) FROM short WHERE u % 7 <> 0 AND event_type = 'error' AND pos // 100 % 3 < 2 HAVING count(*) > 0""")
+def run_rejects(spark, sf_dir):
+    found = _run(spark, sf_dir).rejects.where("code = 'bad_values' OR code = 'no_response' AND item_id LIKE 'coarse:%'")
+    return found.groupBy("code").agg(F.count("*").alias("n"))

@@ -71,7 +71,7 @@ class Contract:
         value = {n: {"type": "string"} | ({"enum": self.vocabularies[f["vocabulary"]]} if f["type"] == "enum" else {}) for n, f in self.fields.items()}
         count = {"type": "integer", "minimum": 0}
         segment = {
-            "segment_id": {"type": "string", "minLength": 1},
+            "segment_id": {"type": "string"},
             "start_ms": count,
             "end_ms": {"type": "integer", "minimum": 1},
             "values": {"type": "object", "additionalProperties": False, "properties": value, "required": [n for n, f in self.fields.items() if f["required"]]},

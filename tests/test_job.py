@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from annospark.operators import identity, responses, sinks
+from annospark.operators import identity, responses, sampling, sinks
+from annospark.plans import job
 from annospark.plans.job import RunConfig, run_annotation
 from annospark.sources import manifest
 from annospark.sources.contract import ContractError, make_contract
@@ -39,6 +40,62 @@ def test_golden_run(spark):
     assert result.run_id.startswith("run-") and result.run_id != run_annotation(*inputs(spark), RunConfig(merge_gap_ms=1)).run_id
 
 
+def test_each_request_is_answered_once(spark):
+    items, probes, contract, backend = inputs(spark)
+    asked = spark.sparkContext.accumulator(0)
+
+    def counting(made):
+        def run(batches):
+            for batch in batches:
+                asked.add(batch.num_rows)
+                yield batch
+
+        return backend(made.mapInArrow(run, made.schema))
+
+    result = run_annotation(items, probes, contract, counting)
+    assert result.rejects.count() == 0 and result.documents.count() == 1 and result.refined.count() == 1
+    assert asked.value == 3  # one coarse request, two boundaries
+
+
+@pytest.mark.parametrize("rates", [{"coarse_fps": float("inf")}, {"coarse_fps": 1e9}, {"refine_fps": float("nan")}, {"refine_fps": 0}])
+def test_rates_are_bounded(rates):
+    with pytest.raises(ValueError):
+        RunConfig(**rates)
+
+
+def test_ranges_with_too_many_targets_are_rejected(spark):
+    ranges = spark.createDataFrame([("v", "c", 0, 100_000_000)], "video_id string, chunk_id string, chunk_start_ms bigint, chunk_end_ms bigint")
+    good, bad = sampling.guarded(ranges, 2.0)
+    assert good.isEmpty() and [r.code for r in bad.collect()] == ["too_many_targets"]
+
+
+def test_run_on_files(spark, tmp_path):
+    (tmp_path / "v1.mp4").write_bytes(b"film")
+    lines = [{"video_id": v, "video_uri": f"{v}.mp4", "dataset_id": "d", "schema_version": "subtask-1", "ontology_id": "kitchen"} for v in ("v1", "v2")]
+    (tmp_path / "manifest.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    (tmp_path / "schema.yaml").write_text(json.dumps(SCHEMA))
+    (tmp_path / "ontology.yaml").write_text(json.dumps(ONTOLOGY))
+    body = {"streams": [{"width": 64, "height": 64, "avg_frame_rate": "30/1", "duration": "1.0"}], "format": {"duration": "1"}, "frames": [{"best_effort_timestamp_time": f"{i / 30:.6f}"} for i in range(30)]}
+    (tmp_path / "probes.jsonl").write_text("\n".join(json.dumps({"video_id": v, "probe": json.dumps(body)}) for v in ("v1", "v2")))
+    segment = {"segment_id": "s1", "start_ms": 0, "end_ms": 900, "values": {"action": "grasp", "target": "cup"}, "sentence": "拿起杯子", "evidence_timestamps_ms": [100]}
+    reply = lambda kind, at: [{"segment_id": "s1", "boundary_kind": kind, "boundary_ms": at, "evidence_timestamps_ms": [200]}]
+    script = {f"coarse:{v}": [{"task_summary": SUMMARY, "segments": [segment]}] for v in ("v1", "v2")} | {"boundary-start:v1:s1": reply("start", 100), "boundary-end:v1:s1": reply("end", 800)}
+    (tmp_path / "script.json").write_text(json.dumps(script, ensure_ascii=False))
+    files = job.RunFiles(*(str(tmp_path / x) for x in ("manifest.jsonl", "schema.yaml", "ontology.yaml", "probes.jsonl", "script.json", "out", "artifacts")))
+    first = job.run_files(spark, files)
+    assert {(r.code, r.video_id) for r in first.rejects.collect()} >= {("missing_file", "v2")}
+    text = [r.value for r in spark.read.text(files.output).collect()]
+    assert len(text) == 1 and json.loads(text[0])["segments"][0]["end_ms"] == 800
+    for stage in sinks.STAGES:
+        assert "v1" in {r.video_id for r in sinks.read_artifacts(spark, files.artifact_root, first.run_id, stage).collect()}, stage
+    (tmp_path / "v1.mp4").write_bytes(b"other film")
+    assert job.run_files(spark, files).run_id != first.run_id
+    (tmp_path / "v1.mp4").write_bytes(b"film")
+    assert job.run_files(spark, files).run_id == first.run_id
+    with pytest.raises(ValueError, match="script"):
+        job.run_files(spark, job.RunFiles(**(vars(files) | {"output": files.script})))
+
+
 def coarse_with(**change):
     segment = {"segment_id": "s1", "start_ms": 0, "end_ms": 900, "values": {"action": "grasp", "target": "cup"}, "sentence": "x", "evidence_timestamps_ms": [100]} | change
     return {"task_summary": "t", "segments": [segment]}

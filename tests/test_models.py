@@ -42,6 +42,7 @@ def test_long_text_is_cut_in_37(spark):
     docs = spark.createDataFrame([(1, "w " * 150_000)], "doc_id int, text string")
     assert retrieval.text_chunks(docs, 4096, 200_000).count() == 37
     assert retrieval.text_chunks(docs, 4096, 100_000).count() == 0
+    assert [(r.code, r.item_id, r.message) for r in retrieval.too_long_texts(docs, 100_000).collect()] == [("text_too_long", "1", "150000")]
 
 
 def test_no_run_within_the_limit_gives_zeros(spark):
