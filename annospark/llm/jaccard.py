@@ -5,7 +5,7 @@ Equal sets are one node from the start, so copies cost nothing further. Nodes ar
 * *Light* sets enumerate subsets of fixed size. Two sets of sizes x and y link exactly if they share a subset of ``overlap(x, y)``
   elements, so what meets in a subset is a link, and nothing is left to verify. Those that meet are linked to the smallest of
   them alone, which reaches all that any of them does.
-* *Heavy* sets are put into inverted lists, one for an element, and the lists are scanned. Elements have one order for all
+* *Heavy* sets are put into inverted lists, one for an element and a level of sizes, and the lists are scanned. Elements have one order for all
   sets, rare ones first; two linked sets have their first common element near the begin of both, so a set is put into the lists of its first
   elements alone. Texts of one template that differ too much to link have their own elements there, and never meet.
 
@@ -23,6 +23,7 @@ sets themselves.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -42,7 +43,7 @@ BITS, BLOCK = 1024, 512
 #: Largest set that may be light, and most subsets it may have.
 SMALL, MOST_SUBSETS = 40, 1_000
 #: Counters for the order of elements (a power of two), and the chunks and tasks in which they are added up.
-COUNTERS, CHUNKS, MERGED = 1 << 18, 16, 64
+COUNTERS, CHUNKS, MERGED = 1 << 20, 16, 16
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,6 +52,7 @@ class Threshold:
 
     def __init__(self, percent: int) -> None:
         self.percent = percent
+        self.starts = [1]  # of size levels
 
     def overlap(self, x, y):
         """Fewest common elements of linked sets of these sizes."""
@@ -67,11 +69,25 @@ class Threshold:
     def subsets(self, x: int, light: int) -> int:
         return sum(comb(x, c) for c in self.sizes(x, light))
 
-    def prefix(self, x: int, light: int) -> int:
-        """How many of a set's first elements have lists that it must be in, to meet all partners of which one at least is above ``light``."""
-        wanted = [y for y in (self.partners(x) if x > light else self.partners(x)[-1:]) if max(x, y) > light]
-        least = min(wanted[:1] if x > light else [light + 1] * len(wanted), default=None)
-        return 0 if least is None else max(0, x - self.overlap(x, least) + 1)
+    def level(self, x: int) -> int:
+        """The size level of a set: partners lie in its own level or a neighbouring one."""
+        while self.starts[-1] <= x:
+            self.starts.append(100 * self.starts[-1] // self.percent + 1)
+        return bisect_right(self.starts, x) - 1
+
+    def prefixes(self, x: int, light: int) -> list[tuple[int, int]]:
+        """Levels and, for each, how many of a set's first elements have a list there that it must be in. Two sets meet at the
+        higher of their levels; pairs up to ``light`` need no lists."""
+        own, found = self.level(x), []
+        for at in (own, own + 1):
+            wanted = (y for y in self.partners(x) if max(self.level(y), own) == at and max(x, y) > light)
+            least = next(wanted, None)
+            if least is not None:
+                found.append((at, x - self.overlap(x, least) + 1))
+        return found
+
+    def lists(self, x: int, light: int) -> int:
+        return sum(k for _, k in self.prefixes(x, light))
 
 
 def boundary(rule: Threshold, held: dict[int, tuple[int, float]]) -> int:
@@ -81,7 +97,7 @@ def boundary(rule: Threshold, held: dict[int, tuple[int, float]]) -> int:
     def cost(light: int) -> float:
         total = 0.0
         for n, (sets_, share) in held.items():
-            total += sets_ * (24 * rule.subsets(n, light) + rule.prefix(n, light) * (28 + share * (BITS // 8 + 28 + 16 * n)))
+            total += sets_ * (24 * rule.subsets(n, light) + rule.lists(n, light) * (28 + share * (BITS // 8 + 28 + 16 * n)))
         return total
 
     able = [0]
@@ -158,17 +174,22 @@ def scanned(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(ids, pa.int64()), pa.array(bitmaps, pa.binary()), pa.array(smalls, pa.binary()), none, none, pa.nulls(batch.num_rows, pa.binary())], names=schema.names)
         if kind is not None:
             count, none = TaskContext.get().partitionId(), pa.nulls(CHUNKS, pa.int64())
-            chunks = [x.astype("<i8").tobytes() for x in np.split(total, CHUNKS)]
+            chunks = [x.astype(np.min_scalar_type(int(x.max()))).tobytes() for x in np.split(total, CHUNKS)]
             yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), none, none, pa.nulls(CHUNKS, pa.binary()), pa.nulls(CHUNKS, pa.binary()), pa.array([count] * CHUNKS, pa.int32()), pa.array(range(CHUNKS), pa.int32()), pa.array(chunks, pa.binary())], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
+def _wide(counts: bytes) -> np.ndarray:
+    """A chunk of counts, which are stored in as few bytes as the largest takes."""
+    return np.frombuffer(counts, f"<u{len(counts) // (COUNTERS // CHUNKS)}").astype(np.int64)
+
+
 def element_counts(scan: DataFrame) -> np.ndarray:
     """All tasks' counts added up, some tasks at a time and again, so that no group holds more than ``MERGED`` rows."""
 
     def added(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, "<i8") for x in table["counts"].to_pylist())
+        total = sum(_wide(x) for x in table["counts"].to_pylist())
         return pa.table({"task": pa.array([table["task"][0].as_py() // MERGED], pa.int32()), "chunk": table["chunk"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     rows, tasks = scan.where("chunk is not null").select("task", "chunk", "counts"), MERGED
@@ -177,8 +198,8 @@ def element_counts(scan: DataFrame) -> np.ndarray:
         tasks = rows.agg(F.coalesce(F.max("task"), F.lit(0))).first()[0] + 1
     total = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
     for row in rows.collect():
-        total[row.chunk] = np.frombuffer(row.counts, "<i8")
-    return total.ravel()
+        total[row.chunk] = _wide(row.counts)
+    return np.minimum(total.ravel(), np.iinfo(np.uint32).max).astype(np.uint32)
 
 
 def small_sets(nodes: DataFrame) -> dict[int, tuple[int, float]]:
@@ -225,28 +246,31 @@ def light_links(nodes: DataFrame, rule: Threshold, light: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, size: int, rule: Threshold, light: int, order, text: str) -> DataFrame:
-    """``list_id, node, n, at``: the lists of every set that can have a heavy partner, one for each of its first elements, with the element's place. A task emits those of equal
-    sets once."""
-    prefixes: dict[int, int] = {}
+    """``list_id, node, n, at``: the lists of every set that can have a heavy partner, one for each of its first elements and level, with the element's
+    place. A task emits those of equal sets once."""
+    prefixes: dict[int, list[tuple[int, int]]] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         often = order.value
         for batch in pieces(batches, text):
-            lists, ids, sizes = [], [], []
+            lists, ids, sizes, places = [], [], [], []
             for s in sets(*flat(batch.column(0)), size):
                 n = len(s)
                 if n not in prefixes:
-                    prefixes[n] = rule.prefix(n, light) if n else 0
+                    prefixes[n] = rule.prefixes(n, light) if n else []
                 if prefixes[n] and (node := _identity(s)) not in done:
                     done.add(node)
-                    lists.append(s[np.argsort(often[counter(s)], kind="stable")[: prefixes[n]]])  # of equally frequent ones the lower hash comes first
+                    first = s[np.argsort(often[counter(s)], kind="stable")]  # of equally frequent ones the lower hash comes first
+                    for level, k in prefixes[n]:
+                        lists.append(mixed(first[:k] + _GOLD * np.uint64(level)))
+                        places.append(np.arange(k, dtype=np.int32))
                     ids.append(node)
                     sizes.append(n)
             if lists:
-                each = [len(x) for x in lists]
+                each = [sum(k for _, k in prefixes[n]) for n in sizes]
                 of, n = np.repeat(np.array(ids, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
-                at = np.concatenate([np.arange(k, dtype=np.int32) for k in each])
+                at = np.concatenate(places)
                 every = np.concatenate(lists).view(np.int64)
                 for a in range(0, len(every), 50_000):
                     yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 50_000]) for x in (every, of, n, at)], names=["list_id", "node", "n", "at"])

@@ -78,7 +78,8 @@ def test_thresholds_lose_no_pair():
                     if max(x, y) <= light:
                         assert need in rule.sizes(x, light) or x == y == need
                     else:
-                        assert rule.prefix(x, light) >= x - need + 1 and rule.prefix(y, light) >= y - need + 1
+                        at = max(rule.level(x), rule.level(y))
+                        assert dict(rule.prefixes(x, light))[at] >= x - need + 1 and dict(rule.prefixes(y, light))[at] >= y - need + 1
 
 
 def linked(rows, size, percent):
