@@ -41,10 +41,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def fitted(small: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """``small`` with a broadcast hint if it was measured to hold at most ``limit`` rows and ``size`` bytes, else as it is, for a shuffled join.
 
-    Text counts by its length, any other column as 8 bytes; counting stops at ``limit`` rows.
+    Text counts by its length, any other column as 8 bytes.
     """
     width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8) for c, kind in small.dtypes]
-    held = small.limit(limit + 1).select(sum(width, F.lit(0)).alias("width")).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
+    held = small.select(sum(width, F.lit(0)).alias("width")).agg(F.count("*"), F.coalesce(F.sum("width"), F.lit(0))).first()
     return F.broadcast(small) if held[0] <= limit and held[1] <= size else small
 
 

@@ -7,6 +7,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from annospark.llm import lm_score, pii, toxicity
 
@@ -78,6 +80,42 @@ def test_copies_hide_no_term(spark):
     assert all([t.entity for t in found[i].terms] == ["Zorblax"] for i in (0, 1, 2, 3, 10, 309))
 
 
+def test_shares_equal_brute_force(spark):
+    """Entities, units and disclosed shares of the given documents, with bounds that many terms pass."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id id", "coalesce(text, '') body").withColumn("rid", F.xxhash64("id", "body"))
+    found = pii.base_spans(docs, "body").withColumn("held", F.when(F.size("base") > 0, F.col("body"))).withColumn("sum", F.xxhash64("body")).drop("body")
+    got = {(r.entity, r.term): r.share for r in pii.disclosing_terms(docs.select("rid", "body"), found, pii.units(found), "body", 2, 0.5).collect()}
+    term, number = regex.compile(r"[\p{L}\p{N}]+"), lambda t: re.sub("[^0-9]", "", t)
+    units = {}
+    for r in sorted(docs.collect(), key=lambda r: r.rid):
+        at = sorted((k, int(a), int(b)) for k, a, b in (x.split(":") for x in spans(r.body)))
+        sides = frozenset((r.body[a:b].lower(), r.body[max(0, a - 200) : a], r.body[b : b + 200]) for _, a, b in at)
+        units.setdefault(sides or r.body, (r.body, at))  # the row with the least hash stands for its unit
+    holds, own, spread = {}, [], Counter()
+    for body, at in units.values():
+        spread.update(set(term.findall(body.lower())))
+        if not at:
+            continue
+        outside, end = "", 0
+        for a, b in sorted((a, b) for _, a, b in at):
+            outside, end = outside + body[end:a] + " ", max(end, b)
+        mine = set()
+        for kind, a, b in at:
+            text, k = body[a:b], pii.KINDS.index(kind)
+            group = text.lower().rsplit("@", 1)[-1] if k == 0 else ".".join(text.split(".")[:2]) if k == 1 else number(text)[: 6 if k == 2 else 5]
+            mine |= {f"value:{k}:{text.lower()}", f"group:{k}:{group}", f"kind:{k}"}
+        own.append((mine, set(term.findall((outside + body[end:]).lower()))))
+    df_e = Counter(e for mine, _ in own for e in mine)
+    both = Counter((e, t) for mine, terms in own for e in mine if df_e[e] >= 2 for t in terms)
+    n, want = len(units), {}
+    for (e, t), c in both.items():
+        if c >= 2 and n > df_e[e]:
+            share = min(1.0, math.log(n * c / (df_e[e] * spread[t])) / math.log(n / df_e[e]))
+            if share >= 0.5:
+                want[e, t] = share
+    assert len(want) > 20 and got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
+
+
 def test_gradients_match_differences():
     net = toxicity.Network(3, state=3, width=2, words=12, trigrams=9, dtype=np.float64)
     r = np.random.default_rng(0)
