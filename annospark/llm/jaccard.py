@@ -333,30 +333,55 @@ def described(docs: DataFrame, chosen: DataFrame, size: int, key: str, text: str
     return mine.mapInArrow(run, "node long, elements binary").join(chosen.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _may_link(rule: Threshold, n: np.ndarray, at: np.ndarray, maps: np.ndarray, m: int, its: int, bitmap: np.ndarray) -> np.ndarray:
-    """Which members of a list, of sizes ``n`` and with its element at the places ``at``, can link with one of size ``m`` and place ``its``."""
-    total = n + m
-    need = rule.overlap(n, m)
-    # if it is the first common element of two linked sets, enough must be left from it on; if it isn't, the pair meets in the first one's list
-    fits = (need <= np.minimum(n - at, m - its)).nonzero()[0]
-    apart = np.bitwise_count(maps[fits] ^ bitmap).sum(axis=1, dtype=np.int64)
-    out = np.zeros(len(n), bool)
-    out[fits[apart <= total[fits] - 2 * need[fits]]] = True
-    return out
-
+class Members:
+    """Rows of lists as arrays: ``list_id, node, n, at`` and bitmap words, with ``component`` if there is one."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        self.list, self.node, self.n, self.at = (column[x].to_numpy().astype(np.int64) for x in ("list_id", "node", "n", "at"))
+        self.component = column["component"].to_numpy() if "component" in column else None
+        self.maps = np.frombuffer(b"".join(column["bitmap"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+
+    def may_link(self, rule: Threshold, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs of rows can link."""
+        total = self.n[i] + self.n[j]
+        need = rule.overlap(self.n[i], self.n[j])
+        # if it is the first common element of two linked sets, enough must be left from it on; if it isn't, the pair meets in the first one's list
+        fits = (need <= np.minimum(self.n[i] - self.at[i], self.n[j] - self.at[j])).nonzero()[0]
+        if self.component is not None:
+            fits = fits[self.component[i[fits]] != self.component[j[fits]]]
+        out = np.zeros(len(i), bool)
+        for a in range(0, len(fits), 1 << 16):  # bounds the bitmaps' copies
+            part = fits[a : a + (1 << 16)]
+            apart = np.bitwise_count(self.maps[i[part]] ^ self.maps[j[part]]).sum(axis=1, dtype=np.int64)
+            out[part[apart <= total[part] - 2 * need[part]]] = True
+        return out
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], by: int, most: int) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Sorted rows in batches that end where a list (the first ``by`` columns) does, and whether the list goes on: one of more than ``most`` rows is cut."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted batches cut where ``list_id`` changes."""
     for batch in batches:
-        ids = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
-def _maps(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy() for k in range(by)]
+        same = np.logical_and.reduce([k == k[-1] for k in keys])
+        begin = batch.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        if begin or held and any(held[-1].column(k)[-1].as_py() != keys[k][0] for k in range(by)):
+            held.append(batch.slice(0, begin))
+            held = [x for x in held if x.num_rows]
+            yield joined(), False
+            held = []
+        held.append(batch.slice(begin))
+        if sum(x.num_rows for x in held) > most:
+            yield joined(), True
+            held = []
+    if held:
+        yield joined(), False
 
 
 def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
@@ -367,38 +392,42 @@ def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
 def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     """``a, b``: each member of a list with the first leader that it can link with. ``members``: ``list_id, node, n, at, bitmap``.
 
-    Only the current list's leaders are held, at most ``BLOCK`` of them; a member that fits none of those is left to
-    :func:`rest_pairs`.
+    All lists of a batch are worked on together, a leader of each in turn. Of a list that spans batches the leaders are held, at most ``BLOCK`` of them, also for any other list;
+    a member that fits none of those is left to :func:`rest_pairs`.
     """
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right, held, now, leaders = [], [], 0, None, []
-        for part in _lists(batches):
-            node, n, at = (part.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
-            maps = _maps(part.column(4))
-            if part.column(0)[0].as_py() != now:
-                now, leaders = part.column(0)[0].as_py(), []
-            rest, tried = np.arange(len(node)), 0
-            while len(rest):
-                if tried == len(leaders):
-                    if len(leaders) == BLOCK:
-                        break
-                    leaders.append((node[rest[0]], int(n[rest[0]]), int(at[rest[0]]), maps[rest[0]].copy()))
-                    rest = rest[1:]
-                lead, *its = leaders[tried]
-                tried += 1
-                fits = _may_link(rule, n[rest], at[rest], maps[rest], *its)
-                if fits.any():
-                    right.append(node[rest[fits]])
-                    left.append(np.full(len(right[-1]), lead))
-                    held += len(right[-1])
-                    rest = rest[~fits]
-            if held > 50_000:
+        lead: pa.RecordBatch | None = None  # leaders of the list that went on
+        for batch, goes_on in _whole_lists(batches, 1, 10_000):
+            first = 0
+            if lead is not None and lead.column(0)[0].as_py() == batch.column(0)[0].as_py():
+                batch, first = pa.Table.from_batches([lead, batch]).combine_chunks().to_batches()[0], lead.num_rows
+            rows = Members(batch)
+            left, right = [], []
+            rest = np.arange(first, len(rows.node))
+            leaders = list(range(first)) if rows.list[0] == rows.list[-1] else []  # of the last list
+            for turn in range(BLOCK):
+                if not len(rest):
+                    break
+                fresh = np.ones(len(rest), bool)
+                fresh[1:] = rows.list[rest[1:]] != rows.list[rest[:-1]]
+                if turn < first:  # the one list's held leaders come first
+                    others = rest[rows.list[rest] == rows.list[0]]
+                    chosen = np.full(len(others), turn)
+                    away = rest[rows.list[rest] != rows.list[0]]
+                else:
+                    heads = rest[fresh]
+                    leaders += heads[rows.list[heads] == rows.list[-1]].tolist()
+                    each = np.diff(np.append(np.flatnonzero(fresh), len(rest)))
+                    chosen, others, away = np.repeat(heads, each)[~fresh], rest[~fresh], rest[:0]
+                fits = rows.may_link(rule, chosen, others)
+                left.append(rows.node[chosen[fits]])
+                right.append(rows.node[others[fits]])
+                rest = np.sort(np.concatenate([others[~fits], away]))
+            if left and sum(map(len, left)):
                 yield _pairs(left, right)
-                left, right, held = [], [], 0
-        if held:
-            yield _pairs(left, right)
+            lead = batch.take(pa.array(leaders[:BLOCK])) if goes_on else None
 
     ordered = members.select("list_id", "node", "n", "at", "bitmap").repartition(parts, "list_id").sortWithinPartitions("list_id", "node")
     return ordered.mapInArrow(run, "a long, b long").distinct()
@@ -413,23 +442,29 @@ def rest_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     split = members.groupBy("list_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low != high").select("list_id", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
     mine = members.join(split, "list_id").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = mine.withColumn("with", other).select(F.struct("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y")).alias("pair"), "node", "n", "at", "bitmap", "component")
+    placed = mine.withColumn("with", other).select("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "node", "n", "at", "bitmap", "component")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
-        node, n, at, part = (rows[c].to_numpy().astype(np.int64) for c in ("node", "n", "at", "component"))
-        maps = _maps(rows["bitmap"].combine_chunks())
-        left, right = [], []
-        for i in range(len(node) - 1):
-            other = np.flatnonzero(part[i + 1 :] != part[i]) + i + 1
-            fits = other[_may_link(rule, n[other], at[other], maps[other], int(n[i]), int(at[i]), maps[i])] if len(other) else other
-            if len(fits):
-                right.append(node[fits])
-                left.append(np.full(len(right[-1]), node[i]))
-        if left:
-            yield _pairs(left, right)
-
-    return placed.groupBy("pair").applyInArrow(run, "a long, b long").distinct()
+        for batch, _ in _whole_lists(batches, 3, 1 << 30):  # a group is two blocks at most
+            rows = Members(batch)
+            x, y = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            fresh = np.ones(len(x), bool)
+            fresh[1:] = (rows.list[1:] != rows.list[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+            ends = np.append(np.flatnonzero(fresh)[1:], len(x)).repeat(np.diff(np.append(np.flatnonzero(fresh), len(x))))
+            after = ends - np.arange(len(x)) - 1  # rows of its group that follow each row
+            a = 0
+            while a < len(x):  # as many rows at once as have some thousand pairs
+                b = max(a + 1, int(np.searchsorted(np.cumsum(after[a:]), 200_000, "right")) + a)
+                i = np.repeat(np.arange(a, b), after[a:b])
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after[a:b]) - after[a:b], after[a:b])
+                fits = rows.may_link(rule, i, j)
+                if fits.any():
+                    yield _pairs([rows.node[i[fits]]], [rows.node[j[fits]]])
+                a = b
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = placed.repartition(parts, "list_id", "x", "y").sortWithinPartitions("list_id", "x", "y")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Threshold, size: int, key: str, text: str) -> DataFrame:

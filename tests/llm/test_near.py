@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,19 @@ def test_texts_of_one_template_never_meet(spark):
     assert jaccard.linked_documents(docs, 3, 90).where("component_id = doc_id").count() == 3001
 
 
+def test_lists_over_many_batches(spark):
+    """Leaders of a list longer than a batch link all that can link, and other lists in the same batches are not mixed up with it."""
+    near, far = (lambda k: np.packbits(np.arange(jaccard.BITS) < k).tobytes()), jaccard.Threshold(90)
+    rows = [(5, i, 300, 0, near(i % 3)) for i in range(25_000)] + [(k, 100_000 + k * 10 + i, 300, 0, near(400 * i)) for k in (3, 4, 6, 7) for i in range(3)]
+    rows.sort()
+    frame = spark.createDataFrame([(*x[:4], bytearray(x[4])) for x in rows], "list_id long, node long, n int, at int, bitmap binary")
+    found = {tuple(r) for r in jaccard.leader_pairs(frame.repartition(1), far).collect()}
+    assert found == {(0, i) for i in range(1, 25_000)}
+    placed = frame.where("list_id = 5 and node < 1500 or list_id > 5").withColumn("component", F.when(F.col("node") < 700, 1).otherwise(F.col("node")))
+    pairs = {tuple(r) for r in jaccard.rest_pairs(placed, far).collect()}
+    assert pairs == {(a, b) for a in range(1500) for b in range(max(a + 1, 700), 1500)}
+
+
 def test_boundary_follows_the_cost():
     rule = jaccard.Threshold(90)
     assert jaccard.boundary(rule, {19: (1000, 1.0)}) >= 19 > jaccard.boundary(rule, {28: (1000, 0.0)} | {19: (1000, 0.0)})
