@@ -510,13 +510,14 @@ def output_aliases(spark, sf_dir):
 
 # --- the whole run
 
-#: A user's events as a short video: the n-th event is at n * 100 ms and lasts 100 ms; every third one is a segment.
-SHORT = f"""{a.TIMED}, placed AS (SELECT *, (row_number() OVER (PARTITION BY video_id ORDER BY start_ms, event_id) - 1) * 100 AS pos, count(*) OVER (PARTITION BY video_id) * 100 AS duration_ms, CAST(regexp_extract(video_id, '(\\d+)$', 1) AS INT) AS u FROM timed),
+#: A user's events as a short video: the n-th event is at n * 100 ms and lasts 100 ms; two of three are segments. One user in five has an event type that the contract doesn't know.
+SHORT = f"""{a.TIMED}, placed AS (SELECT * REPLACE (CASE WHEN event_type = 'error' AND CAST(regexp_extract(video_id, '(\\d+)$', 1) AS INT) % 5 <> 0 THEN 'click' ELSE event_type END AS event_type), (row_number() OVER (PARTITION BY video_id ORDER BY start_ms, event_id) - 1) * 100 AS pos, count(*) OVER (PARTITION BY video_id) * 100 AS duration_ms, CAST(regexp_extract(video_id, '(\\d+)$', 1) AS INT) AS u FROM timed),
 segments AS (SELECT video_id, segment_id, event_type, pos AS start_ms, pos + 100 AS end_ms FROM placed WHERE pos // 100 % 3 < 2)"""
 
 
 def _short_videos(spark, sf_dir):
-    t = a.timed_events(spark, sf_dir)
+    user = F.regexp_extract("video_id", r"(\d+)$", 1).cast("int")
+    t = a.timed_events(spark, sf_dir).withColumn("event_type", F.when((F.col("event_type") == "error") & (user % 5 != 0), "click").otherwise(F.col("event_type")))
     each = t.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("start_ms", "event_id", "segment_id", "event_type"))).alias("e"))
     return each.select("video_id", F.regexp_extract("video_id", r"(\d+)$", 1).cast("int").alias("u"), F.size("e").alias("n"), F.transform("e", lambda x, i: F.struct((i * 100).cast("bigint").alias("at"), x["segment_id"].alias("segment_id"), x["event_type"].alias("event_type"))).alias("e"))
 
