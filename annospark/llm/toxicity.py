@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import stored
@@ -23,8 +23,8 @@ from .shared import stored
 WINDOW, STRIDE = 64, 48
 #: Rows of the word and trigram tables, width of each, width of a direction's state.
 WORDS, TRIGRAMS, WIDTH, STATE = 1 << 14, 1 << 12, 8, 8
-#: Bound of the training sample: rows with label 1, with label 0, and words in all.
-POSITIVE_ROWS, NEGATIVE_ROWS, SAMPLE_WORDS = 1_000, 2_000, 2_000_000
+#: Bound of the training sample: rows with label 1, with label 0, and characters in all.
+POSITIVE_ROWS, NEGATIVE_ROWS, SAMPLE_CHARS = 1_000, 2_000, 13_000_000
 EPOCHS, BATCH, RATE, DECAY, DROPPED = 10, 96, 0.02, 0.02, 0.2
 #: Texts of the sample in which a word or trigram must occur to get a vector; others stay at zero, so that a text can't be known by a word of its own.
 WORD_TEXTS, TRIGRAM_TEXTS = 3, 6
@@ -238,22 +238,20 @@ def train(texts: list[list[str]], labels: np.ndarray, seed: int = 1) -> Network:
 def sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str) -> tuple[list[list[str]], np.ndarray]:
     """Texts and labels of the training sample: rows of ``labels`` in order of a hash of their key, up to the documented bounds.
 
-    A key that is labelled several times counts as 1 if any label is.
+    A key that is labelled several times counts as 1 if any label is; of several texts with one key the longest is taken.
     """
     marked = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(F.col(label).cast("int")).alias("marked"))
     order = F.xxhash64(F.col(key), F.lit("sample"))
     bound = lambda value, n: marked.where(F.col("marked") == value).orderBy(order).limit(n)
     chosen = stored(bound(1, POSITIVE_ROWS).union(bound(0, NEGATIVE_ROWS)), "labelled")
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).select(key, text, "marked").toArrow()
-    found = sorted((zlib.crc32(str(k).encode()), k, t or "", m) for k, t, m in zip(*(rows[c].to_pylist() for c in rows.column_names)))
-    texts, marks, total = [], [], 0
-    for _, _, t, m in found:
-        words = split_words(t)
-        if total + len(words) <= SAMPLE_WORDS:
-            texts.append(words)
-            marks.append(m)
-            total += len(words)
-    return texts, np.array(marks, np.int64)
+    mine = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("body")).join(F.broadcast(chosen), key)
+    # lengths first, so that no more text than the bound is ever gathered
+    sizes = mine.groupBy(key, "marked").agg(F.max(F.length("body")).alias("n"))
+    upto = F.sum("n").over(Window.orderBy(order, F.col(key)))
+    within = stored(sizes.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_CHARS).select(key, "marked"), "sampled")
+    rows = mine.drop("marked").join(F.broadcast(within), key).groupBy(key, "marked").agg(F.max(F.struct(F.length("body").alias("n"), "body"))["body"].alias("body")).toArrow()
+    found = sorted((zlib.crc32(str(k).encode()), k, t, m) for k, t, m in zip(*(rows[c].to_pylist() for c in (key, "body", "marked"))))
+    return [split_words(t) for _, _, t, _ in found], np.array([m for *_, m in found], np.int64)
 
 
 def score(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "text") -> DataFrame:

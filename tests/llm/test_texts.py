@@ -21,6 +21,7 @@ PII = [
     "call +1 (269) 555-3296 or +12 or +44-20-7946-0958-1 ++1 234 567 890",
     "über 🙂 ä@ö.de x@ä.de Ünï ok@host.org",
     "1 " * 3000 + "a@b.co " * 50,
+    "ä a@b.co, " * 600 + "1.2.3.4 " * 257,
 ]
 
 
