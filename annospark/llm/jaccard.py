@@ -433,16 +433,19 @@ def leader_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def rest_pairs(members: DataFrame, rule: Threshold) -> DataFrame:
-    """``a, b``: all pairs of a list's members in different components that can link. ``members`` has ``component`` as well.
+def rest_pairs(members: DataFrame, bitmaps: DataFrame, rule: Threshold) -> DataFrame:
+    """``a, b``: all pairs of a list's members in different components that can link. ``members``: ``list_id, node, n, at, component``; their
+    ``bitmaps`` (``node, bitmap``) are joined to the rows that are left to compare.
 
     Blocks of a list's members are paired with each other, each pair of blocks a group of bounded size, and one block with
     all of its own; a list in one component has no rows here.
     """
-    split = members.groupBy("list_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low != high").select("list_id", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
-    mine = members.join(split, "list_id").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    split = members.groupBy("list_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held")).where("low != high")
+    split = stored(split.select("list_id", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")), "split-lists")
+    mine = members.join(fitted(split), "list_id").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = mine.withColumn("with", other).select("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "node", "n", "at", "bitmap", "component")
+    placed = mine.withColumn("with", other).select("list_id", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "node", "n", "at", "component")
+    placed = placed.join(bitmaps, "node").select("list_id", "x", "y", "node", "n", "at", "component", "bitmap")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _ in _whole_lists(batches, 3, 1 << 30):  # a group is two blocks at most
@@ -499,11 +502,11 @@ def links(docs: DataFrame, scan: DataFrame, rule: Threshold, size: int, key: str
     order = docs.sparkSession.sparkContext.broadcast(element_counts(scan))
     near = stored(light_links(nodes, rule, light), "light-links")
     lists = stored(shared_lists(postings(docs, size, rule, light, order, text)), "lists")
-    members = stored(lists.join(nodes.select("node", "bitmap"), "node"), "members")
-    lead = stored(verified(leader_pairs(members, rule), docs, nodes, rule, size, key, text), "leader-links")
+    bitmaps = nodes.select("node", "bitmap")
+    lead = stored(verified(leader_pairs(lists.join(bitmaps, "node"), rule), docs, nodes, rule, size, key, text), "leader-links")
     parts = stored(components(near.union(lead)), "components")
-    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    more = stored(verified(rest_pairs(placed, rule), docs, nodes, rule, size, key, text), "rest-links")
+    placed = lists.join(fitted(parts), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = stored(verified(rest_pairs(placed, bitmaps, rule), docs, nodes, rule, size, key, text), "rest-links")
     if not more.isEmpty():
         parts = stored(components(near.union(lead).union(more)), "components")
     return near.withColumn("side", F.lit("light")).union(lead.union(more).withColumn("side", F.lit("heavy"))), parts
