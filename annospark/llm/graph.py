@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: links of a node are moved to the smallest neighbour until each hangs on the
     smallest node of its component. Links are never copied per pair of a group, so a group of n costs n links a step. Each
-    step is written to the shared folder.
+    step is written to the shared folder. Links that repeat, in either direction, count once; links of a node with itself and links with a
+    null end are left out; an empty table gives an empty result; other columns are ignored.
     """
     links = stored(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     if links.isEmpty():

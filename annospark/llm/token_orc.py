@@ -75,12 +75,17 @@ def read_tokens(spark, path: str) -> DataFrame:
 
 
 def look_up(spark, path: str, key_value: int, key: str = "doc_id") -> DataFrame:
-    """The rows of one document; stripes and row groups whose index or Bloom filter rules it out are not read."""
+    """The rows of one document; stripes and row groups whose index or Bloom filter rules it out are not read.
+
+    All rows that repeat the key are returned; a key that isn't there, or a null one, gives an empty result."""
     return spark.read.orc(path).where(F.col(key) == F.lit(key_value))
 
 
 def check_sums(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per row of :func:`read_tokens`: ``key, start, n_tokens`` and the CRC-32 of the ids as little-endian 32-bit integers."""
+    """Per row of :func:`read_tokens`: ``key, start, n_tokens`` and the CRC-32 of the ids as little-endian 32-bit integers.
+
+    Every row has its end id at least, those of null texts too; null keys and rows that repeat are rows like others; an empty
+    table gives an empty result; other columns are ignored."""
     kept = tokens.select(key, "start", "token_ids")
     schema = kept.limit(0).selectExpr(f"`{key}`", "start", "0L n_tokens", "0L ids_crc32").schema
 

@@ -170,6 +170,24 @@ def test_components_of_links(spark, links):
     assert found == {x: find(x) for p in links if p[0] != p[1] for x in p}
 
 
+def test_stages_take_odd_input(spark):
+    """Nulls, empty and very long texts, repeated rows, clashing column names and empty tables, in every stage; values stay as they are."""
+    r = random.Random(3)
+    text = lambda n: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n))
+    long, plain = text(60_000), text(80)
+    rows = [(i, t, s, lang, 5, "x", float(i or 0), None) for i, t, s, lang in [(1, None, "a", "en"), (2, "", "a", None), (3, long, None, "en"), (4, plain, "b", "en"), (4, plain, "b", "en"), (5, plain, "a", None), (None, plain, None, "en"), (6, plain + " more words here", "b", "en"), (None, None, None, None)]]
+    schema = "doc_id bigint, text string, source string, lang string, n_words int, lost_id string, target double, own string"
+    docs = spark.createDataFrame(rows, schema).repartition(2)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows), name
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+    near = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert sum(x[1] == plain for x in near) == 3 and not any(x[0] in (5, 6) for x in near)  # both rows of 4, and the one without id
+    last = {(x.doc_id, len(x.token_ids)) for x in corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()}
+    assert (1, 0) in last and (2, 0) in last and max(n for _, n in last) > 60_000
+
+
 def test_stages_keep_columns_and_take_effect(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("extra", F.lit(1))
