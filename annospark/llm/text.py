@@ -33,7 +33,8 @@ _powers = [_powers_of(_BASE, _WINDOW + 1), _powers_of(_INVERSE, _WINDOW + 1)]
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of whole rows with about ``limit`` bytes of text, so that arrays per byte stay small."""
+    """The batches cut into slices of whole rows with about ``limit`` bytes of text, so that arrays per byte stay small. At the
+    end of a task the worker gives back what memory it holds unused."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes, dtype=np.int64) // limit
@@ -41,6 +42,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19)
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
