@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, jaccard, lm_score, mixing, pii, quality, token_counts, token_orc, toxicity
+from . import bpe, collocations, conversation_repair, exact_dedup, jaccard, lm_score, mixing, packing, pii, quality, token_counts, token_orc, toxicity
 from .shared import shared_path
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -119,6 +119,81 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.check_sums(token_orc.read_tokens(spark, path))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), end_id=0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audits(conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def _op12_sql() -> str:
+    """The program over turns as a recursion: of each state the least (cost, audit), with the repaired text."""
+    edit = lambda x, cost, letter, role="", text="": f"{{'c': {x}.c + {cost}, 'a': {x}.a || '{letter}', 'r': {x}.r" + (f" || CASE WHEN {x}.r = '' THEN '' ELSE chr(10) END || {role} || ':' || {text}" if role else "") + "}"
+    only = lambda test, x: f"CASE WHEN {test} THEN {x} ELSE {{'c': 1000000000, 'a': '', 'r': ''}} END"
+    least = lambda *x: f"list_min([{', '.join(x)}])"
+    gone = {q: edit(f"d.{q}", 4, "D") for q in "esua"}
+    kept = lambda q, i: only(f"NOT t.must_go AND t.initial = '{i}'", edit(f"d.{q}", "t.more", "K", "t.role", "t.text"))
+    turned = lambda q, role: only("NOT t.must_go", edit(f"d.{q}", "t.more + 3", "R", f"'{role}'", "t.text"))
+    base_u = least(gone["u"], *(kept(q, "u") for q in "esa"), *(turned(q, "user") for q in "esa"))
+    base_a = least(gone["a"], kept("u", "a"), turned("u", "assistant"))
+    put = lambda x, role: edit(x, 3, "I", f"'{role}'", "''")
+    zero, never = "{'c': 0, 'a': '', 'r': ''}", "{'c': 1000000000, 'a': '', 'r': ''}"
+    return rf"""
+WITH RECURSIVE table_ AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+rests AS (SELECT k.*, xor(list_reduce(list_concat([4294967295], [ascii(key[i]) FOR i IN range(1, len(key) + 1)]), lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1])), 4294967295) % 20 AS rest FROM keyed k, table_),
+damaged AS (SELECT conv_id, turn, CASE WHEN rest = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+  CASE rest WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+  unnest(range(CASE rest WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM rests),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+faults AS (SELECT *, role[1:1] AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS earlier FROM placed),
+turns AS (SELECT *, blank OR again AS must_go, cut AND NOT blank AND NOT again AS truncated, CASE WHEN cut AND NOT blank AND NOT again THEN 3 ELSE 0 END AS more FROM faults),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+program AS (
+  SELECT conv_id, 0 AS i, {zero} AS e, {never} AS s, {{'c': 3, 'a': 'I', 'r': 'user:'}} AS u,
+    {{'c': 6, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:'}} AS a FROM convs
+  UNION ALL
+  SELECT conv_id, i, e, s, u, {least("a", put("u", "assistant"))} AS a FROM (SELECT conv_id, i, e, s, a, {least("u", put("e", "user"), put("s", "user"), put("a", "user"))} AS u
+    FROM (SELECT d.conv_id, d.i + 1 AS i, {gone["e"]} AS e, {least(gone["s"], kept("e", "s"))} AS s, {base_u} AS u, {base_a} AS a
+      FROM program d JOIN turns t ON d.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = d.i + 1))),
+ended AS (SELECT conv_id, list_min([e, a]) AS x FROM program QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+  count(*) FILTER (truncated) AS truncated, count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY 1)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(x.c AS BIGINT) AS cost, x.a AS audit, sha256(x.r) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY 1),
+runs AS (SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase FROM worded, range(1, 6) t(size)),
+counts AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM runs GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 : size], ' ') AS tail FROM (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size > 1)),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, CAST(1000::HUGEINT * c.a * t.n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON c.lang = x.lang AND c.head = x.phrase JOIN counts y ON c.lang = y.lang AND c.tail = y.phrase JOIN totals t ON c.lang = t.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (SELECT lang, f, array_to_string(w[o : o + m - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, size - m + 2)) AS o FROM (SELECT *, unnest(range(2, size)) AS m FROM counts WHERE size > 2))),
+longer AS (SELECT lang, phrase, max(f) AS f FROM parts GROUP BY 1, 2),
+ranked AS (SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, s.l, s.r, s.n, s.score
+  FROM weakest s LEFT JOIN longer g ON s.lang = g.lang AND s.phrase = g.phrase WHERE g.f IS NULL OR 100 * g.f < 100 * s.a)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_source_mixing": op2_source_mixing,
@@ -130,7 +205,10 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_orc": op10_token_orc,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_collocations": op13_collocations,
 }
 
 #: The others have no SQL form: they rest on vocabulary files, fitted models or regular expressions that DuckDB lacks.
-SQL = {"op2_source_mixing": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op8_lm_scoring": OP8_SQL, "op9_exact_dedup": OP9_SQL}
+SQL = {"op2_source_mixing": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op8_lm_scoring": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op12_conversation_repair": OP12_SQL, "op13_collocations": OP13_SQL}
