@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
@@ -72,12 +73,35 @@ def run_id(config: dict[str, Any], identity: dict[str, Any]) -> str:
     return "run-" + hashlib.sha256(canonical_json({"config": config, "identity": identity}).encode()).hexdigest()
 
 
+def _below(path: str, folder: str) -> bool:
+    return path == folder or path.startswith(folder.rstrip("/") + "/")
+
+
 def output_alias(output: str, inputs: dict[str, str]) -> str | None:
-    """The name of the input that is the output's file, before anything is written."""
+    """The name of an input that writing the output would replace, before anything is written: its file, under any name or link, or one in the output's folder."""
     place = Path(output).resolve()
-    return next((name for name, path in inputs.items() if Path(path).resolve() == place), None)
+    for name, path in inputs.items():
+        here = Path(path).resolve()
+        if _below(str(here), str(place)) or (here.exists() and place.exists() and here.samefile(place)):
+            return name
+    return None
 
 
 def aliased_videos(items: DataFrame, output: str) -> DataFrame:
-    """Rejects for items whose file is the output."""
-    return reject(items.where(F.col("path") == str(Path(output).resolve())), "output", "output_is_input", F.col("path"))
+    """Rejects for items whose file is the output or lies in its folder."""
+    place = str(Path(output).resolve())
+    return reject(items.where((F.col("path") == place) | F.col("path").startswith(place.rstrip("/") + "/")), "output", "output_is_input", F.col("path"))
+
+
+def linked_videos(items: DataFrame, output: str) -> DataFrame:
+    """Rejects for items whose file is the output's by a hard or symbolic link, on storage that executors mount; others see no link and give none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = Path(output)
+        for batch in batches:
+            if place.is_file():
+                same = [p is not None and os.path.exists(p) and os.path.samefile(p, place) for p in batch.column("path").to_pylist()]
+                yield batch.filter(pa.array(same, pa.bool_()))
+
+    named = items.select("video_id", "path")
+    return reject(named.mapInArrow(run, named.schema), "output", "output_is_input", F.col("path"))

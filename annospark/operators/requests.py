@@ -69,9 +69,12 @@ def with_neighbours(segments: DataFrame) -> DataFrame:
 
 
 def windows_without_frames(windows: DataFrame) -> DataFrame:
-    """Rejects for windows in which none of the video's frames (``pts``) lies; to be raised before any request is made."""
-    empty = windows.where(~F.exists("pts", lambda t: (t >= F.col("window_start_ms")) & (t < F.col("window_end_ms"))))
-    return reject(empty, "refine", "window_without_frame", F.concat_ws(" of ", "kind", "segment_id"), item=F.col("segment_id"))
+    """Rejects for windows in which none of the video's frames lies, to be raised before any request is made.
+
+    What was sampled tells (``samples`` is empty there); windows that weren't sampled yet have the video's frames (``pts``).
+    """
+    none = F.size("samples") == 0 if "samples" in windows.columns else ~F.exists("pts", lambda t: (t >= F.col("window_start_ms")) & (t < F.col("window_end_ms")))
+    return reject(windows.where(none), "refine", "window_without_frame", F.concat_ws(" of ", "kind", "segment_id"), item=F.col("segment_id"))
 
 
 def boundary_requests(windows: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from ..sources.manifest import reject
 
 MAX_CHUNK_MS, OVERLAP_MS = 120_000, 8_000
 MAX_FPS, MAX_TARGETS = 240.0, 100_000
+#: Ranges whose targets are made in one go, so that a batch stays below some million rows.
+TARGET_ROWS = 64
 
 
 def build_chunks(videos: DataFrame, max_chunk_ms: int = MAX_CHUNK_MS, overlap_ms: int = OVERLAP_MS) -> DataFrame:
@@ -79,6 +81,32 @@ def sample_ranges(ranges: DataFrame, fps: float, start: str = "chunk_start_ms",
     return kept.mapInArrow(run, schema)
 
 
+def sample_windows(windows: DataFrame, frames: DataFrame, fps: float, start: str = "window_start_ms", end: str = "window_end_ms") -> DataFrame:
+    """``windows`` (``video_id`` and any columns) with ``samples``, as :func:`sample_ranges` gives them, from ``frames`` (``video_id, pts``).
+
+    A video's windows meet its frames in one row, so the frames travel once for each video and are cut for all its windows in one pass.
+    """
+    rest = [c for c in windows.columns if c not in ("video_id", "samples")]
+    gathered = windows.groupBy("video_id").agg(F.collect_list(F.struct(*rest)).alias("windows")).join(frames.select("video_id", "pts"), "video_id")
+    schema = windows.limit(0).selectExpr("video_id", *(f"`{c}`" for c in rest), "cast(null as array<bigint>) samples").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("windows")
+            each = lists.flatten()
+            sizes = np.diff(lists.offsets.to_numpy())
+            found, at = [], 0
+            bounds = list(zip(each.field(start).to_pylist(), each.field(end).to_pylist()))
+            for pts, n in zip(batch.column("pts"), sizes.tolist()):
+                own = np.asarray(pts.values)
+                found += [nearest_frames(own, s, e, fps) for s, e in bounds[at : at + n]]
+                at += n
+            owner = batch.column("video_id").take(pa.array(np.repeat(np.arange(batch.num_rows), sizes)))
+            yield pa.RecordBatch.from_arrays([owner, *(each.field(c) for c in rest), pa.array(found, pa.list_(pa.int64()))], names=["video_id", *rest, "samples"])
+
+    return gathered.mapInArrow(run, schema)
+
+
 def guarded(ranges: DataFrame, fps: float, start: str = "chunk_start_ms", end: str = "chunk_end_ms", item: str = "chunk_id") -> tuple[DataFrame, DataFrame]:
     """The ranges that can be sampled at ``fps``, and rejects for the others."""
     fault = sampling_fault(F.lit(float(fps)), F.col(start), F.col(end))
@@ -93,10 +121,11 @@ def targets_table(ranges: DataFrame, fps: float, start: str = "chunk_start_ms",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (s, e) in enumerate(zip(batch.column(start).to_pylist(), batch.column(end).to_pylist())):
-                times = target_times(s, e, fps)
-                rows = pa.RecordBatch.from_arrays([c.take(pa.array(np.full(len(times), i))) for c in batch.columns], names=batch.schema.names)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(times)], names=schema.names)
+            for part in range(0, batch.num_rows, TARGET_ROWS):
+                rows = batch.slice(part, TARGET_ROWS)
+                times = [target_times(s, e, fps) for s, e in zip(rows.column(start).to_pylist(), rows.column(end).to_pylist())]
+                taken = rows.take(pa.array(np.repeat(np.arange(len(times)), [len(t) for t in times])))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(times))], names=schema.names)
 
     return good.mapInArrow(run, schema)
 

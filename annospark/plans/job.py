@@ -79,25 +79,32 @@ def run_annotation(
 ) -> RunResult:
     """Annotates the videos of ``items`` (see :func:`manifest.parse_manifest`) with ``probes`` (``video_id, probe``).
 
-    A video with any reject has no document. ``strict`` raises on the first rejects instead. ``documents`` has
+    A video with any reject has no document, and one that the manifest's checks refuse isn't worked on at all. ``strict`` raises on the first rejects instead. An empty
+    manifest, several datasets or an output that is an input (or holds one) stop the run before any request or write, strict or not. ``documents`` has
     ``video_id, json`` in canonical form and the columns it was made from. Every request is answered once. With a ``listing`` of
     files (``path``), videos that aren't in it are rejected; ``digests`` (``video_id, digest``) and ``inputs`` (digests of the manifest, the
     script and the like) are part of the run's identity. ``artifact_root`` and ``output`` say where stage artifacts and the export are written.
     """
     spark = items.sparkSession
     contracts = spark.createDataFrame([(contract.schema_id, contract.ontology_id)], "schema_id string, ontology_id string")
-    rejects = [manifest.check_manifest(items, contracts, listing)]
-    if output is not None:
-        rejects.append(identity.aliased_videos(items, output))
+    checks = [manifest.check_manifest(items, contracts, listing)]
+    for place in (output, artifact_root):
+        if place is not None:
+            checks += [identity.aliased_videos(items, place), identity.linked_videos(items, place)]
+    refused = kept(_all(checks).distinct(), "refused")
+    manifest.stop_run(refused)
     if strict:
-        manifest.raise_rejects(_all(rejects))
+        manifest.raise_rejects(refused)
+    rejects = [refused]
+    items = items.join(refused.select("video_id").distinct(), "video_id", "left_anti")
     probed = items.join(probes, "video_id")
     found, bad = probe.normalise(probed)
     found = kept(found, "videos")
     rejects += [bad, manifest.reject(items.join(probes, "video_id", "left_anti"), "probe", "no_probe", F.col("video_id"))]
     chunks = sampling.build_chunks(found)
     long = sampling.short_video_gate(chunks)
-    ranged = chunks.join(found.select("video_id", "pts"), "video_id").join(items.select("video_id", "path").dropDuplicates(["video_id"]), "video_id")
+    paths = items.select("video_id", "path")
+    ranged = chunks.join(found.select("video_id", "pts"), "video_id").join(paths, "video_id")
     able, bad = sampling.guarded(ranged, config.coarse_fps)
     rejects += [long, bad]
     plans = kept(sampling.sample_ranges(able, config.coarse_fps), "plans")
@@ -107,11 +114,11 @@ def run_annotation(
     coarse, faults = responses.coarse_segments(answered, contract)
     coarse = kept(coarse, "coarse")
     rejects += [faults, timeline.duplicate_ids(coarse, "coarse")]
-    windows = requests.boundary_windows(requests.with_neighbours(coarse), config.refine_window_ms).join(ranged.select("video_id", "pts", "path"), "video_id")
+    windows = requests.boundary_windows(requests.with_neighbours(coarse), config.refine_window_ms)
     windows, bad = sampling.guarded(windows, config.refine_fps, "window_start_ms", "window_end_ms", "segment_id")
-    rejects += [bad, requests.windows_without_frames(windows)]
-    sampled = sampling.sample_ranges(windows, config.refine_fps, "window_start_ms", "window_end_ms").where(F.size("samples") > 0)
-    replies = _ask(requests.boundary_requests(sampled), backend, rejects)
+    sampled = kept(sampling.sample_windows(windows, found, config.refine_fps), "windows")
+    rejects += [bad, requests.windows_without_frames(sampled)]
+    replies = _ask(requests.boundary_requests(sampled.where(F.size("samples") > 0).join(paths, "video_id")), backend, rejects)
     ends, faults = responses.boundaries(replies)
     refined, empty = responses.refined_segments(coarse, ends)
     refined = kept(refined, "refined")
@@ -191,13 +198,16 @@ def run_files(spark: SparkSession, files: RunFiles, config: RunConfig = RunConfi
     Videos must lie on storage that executors can open.
     """
     named = {"manifest": files.manifest, "schema": files.schema, "ontology": files.ontology, "probes": files.probes, "script": files.script}
-    if (alias := identity.output_alias(files.output, named)) is not None:
-        raise ValueError(f"the output is the {alias} file")
+    for place in (files.output, files.artifact_root):
+        if (alias := identity.output_alias(place, named)) is not None:
+            raise ValueError(f"{place} is or holds the {alias} file")
     items, bad = manifest.read_manifest(spark, files.manifest)
+    manifest.stop_run(bad)
     if strict:
         manifest.raise_rejects(bad)
     contract = load_contract(files.schema, files.ontology)
-    inputs = {name: row.digest for name, path in named.items() for row in [identity.file_digests(spark, path).first()]}
+    digested = identity.streamed_digests(spark.createDataFrame(list(named.items()), "name string, path string").repartition(len(named))).collect()  # five rows
+    inputs = {name: row.digest for name, path in named.items() for row in digested if row.path == path}
     found = kept(identity.present_files(items.select("path").distinct()), "listing")
     digests = items.join(found.where("digest is not null"), "path").select("video_id", "digest")
     probes = spark.read.schema("video_id string, probe string").json(files.probes)

@@ -69,21 +69,26 @@ def test_ranges_with_too_many_targets_are_rejected(spark):
     assert good.isEmpty() and [r.code for r in bad.collect()] == ["too_many_targets"]
 
 
-def test_run_on_files(spark, tmp_path):
-    (tmp_path / "v1.mp4").write_bytes(b"film")
-    lines = [{"video_id": v, "video_uri": f"{v}.mp4", "dataset_id": "d", "schema_version": "subtask-1", "ontology_id": "kitchen"} for v in ("v1", "v2")]
-    (tmp_path / "manifest.jsonl").write_text("\n".join(map(json.dumps, lines)))
-    (tmp_path / "schema.yaml").write_text(json.dumps(SCHEMA))
-    (tmp_path / "ontology.yaml").write_text(json.dumps(ONTOLOGY))
+def written_run(folder, videos=("v1", "v2"), datasets=("d", "d")):
+    """A run's input files; there is a file of v1 alone."""
+    (folder / "v1.mp4").write_bytes(b"film")
+    lines = [{"video_id": v, "video_uri": f"{v}.mp4", "dataset_id": d, "schema_version": "subtask-1", "ontology_id": "kitchen"} for v, d in zip(videos, datasets)]
+    (folder / "manifest.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    (folder / "schema.yaml").write_text(json.dumps(SCHEMA))
+    (folder / "ontology.yaml").write_text(json.dumps(ONTOLOGY))
     body = {"streams": [{"width": 64, "height": 64, "avg_frame_rate": "30/1", "duration": "1.0"}], "format": {"duration": "1"}, "frames": [{"best_effort_timestamp_time": f"{i / 30:.6f}"} for i in range(30)]}
-    (tmp_path / "probes.jsonl").write_text("\n".join(json.dumps({"video_id": v, "probe": json.dumps(body)}) for v in ("v1", "v2")))
+    (folder / "probes.jsonl").write_text("\n".join(json.dumps({"video_id": v, "probe": json.dumps(body)}) for v in ("v1", "v2")))
     segment = {"segment_id": "s1", "start_ms": 0, "end_ms": 900, "values": {"action": "grasp", "target": "cup"}, "sentence": "拿起杯子", "evidence_timestamps_ms": [100]}
     reply = lambda kind, at: [{"segment_id": "s1", "boundary_kind": kind, "boundary_ms": at, "evidence_timestamps_ms": [200]}]
     script = {f"coarse:{v}": [{"task_summary": SUMMARY, "segments": [segment]}] for v in ("v1", "v2")} | {"boundary-start:v1:s1": reply("start", 100), "boundary-end:v1:s1": reply("end", 800)}
-    (tmp_path / "script.json").write_text(json.dumps(script, ensure_ascii=False))
-    files = job.RunFiles(*(str(tmp_path / x) for x in ("manifest.jsonl", "schema.yaml", "ontology.yaml", "probes.jsonl", "script.json", "out", "artifacts")))
+    (folder / "script.json").write_text(json.dumps(script, ensure_ascii=False))
+    return job.RunFiles(*(str(folder / x) for x in ("manifest.jsonl", "schema.yaml", "ontology.yaml", "probes.jsonl", "script.json", "out", "artifacts")))
+
+
+def test_run_on_files(spark, tmp_path):
+    files = written_run(tmp_path)
     first = job.run_files(spark, files)
-    assert {(r.code, r.video_id) for r in first.rejects.collect()} >= {("missing_file", "v2")}
+    assert {(r.code, r.video_id) for r in first.rejects.collect()} == {("missing_file", "v2")}
     text = [r.value for r in spark.read.text(files.output).collect()]
     assert len(text) == 1 and json.loads(text[0])["segments"][0]["end_ms"] == 800
     for stage in sinks.STAGES:
@@ -96,6 +101,38 @@ def test_run_on_files(spark, tmp_path):
         job.run_files(spark, job.RunFiles(**(vars(files) | {"output": files.script})))
 
 
+def unchanged(folder):
+    return {str(p): p.read_bytes() if p.is_file() else None for p in folder.rglob("*")}
+
+
+@pytest.mark.parametrize("place", ["v1.mp4", "linked.mp4", "hard.mp4", "."])
+@pytest.mark.parametrize("field", ["output", "artifact_root"])
+def test_no_input_is_overwritten(spark, tmp_path, place, field):
+    (tmp_path / "in").mkdir()
+    files = written_run(tmp_path / "in")
+    (tmp_path / "in" / "linked.mp4").symlink_to(tmp_path / "in" / "v1.mp4")
+    (tmp_path / "in" / "hard.mp4").hardlink_to(tmp_path / "in" / "v1.mp4")
+    before = unchanged(tmp_path)
+    with pytest.raises(ValueError, match="output_is_input|holds"):
+        job.run_files(spark, job.RunFiles(**(vars(files) | {field: str(tmp_path / "in" / place)})))
+    assert unchanged(tmp_path) == before
+
+
+@pytest.mark.parametrize("videos, datasets, code", [((), (), "empty_manifest"), (("v1", "v2"), ("d", "e"), "mixed_datasets"), (("v1", ""), ("d", "d"), "empty_field")])
+def test_a_bad_manifest_stops_the_run_before_it_writes(spark, tmp_path, videos, datasets, code):
+    files = written_run(tmp_path, videos, datasets)
+    before = unchanged(tmp_path)
+    with pytest.raises(manifest.RejectedRows, match=code):
+        job.run_files(spark, files)
+    assert unchanged(tmp_path) == before
+
+
+def test_a_repeated_video_is_rejected_for_that_alone(spark):
+    items, probes, contract, backend = inputs(spark)
+    result = run_annotation(items.union(items), probes, contract, backend)
+    assert {r.code for r in result.rejects.collect()} == {"duplicate_in_dataset", "duplicate_video"} and result.documents.isEmpty()
+
+
 def coarse_with(**change):
     segment = {"segment_id": "s1", "start_ms": 0, "end_ms": 900, "values": {"action": "grasp", "target": "cup"}, "sentence": "x", "evidence_timestamps_ms": [100]} | change
     return {"task_summary": "t", "segments": [segment]}
