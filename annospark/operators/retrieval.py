@@ -69,41 +69,68 @@ def score_block(queries: np.ndarray, documents: np.ndarray) -> np.ndarray:
     return unit(queries) @ unit(documents).T
 
 
-def rerank(queries: DataFrame, documents: DataFrame, top_n: int, block: int = 100_000, part: int = 512) -> DataFrame:
+#: Most bytes of query vectors that are broadcast, bytes of vectors in a block, and scores that are held at once.
+BROADCAST_BYTES, BLOCK_BYTES, SCORES = 64 << 20, 32 << 20, 4 << 20
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return np.array(column.to_pylist(), float).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _best_of_block(query_ids: pa.Array, queries: np.ndarray, doc_ids: pa.Array, docs: np.ndarray, top_n: int) -> Iterator[pa.RecordBatch]:
+    """``query_id, doc_id, score``: the best ``top_n`` of a block of documents for each query, ties by id."""
+    order = pc.sort_indices(doc_ids)
+    doc_ids, docs = doc_ids.take(order), docs[order.to_numpy()]
+    part = max(1, SCORES // max(1, len(docs)))
+    for a in range(0, len(queries) if len(docs) else 0, part):
+        scores = score_block(queries[a : a + part], docs)
+        top = np.argsort(-scores, axis=1, kind="stable")[:, :top_n]
+        yield pa.RecordBatch.from_arrays([query_ids.slice(a, part).take(pa.array(np.repeat(np.arange(len(top)), top.shape[1]))), doc_ids.take(pa.array(top.ravel())), pa.array(np.take_along_axis(scores, top, axis=1).ravel())], names=["query_id", "doc_id", "score"])
+
+
+def rerank(queries: DataFrame, documents: DataFrame, top_n: int, broadcast_bytes: int = BROADCAST_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``query_id, doc_id, score, rank``: the ``top_n`` documents of each query by cosine, ties by id.
 
-    A stated set of queries (``query_id, embedding``) against all documents. Queries go out in blocks of about ``block`` rows, one
-    pass over the documents each; a task scores ``part`` of them at a time against a batch and keeps their best ``top_n``
-    before anything is shuffled. Rows without a vector take no part.
+    A stated set of queries (``query_id, embedding``) against all documents. Queries that were measured to be small are broadcast,
+    and documents are scored where they are read. Any more are dealt in blocks, as the documents are: each block of queries meets each
+    block of documents in a task of its own, which gives the best ``top_n`` alone. Equal rows of documents don't swell a
+    block: no more than ``top_n`` of them can be in a result. Rows without a vector take no part.
     """
-    queries = queries.where(F.col("embedding").isNotNull())
-    passes = max(1, -(-queries.count() // block))
-    kept = documents.select("doc_id", "embedding").where(F.col("embedding").isNotNull())
+    queries = queries.select("query_id", "embedding").where(F.col("embedding").isNotNull())
+    documents = documents.select("doc_id", "embedding").where(F.col("embedding").isNotNull())
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, doc_id {documents.schema['doc_id'].dataType.simpleString()}, score double"
-
-    def best(number: int) -> DataFrame:
-        table = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number).select("query_id", "embedding").toArrow()
+    measured = lambda rows: rows.agg(F.count("*"), F.coalesce(F.sum(8 * F.size("embedding")), F.lit(0))).first()
+    n, size = measured(queries)
+    if size + 64 * n <= broadcast_bytes:
+        table = queries.toArrow()  # measured
         ids = table["query_id"].combine_chunks()
-        held = documents.sparkSession.sparkContext.broadcast((ids, np.array(table["embedding"].to_pylist(), float).reshape(len(ids), -1)))
+        held = documents.sparkSession.sparkContext.broadcast((ids, _vectors(table["embedding"].combine_chunks())))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, vectors = held.value
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                order = pc.sort_indices(batch.column(0))
-                doc, block = batch.column(0).take(order), np.array(batch.column(1).take(order).to_pylist(), float)
-                for a in range(0, len(ids), part):
-                    scores = score_block(vectors[a : a + part], block)
-                    top = np.argsort(-scores, axis=1, kind="stable")[:, :top_n]
-                    yield pa.RecordBatch.from_arrays([ids[a : a + part].take(pa.array(np.repeat(np.arange(len(top)), top.shape[1]))), doc.take(pa.array(top.ravel())), pa.array(np.take_along_axis(scores, top, axis=1).ravel())], names=["query_id", "doc_id", "score"])
-
-        return kept.mapInArrow(run, schema)
-
-    found = best(0)
-    for number in range(1, passes):
-        found = found.union(best(number))
-    return top_by_score(found, "query_id", top_n)
+                if batch.num_rows:
+                    yield from _best_of_block(*held.value, batch.column(0), _vectors(batch.column(1)), top_n)
+
+        return top_by_score(documents.mapInArrow(run, schema), "query_id", top_n)
+    columns, rows = -(-size // block_bytes), max(1, -(-measured(documents)[1] // block_bytes))
+
+    def dealt(table: DataFrame, own: str, blocks: int, other: str, copies: int) -> DataFrame:
+        # by content, so that a task that runs again deals alike
+        placed = table.withColumn(own, F.pmod(F.xxhash64(*table.columns), F.lit(blocks)))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+
+    def meet(docs: pa.Table, asked: pa.Table) -> pa.Table:
+        flat = lambda t, c: t[c].combine_chunks()
+        out = list(_best_of_block(flat(asked, "query_id"), _vectors(flat(asked, "embedding")), flat(docs, "doc_id"), _vectors(flat(docs, "embedding")), top_n)) if docs.num_rows and asked.num_rows else []
+        kinds = [asked.schema.field("query_id").type, docs.schema.field("doc_id").type, pa.float64()]
+        return pa.Table.from_batches(out, pa.schema(list(zip(("query_id", "doc_id", "score"), kinds))))
+
+    # of equal rows no more than a query's whole result can be wanted
+    copies = documents.groupBy("doc_id", "embedding").agg(F.count("*").alias("n"))
+    documents = copies.withColumn("n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(top_n).cast("bigint"))))).select("doc_id", "embedding")
+    left = dealt(documents, "r", rows, "c", columns).groupBy("r", "c")
+    right = dealt(queries, "c", columns, "r", rows).groupBy("r", "c")
+    return top_by_score(left.cogroup(right).applyInArrow(meet, schema), "query_id", top_n)
 
 
 def top_by_score(scored: DataFrame, by: str, top_n: int, item: str = "doc_id") -> DataFrame:
