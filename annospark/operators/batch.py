@@ -64,15 +64,43 @@ def score_lines(groups: DataFrame, model: str, key: str = "item_id", query: str
     return request_lines(groups, F.concat(F.lit("s-"), F.col(key).cast("string")), "/v1/score", F.struct(F.lit(model).alias("model"), F.col(query).alias("queries"), F.col(documents).alias("documents")))
 
 
-_NUMBER, _WHOLE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$", r"^(TINYINT|SMALLINT|INT|BIGINT)$"
+_NUMBER, _WHOLE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$", r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$"
 _TYPES = {"object": r"^OBJECT", "array": r"^ARRAY", "string": r"^STRING$", "number": _NUMBER, "integer": _WHOLE, "boolean": r"^BOOLEAN$", "null": r"^VOID$"}
 _CHECKED = {"type", "properties", "required", "additionalProperties", "items", "enum", "const", "minLength", "maxLength", "minimum", "maximum", "minItems", "maxItems"}
 
 
+def equals_json(value: Column, wanted) -> Column:
+    """Whether a VARIANT is the JSON value ``wanted``, in type as in content: numbers by their value, objects whatever the order of their keys."""
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    get = lambda to: F.try_variant_get(value, "$", to)
+    if wanted is None:
+        same = kind == "VOID"
+    elif isinstance(wanted, bool):
+        same = (kind == "BOOLEAN") & (get("boolean") == wanted)
+    elif isinstance(wanted, str):
+        same = (kind == "STRING") & (get("string") == wanted)
+    elif isinstance(wanted, int) and abs(wanted) >= 1 << 53:
+        same = kind.rlike(_WHOLE) & (F.to_json(value) == str(wanted))
+    elif isinstance(wanted, (int, float)):
+        same = kind.rlike(_NUMBER) & (get("double") == float(wanted))
+    elif isinstance(wanted, list):
+        items = get("array<variant>")
+        same = kind.startswith("ARRAY") & (F.size(items) == len(wanted))
+        for i, x in enumerate(wanted):
+            same &= equals_json(F.try_element_at(items, F.lit(i + 1)), x)
+    else:
+        held = get("map<string,variant>")
+        same = kind.startswith("OBJECT") & (F.size(held) == len(wanted))
+        for name, x in wanted.items():
+            same &= F.map_contains_key(held, name) & equals_json(F.try_element_at(held, F.lit(name)), x)
+    return F.coalesce(same, F.lit(False))
+
+
 def schema_fault(value: Column, schema: dict, path: str = "$") -> Column:
     """What of a VARIANT breaks a JSON schema first, as ``path: rule``; null if nothing does.
 
-    Types, properties, items, choices and limits are checked, in plan as in the schema; other keywords raise an error. An integer is one as such, not 1.0.
+    Types, properties, items, choices and limits are checked, in plan as in the schema; other keywords raise an error. A number without a fraction is an
+    integer (of 38 digits at most). Choices and constants must agree in type too.
     """
     if unknown := set(schema) - _CHECKED:
         raise ValueError(f"schema keywords that aren't checked: {', '.join(sorted(unknown))}")
@@ -86,9 +114,12 @@ def schema_fault(value: Column, schema: dict, path: str = "$") -> Column:
     if "type" in schema:
         rule("type", ~kind.rlike(_TYPES[schema["type"]]))
     if "enum" in schema:
-        rule("enum", ~get("string").isin([str(x) for x in schema["enum"]]))
+        among = F.lit(False)
+        for x in schema["enum"]:
+            among |= equals_json(value, x)
+        rule("enum", ~among)
     if "const" in schema:
-        rule("const", get("string") != F.lit(str(schema["const"])))
+        rule("const", ~equals_json(value, schema["const"]))
     for name, test in (("minLength", lambda n: F.length(get("string")) < n), ("maxLength", lambda n: F.length(get("string")) > n)):
         if name in schema:
             faults.append(F.when(kind.rlike(_TYPES["string"]) & test(schema[name]), F.lit(f"{path}: {name}")))

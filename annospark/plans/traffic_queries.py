@@ -126,6 +126,19 @@ def schema_checks(spark, sf_dir):
     return a.table(spark, sf_dir, "events").select("event_id", batch.output_fault(text, PROPS_SCHEMA).alias("fault"))
 
 
+CHOICES_SCHEMA = {"type": "object", "properties": {"k": {"enum": [True, 1, "2", None, [1, {"a": None}], 12345678901234567890123]}, "n": {"const": 7}, "w": {"type": "integer"}}}
+CHOICES = ['{"k": true}', '{"k": "true"}', '{"k": 1.0}', '{"k": "1"}', '{"k": 2}', '{"k": "2"}', '{"k": null}', '{"k": [1, {"a": null}]}', '{"k": [1, {}]}', '{"k": 12345678901234567890123}', '{"w": 12345678901234567890123}', '{"w": 1.5}']
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 13 AS c, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events)
+  SELECT event_id, CASE WHEN c IN (1, 3, 4, 8) THEN '$.k: enum' WHEN c = 11 THEN '$.w: type' WHEN c = 12 AND k <> 7 THEN '$.n: const' END AS fault FROM e""")
+def typed_choices(spark, sf_dir):
+    """Choices and constants of a schema against values of equal text but another type, and events' properties against a constant."""
+    c = F.col("event_id") % 13
+    text = F.when(c == 12, F.regexp_replace("props", '"k"', '"n"')).otherwise(F.element_at(F.array(*map(F.lit, CHOICES)), F.least(c, F.lit(11)).cast("int") + 1))
+    return a.table(spark, sf_dir, "events").select("event_id", batch.output_fault(text, CHOICES_SCHEMA).alias("fault"))
+
+
 @query("SELECT event_id, event_type IN ('view', 'click') AS chosen, regexp_full_match(props, '\\{\"k\": [0-9]{1,2}\\}') AS matches FROM events")
 def output_checks(spark, sf_dir):
     return a.table(spark, sf_dir, "events").select("event_id", batch.output_matches(F.col("event_type"), ["view", "click"]).alias("chosen"), batch.output_matches(F.col("props"), pattern=r'\{"k": [0-9]{1,2}\}').alias("matches"))

@@ -2,6 +2,7 @@
 
 import difflib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from annospark.operators import batch, evals, prompts, retrieval, serving
@@ -45,6 +46,31 @@ def test_long_text_is_cut_in_37(spark):
     assert [(r.code, r.item_id, r.message) for r in retrieval.too_long_texts(docs, 100_000).collect()] == [("text_too_long", "1", "150000")]
 
 
+def test_rerank_by_blocks_equals_plain_products(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-3, 4, (90, 6)).astype(float) + 0.5
+    docs = [(i % 70, v.tolist()) for i, v in enumerate(vectors)] + [(200, None), (201, vectors[0].tolist()), (202, vectors[0].tolist())]
+    asked = [(k, vectors[k].tolist()) for k in range(25)] + [(99, None)]
+    unit = lambda x: np.array(x) / np.linalg.norm(x)
+    want = set()
+    for k, q in asked[:-1]:
+        best = sorted(((-round(float(unit(q) @ unit(d)), 9), i) for i, d in docs if d is not None))[:4]
+        want |= {(k, rank, i, -score) for rank, (score, i) in enumerate(best, 1)}
+    make = lambda rows, name: spark.createDataFrame(rows, f"{name} bigint, embedding array<double>")
+    for sizes in ((1 << 20, 1 << 20), (0, 480), (0, 1 << 20)):
+        found = retrieval.rerank(make(asked, "query_id"), make(docs, "doc_id"), 4, *sizes).collect()
+        assert {(r.query_id, r["rank"], round(r.score, 9)) for r in found} == {(k, rank, score) for k, rank, _, score in want}
+        assert len(found) == len(want)
+    assert retrieval.rerank(make(asked, "query_id"), make([], "doc_id"), 4, 0, 480).count() == 0
+    assert retrieval.rerank(make([], "query_id"), make(docs, "doc_id"), 4).count() == 0
+
+
+def test_choices_keep_their_types(spark):
+    cases = [("true", True, True), ('"true"', True, False), ("1", True, False), ("1", "1", False), ("1.0", 1, True), ("1e0", 1, True), ("null", None, True), ('""', None, False), ("[]", [], True), ('{"b": 1, "a": [null]}', {"a": [None], "b": 1}, True), ('{"a": [null]}', {"a": [None], "b": None}, False), ("9007199254740993", 9007199254740992, False), ("9007199254740993", 9007199254740993, True)]
+    for text, wanted, same in cases:
+        assert spark.range(1).select(batch.equals_json(F.parse_json(F.lit(text)), wanted)).first()[0] is same, text
+
+
 def test_no_run_within_the_limit_gives_zeros(spark):
     runs = spark.createDataFrame([("a", 12.5, 600.0)], "run string, throughput double, p99_ms double")
     assert tuple(serving.best_under_limit(runs, 500).first()) == ("", 0.0, 0.0)
