@@ -28,13 +28,13 @@ def raise_rejects(rejects: DataFrame, show: int = 5) -> None:
         raise RejectedRows("; ".join(f"{r.code} [{r.video_id}]: {r.message}" for r in first))
 
 
-#: Rejects that concern the run and not one video; so does any reject without a video.
+#: Rejects that concern the run and not one video; so does any reject without a video or with an empty id.
 RUN_LEVEL = ("output_is_input",)
 
 
 def stop_run(rejects: DataFrame) -> None:
     """Raises on rejects of the whole run: a line that names no video, no items at all, several datasets, an output that is an input."""
-    raise_rejects(rejects.where(F.col("video_id").isNull() | F.col("code").isin(*RUN_LEVEL)))
+    raise_rejects(rejects.where((F.coalesce("video_id", F.lit("")) == "") | F.col("code").isin(*RUN_LEVEL)))
 
 
 def normal_path(path: Column) -> Column:
