@@ -26,6 +26,8 @@ from .text import LOWER, _powers_of, coded, flat, hashes, mixed
 LONGEST, SLICE = 5, 2 << 20
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 15, 1 << 27, 32
 NO_LANG = "und"
+#: Parts of a language that are ranked by themselves first.
+PARTS = 64
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[10, 11, 12, 13, *b".,;:!?"]] = True
@@ -246,6 +248,9 @@ def top_phrases(docs: DataFrame, least: int = 100, top: int = 2000, text: str =
     longer = stored(frequent_prints(texts, tuple(range(3, LONGEST + 1)), least, bitmap(pairs)), "longer")
     counts = phrase_counts(texts, bitmap(single.union(pairs).union(longer)))
     counts = stored(counts.where((F.col("size") == 0) | (F.col("n") >= least)), "phrases")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored_phrases(counts, least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the best of each part of a language first, so that its last task has at most ``top`` of each part
+    salted = scored_phrases(counts, least).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
