@@ -29,9 +29,9 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _ranged(rows: DataFrame, order: list[str | Column]) -> DataFrame:
+def _ranged(rows: DataFrame, order: list[str | Column], ranges: int | None = None) -> DataFrame:
     """``rows`` in ranges of ``order``, sorted within, with ``range`` and ``at``, the place within the range; kept, so that ranges stay."""
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_rows = rows.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
     place = F.monotonically_increasing_id()
     return kept(sorted_rows.withColumn("range", F.shiftright(place, 33)).withColumn("at", place.bitwiseAND(F.lit((1 << 33) - 1))), "ranges")
 
@@ -53,6 +53,38 @@ def largest_before(rows: DataFrame, order: list[str | Column], value: str, name:
     return placed.join(F.broadcast(before), "range").withColumn(name, F.greatest(own, "before")).drop("range", "at", "before")
 
 
+def islands_by_ranges(rows: DataFrame, by: list[str], order: list[str], start: str, end: str, label: Column, gap: int, ranges: int | None = None) -> DataFrame:
+    """As ``intervals.islands``, for groups of any length, with ``label_before`` (the label of the row before, null for the first).
+
+    Rows are sorted into ranges of (``by``, ``order``). What a range must know of its group's earlier ranges (largest end, last
+    label, islands opened) comes from summaries, one row for each range and group, of which only groups in several ranges are
+    joined back: at most two rows a range. Null keys are a group. An empty table gives an empty one.
+    """
+    keys = [f"k_{b}" for b in by]
+    placed = _ranged(rows.withColumn("own_label", F.struct(label.alias("is"))), [*by, *order], ranges)
+    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("range", *by).orderBy("at")
+
+    def joined(table: DataFrame, sums: DataFrame, names: list[str]) -> DataFrame:
+        over = sums.withColumn("several", F.count("*").over(Window.partitionBy(*by))).where("several > 1")
+        over = F.broadcast(over.select(F.col("range").alias("k_range"), *(F.col(b).alias(k) for b, k in zip(by, keys)), *names))  # two rows a range
+        same = F.col("range") == F.col("k_range")
+        for b, k in zip(by, keys):
+            same = same & F.col(b).eqNullSafe(F.col(k))
+        return table.join(over, same, "left").drop("k_range", *keys)
+
+    tops = placed.groupBy("range", *by).agg(F.max(end).alias("top"), F.max_by("own_label", "at").alias("last_label"))
+    tops = tops.withColumn("top_before", F.max("top").over(earlier)).withColumn("last_before", F.last("last_label").over(earlier))
+    marked = joined(placed, tops, ["top_before", "last_before"])
+    reach = F.greatest(F.max(end).over(here.rowsBetween(Window.unboundedPreceding, -1)), "top_before")
+    marked = marked.withColumn("reach", reach).withColumn("label_before", F.coalesce(F.lag("own_label").over(here), "last_before"))
+    marked = marked.withColumn("same_label", F.col("own_label").eqNullSafe(F.col("label_before")) & F.col("reach").isNotNull())
+    marked = marked.withColumn("opens", (~F.col("same_label") | (F.col(start) - F.col("reach") > gap)).cast("bigint"))
+    opened = marked.groupBy("range", *by).agg(F.sum("opens").alias("n")).withColumn("opened", F.sum("n").over(earlier))
+    found = joined(marked, opened, ["opened"]).withColumn("island", F.sum("opens").over(here) + F.coalesce("opened", F.lit(0)))
+    return found.withColumn("label_before", F.col("label_before")["is"]).drop("range", "at", "own_label", "top_before", "last_before", "opens", "opened")
+
+
 def quantiles(rows: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """``by`` and a column for each of ``shares``: exact quantiles of ``value``, linear between neighbours; nulls don't count.
 

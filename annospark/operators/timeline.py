@@ -1,7 +1,8 @@
 """Finalising a timeline: id checks, boundary shifts, merging of equal neighbours, overlap conflicts, quality.
 
 Segments are rows ``video_id, segment_id, start_ms, end_ms, values (map), sentence, evidence (array)``. All windows are by
-``video_id``, so input that is partitioned by it is shuffled no further.
+``video_id``, so input that is partitioned by it is shuffled no further. Where one video can hold a large part of all segments,
+``long=True`` scans ranges of time instead, with the same results; it writes the segments once below ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import islands
+from ..functions.ordered import islands_by_ranges
 from ..sources.manifest import reject
 
 ORDER = ["start_ms", "end_ms", "segment_id"]
@@ -45,11 +47,13 @@ def boundary_shifts(coarse: DataFrame, refined: DataFrame) -> DataFrame:
     return refined.join(before, ["video_id", "segment_id"]).select("video_id", "segment_id", F.greatest(F.abs(F.col("start_ms") - F.col("s")), F.abs(F.col("end_ms") - F.col("e"))).alias("shift_ms"))
 
 
-def _marked(segments: DataFrame, gap_ms: int) -> DataFrame:
+def _marked(segments: DataFrame, gap_ms: int, long: bool = False, ranges: int | None = None) -> DataFrame:
+    if long:
+        return islands_by_ranges(segments, ["video_id"], ORDER, "start_ms", "end_ms", _label(), gap_ms, ranges)
     return islands(segments, ["video_id"], ORDER, "start_ms", "end_ms", _label(), gap_ms)
 
 
-def merge_segments(segments: DataFrame, gap_ms: int = 250) -> DataFrame:
+def merge_segments(segments: DataFrame, gap_ms: int = 250, long: bool = False, ranges: int | None = None) -> DataFrame:
     """Neighbours in order ``(start, end, id)`` with equal values and sentence, at most ``gap_ms`` apart (or overlapping), as one.
 
     The first one's id stays; ``sources`` lists all ids of a merged segment and is null for others. A merged segment's
@@ -59,7 +63,7 @@ def merge_segments(segments: DataFrame, gap_ms: int = 250) -> DataFrame:
     members = F.array_sort(F.collect_list(F.struct(*ORDER)))
     evidence = F.when(F.count("*") == 1, F.min_by("evidence", place)).otherwise(F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence")))))
     return (
-        _marked(segments, gap_ms)
+        _marked(segments, gap_ms, long, ranges)
         .groupBy("video_id", "island")
         .agg(
             F.min_by("segment_id", place).alias("segment_id"),
@@ -74,11 +78,24 @@ def merge_segments(segments: DataFrame, gap_ms: int = 250) -> DataFrame:
     )
 
 
-def conflicts(segments: DataFrame, gap_ms: int = 250) -> DataFrame:
+def _long_conflicts(segments: DataFrame, gap_ms: int, ranges: int | None) -> DataFrame:
+    marked = _marked(segments, gap_ms, True, ranges).withColumn("same_values", F.array_sort(F.map_entries("values")).eqNullSafe(F.col("label_before")["values"]))
+    place = F.struct(*ORDER)
+    heads = marked.groupBy("video_id", "island").agg(F.min_by(F.struct(*ORDER, "reach", "same_values"), place).alias("x"))  # partial within ranges
+    clash = heads.where((F.col("island") > 1) & (F.col("x.start_ms") < F.col("x.reach")))
+    first = clash.groupBy("video_id").agg(F.min(F.struct("island", "x")).alias("y")).select("video_id", "y.x", (F.col("y.island") - 1).alias("island"))
+    before = heads.select(F.col("video_id").alias("v"), F.col("island").alias("i"), F.col("x.segment_id").alias("head_id"))
+    kind = F.when(F.col("x.same_values"), "different-sentence").otherwise("different-label")
+    return first.join(before, F.col("video_id").eqNullSafe(F.col("v")) & (F.col("island") == F.col("i"))).select("video_id", kind.alias("kind"), "head_id", "x.segment_id")
+
+
+def conflicts(segments: DataFrame, gap_ms: int = 250, long: bool = False, ranges: int | None = None) -> DataFrame:
     """``video_id, kind, head_id, segment_id`` of each video's first overlap that merging can't resolve.
 
     The head is the first member of the merged segment before. Found on the same windows as the merge, without it.
     """
+    if long:
+        return _long_conflicts(segments, gap_ms, ranges)
     window = Window.partitionBy("video_id").orderBy(*ORDER)
     values = F.array_sort(F.map_entries("values"))
     marked = _marked(segments, gap_ms).withColumn("same_values", values.eqNullSafe(F.lag(values).over(window)))

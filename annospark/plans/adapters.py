@@ -50,6 +50,18 @@ def clashing_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLASHING = f"""{TIMED}, segments AS (SELECT video_id, segment_id, event_id, event_type, start_ms, start_ms + CAST(floor(value * 10000) AS BIGINT) + 1 AS end_ms FROM timed)"""
 
 
+def one_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as segments of one video, which overlap in part."""
+    first = table(spark, sf_dir, "events").agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))).alias("first"))
+    events = table(spark, sf_dir, "events").crossJoin(F.broadcast(first))  # one row
+    timed = events.select(F.lit("stream").alias("video_id"), F.concat(F.lit("ev-"), F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("segment_id"), "event_id", "event_type", "value", (F.unix_millis(F.col("ts").cast("timestamp")) - F.col("first")).alias("start_ms"))
+    return _segments(timed, F.col("start_ms") + F.floor(F.col("value") * 10_000) + 1)
+
+
+STREAM = """segments AS (SELECT 'stream' AS video_id, 'ev-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS segment_id, event_type,
+  epoch_us(ts) // 1000 - min(epoch_us(ts) // 1000) OVER () AS start_ms, start_ms + CAST(floor(value * 10000) AS BIGINT) + 1 AS end_ms FROM events)"""
+
+
 def moved(rows: DataFrame) -> DataFrame:
     """The same segments with boundaries moved by up to 3 s, as refinement would."""
     by = F.pmod("event_id", F.lit(7)) * 500

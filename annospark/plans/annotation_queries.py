@@ -440,6 +440,21 @@ def overlap_conflicts(spark, sf_dir):
     return timeline.conflicts(a.clashing_segments(spark, sf_dir), GAP_MS)
 
 
+@query(f"""WITH {a.STREAM}, {MERGED} SELECT video_id, segment_id, start_ms, end_ms, action, members FROM merged""")
+def long_timeline(spark, sf_dir):
+    """All events as the segments of one video, merged by ranges of time."""
+    rows = timeline.merge_segments(a.one_timeline(spark, sf_dir), GAP_MS, long=True)
+    return rows.select("video_id", "segment_id", "start_ms", "end_ms", F.col("values")["action"].alias("action"), F.coalesce(F.size("sources"), F.lit(1)).cast("bigint").alias("members"))
+
+
+@query(f"""WITH {a.STREAM}, {ISLANDS}, heads AS (SELECT *, lag(island) OVER ({ORDER}) AS before FROM numbered),
+  named AS (SELECT *, first_value(segment_id) OVER (PARTITION BY video_id, island ORDER BY start_ms, end_ms, segment_id) AS head FROM heads),
+  found AS (SELECT *, lag(head) OVER ({ORDER}) AS head_id FROM named)
+  SELECT video_id, 'different-label' AS kind, head_id, segment_id FROM (SELECT *, row_number() OVER ({ORDER}) AS nth FROM found WHERE island <> before AND start_ms < reach) WHERE nth = 1""")
+def long_timeline_conflict(spark, sf_dir):
+    return timeline.conflicts(a.one_timeline(spark, sf_dir), GAP_MS, long=True)
+
+
 @query(f"WITH {a.SEGMENTS} SELECT video_id, segment_id, event_id % 7 * 500 AS shift_ms FROM segments")
 def boundary_shifts(spark, sf_dir):
     rows = a.segments(spark, sf_dir)

@@ -80,3 +80,20 @@ def test_id_checks_and_faults(spark):
     assert [r.message for r in timeline.blank_sentences(a).collect()] == ["s2"]
     ends = spark.createDataFrame([("v", 45)], "video_id string, duration_ms bigint")
     assert [(r.code, r.message) for r in timeline.timeline_faults(a, ends).collect()] == [("after_duration", "s2")]
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 7])
+def test_ranges_of_a_long_timeline_equal_windows(spark, ranges):
+    r = random.Random(ranges)
+    rows = [seg(f"s{v}-{n}", s := r.randrange(0, 4000), s + r.randrange(1, 60), r.choice("ab"), r.choice("xy"), evidence=[s], video=v) for v, many in (("a", 5), ("long", 400), ("m", 60), (None, 30), ("z", 1)) for n in range(many)]
+    # equal rows with one label over all ranges: one island, whose reach is set by its first segment
+    rows += [seg(f"t{n}", n * 10, 9000 if n == 0 else n * 10 + 5, video="still") for n in range(120)]
+    df = frame(spark, r.sample(rows, len(rows)))
+    plain = lambda t: sorted(map(repr, t.collect()))
+    assert plain(timeline.merge_segments(df, 15, long=True, ranges=ranges)) == plain(timeline.merge_segments(df, 15).select("video_id", "segment_id", "start_ms", "end_ms", "values", "sentence", "evidence", "sources"))
+    assert plain(timeline.conflicts(df, 15, long=True, ranges=ranges)) == plain(timeline.conflicts(df, 15))
+
+
+def test_ranges_of_no_segments(spark):
+    assert timeline.merge_segments(frame(spark, []), long=True).count() == 0
+    assert timeline.conflicts(frame(spark, []), long=True).count() == 0
