@@ -53,6 +53,27 @@ def largest_before(rows: DataFrame, order: list[str | Column], value: str, name:
     return placed.join(F.broadcast(before), "range").withColumn(name, F.greatest(own, "before")).drop("range", "at", "before")
 
 
+def sums_before(rows: DataFrame, by: list[str], order: list[str | Column], sums: dict[str, str], ranges: int | None = None) -> DataFrame:
+    """``rows`` with columns named by ``sums``: what a column adds up to (nulls count 0) over the earlier rows of the group, 0 for the first.
+
+    By ranges of (``by``, ``order``), so that a group of any size is spread over tasks. Of groups in several ranges the sums of the
+    ranges before are joined: at most two rows a range. Null keys are a group.
+    """
+    keys = [f"k_{b}" for b in by]
+    placed = _ranged(rows, [*by, *order], ranges)
+    earlier = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("range", *by).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    value = {name: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for name, c in sums.items()}
+    totals = placed.groupBy("range", *by).agg(*(F.sum(v).alias(f"s_{n}") for n, v in value.items())).withColumn("several", F.count("*").over(Window.partitionBy(*by)))
+    totals = totals.select(F.col("range").alias("k_range"), *(F.col(b).alias(k) for b, k in zip(by, keys)), "several", *(F.sum(f"s_{n}").over(earlier).alias(f"b_{n}") for n in value))
+    same = F.col("range") == F.col("k_range")
+    for b, k in zip(by, keys):
+        same = same & F.col(b).eqNullSafe(F.col(k))
+    joined = placed.join(F.broadcast(totals.where("several > 1").drop("several")), same, "left")
+    found = {n: F.coalesce(F.sum(v).over(here), F.lit(0)) + F.coalesce(f"b_{n}", F.lit(0)) for n, v in value.items()}
+    return joined.select(*rows.columns, *(v.alias(n) for n, v in found.items()))
+
+
 def islands_by_ranges(rows: DataFrame, by: list[str], order: list[str], start: str, end: str, label: Column, gap: int, ranges: int | None = None) -> DataFrame:
     """As ``intervals.islands``, for groups of any length, with ``label_before`` (the label of the row before, null for the first).
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordered import kept, sums_before
+
 ENDPOINTS = ("/v1/chat/completions", "/v1/embeddings", "/v1/score", "/v1/rerank")
 
 
@@ -42,6 +44,26 @@ def join_results(requests: DataFrame, results: DataFrame) -> DataFrame:
     return requests.join(rows, "custom_id", "left").withColumn("status", status).drop("there", "error")
 
 
+def packed_files(lines: DataFrame, max_lines: int, max_bytes: int, by: str = "model", order: str = "custom_id", line: str = "line", ranges: int | None = None) -> DataFrame:
+    """``lines`` with ``n_bytes`` (its line feed included) and ``file``, gapless from 0 within ``by``: one model a file, no file above a limit.
+
+    Lines are laid end to end in ``order``, which must be distinct within ``by``; a file takes those that begin in one stretch of
+    15/16 of ``max_bytes`` and one of ``max_lines``. A line of more than 1/16 of ``max_bytes`` has a file of its own, after the others;
+    one above ``max_bytes`` has a null ``file``. Sums run over ranges, so a model of any size is many tasks; only files
+    (not lines) of one model are numbered together. A null line counts as empty; null models are one group.
+    """
+    part = max(1, max_bytes // 16)
+    sized = lines.withColumn("n_bytes", F.octet_length(F.coalesce(line, F.lit(""))).cast("bigint") + 1)
+    sized = sized.withColumn("alone", F.col("n_bytes") > part).withColumn("one", F.lit(1)).withColumn("laid", F.when(~F.col("alone"), F.col("n_bytes")))
+    placed = sums_before(sized, [by, "alone"], [order], {"lines_before": "one", "bytes_before": "laid"}, ranges)
+    key = F.when(F.col("alone"), F.col("lines_before")).otherwise(F.floor(F.col("bytes_before") / F.lit(max(1, max_bytes - part))) + F.floor(F.col("lines_before") / F.lit(max_lines)))
+    placed = kept(placed.withColumn("key", F.when(F.col("n_bytes") <= max_bytes, key)), "lines")
+    files = placed.where("key is not null").select(F.col(by).alias("m"), F.col("alone").alias("a"), F.col("key").alias("k")).distinct()
+    files = files.withColumn("file", (F.row_number().over(Window.partitionBy("m").orderBy("a", "k")) - 1).cast("bigint"))
+    same = F.col(by).eqNullSafe(F.col("m")) & (F.col("alone") == F.col("a")) & (F.col("key") == F.col("k"))
+    return placed.join(files, same, "left").select(*lines.columns, "n_bytes", "file")
+
+
 def standard_turns(dialogues: DataFrame, roles: dict[str, str]) -> DataFrame:
     """Turns of two parties with their roles renamed; rows of other parties go."""
     renamed = F.create_map(*(F.lit(x) for pair in roles.items() for x in pair))

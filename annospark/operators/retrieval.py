@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.intervals import islands
+from ..functions.ordered import kept
 from ..sources.manifest import reject
 
 
@@ -167,15 +168,15 @@ def lexical_scores(query_weights: DataFrame, doc_weights: DataFrame, hot_salt: i
     return docs.join(queries, ["token", "salt"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score"))
 
 
-def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, margin: float = 1e-9) -> DataFrame:
+def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, start: int = 4) -> DataFrame:
     """``query_id, doc_id, score, rank``: each query's ``top_n`` documents by ``lexical_scores``, exactly, without scoring all pairs.
 
     Weights are above 0, one row for each text and token; rows with a null or another weight are left out. A token can add at most
     its own weight times its largest one in any document. Documents that hold a query's rarest tokens (until those have
-    ``top_n`` postings) are scored by these alone, which gives a floor that the last of the top must reach. Tokens whose bounds,
+    ``start`` times ``top_n`` postings; any number gives the same result) are scored by these alone, which gives a floor that the last of the top must reach. Tokens whose bounds,
     added up from the most frequent one, stay below the floor can't lift a document into the top by themselves: only documents that
     hold another token of the query are scored. So postings of stop words are met by candidates alone. Ties go to the smaller
-    ``doc_id``; scores are compared as rounded to nine digits, since sums depend on their order. A query that shares no
+    ``doc_id``; scores are compared as rounded to six digits, since sums depend on their order. A query that shares no
     token with any document has no rows. Intermediate tables are written once below ``spark.checkpoint.dir``.
     """
     docs = kept(doc_weights.where("weight > 0").select("doc_id", "token", F.col("weight").cast("double").alias("wd")), "postings")
@@ -187,12 +188,12 @@ def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, ma
     plan = plan.withColumn("before", F.coalesce(F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plan = kept(plan.withColumn("reach", F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))), "plan")
     product = F.sum(F.col("wq") * F.col("wd")).alias("score")
-    begun = plan.where(F.col("before") < top_n).join(docs, "token").groupBy("query_id", "doc_id").agg(product)
+    begun = plan.where(F.col("before") < start * top_n).join(docs, "token").groupBy("query_id", "doc_id").agg(product)
     floors = top_by_score(begun, "query_id", top_n).where(F.col("rank") == top_n).select("query_id", F.col("score").alias("floor"))
-    needed = plan.join(floors, "query_id", "left").where(F.col("floor").isNull() | (F.col("reach") * (1 + margin) + 2 * margin >= F.col("floor")))
+    needed = plan.join(floors, "query_id", "left").where(F.col("floor").isNull() | (F.col("reach") * (1 + 1e-9) + 1e-6 >= F.col("floor")))
     candidates = needed.select("query_id", "token").join(docs.select("doc_id", "token"), "token").select("query_id", "doc_id").distinct()
     weights = candidates.join(plan.select("query_id", "token", "wq"), "query_id").join(docs, ["doc_id", "token"])
-    scored = weights.groupBy("query_id", "doc_id").agg(product).withColumn("score", F.round("score", 9))
+    scored = weights.groupBy("query_id", "doc_id").agg(product).withColumn("score", F.round("score", 6))
     return top_by_score(scored, "query_id", top_n)
 
 

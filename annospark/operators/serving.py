@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,39 @@ def summary(rows: DataFrame, metrics: list[str], exact: bool = True) -> DataFram
     return found.select("metric", "count", "mean", "std", "min", *names, "max")
 
 
+def sketches(rows: DataFrame, by: list[str], value: str, error: float = 0.01) -> DataFrame:
+    """``by, bucket, n``: a mergeable sketch of ``value`` for each group, in buckets of logarithmic width.
+
+    Any quantile comes out within the share ``error`` of the value at its place. ``bucket`` is a struct: sign (-1, 0, 1) and power, turned so
+    that buckets sort as their values do. Nulls, NaNs and infinite values aren't counted. A group has at most some 150,000 buckets at
+    an error of 0.01, whatever its size.
+    """
+    v = F.col(value).cast("double")
+    power = F.ceil(F.log(F.abs(v)) / math.log((1 + error) / (1 - error))).cast("int")
+    bucket = F.struct(F.signum(v).cast("int").alias("sign"), F.when(v > 0, power).when(v < 0, -power).otherwise(0).alias("power"))
+    return rows.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < math.inf)).groupBy(*by, bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def merged_sketches(sketched: DataFrame, by: list[str]) -> DataFrame:
+    """Sketches of coarser groups from those of finer ones: counts are added up, no row is read again."""
+    return sketched.groupBy(*by, "bucket").agg(F.sum("n").alias("n"))
+
+
+def sketched_quantiles(sketched: DataFrame, by: list[str], shares: dict[str, float], error: float = 0.01) -> DataFrame:
+    """``by, count`` and a column for each of ``shares``: the value at place ``floor(share * (count - 1))``, within ``error`` of itself.
+
+    ``error`` is the one that the sketches were made with. One window for each group over its buckets, which the sketch bounds.
+    """
+    width = (1 + error) / (1 - error)
+    group = Window.partitionBy(*by)
+    upto = F.sum("n").over(group.orderBy("bucket"))
+    placed = sketched.withColumn("upto", upto).withColumn("count", F.sum("n").over(group))
+    # powers of values below 1 are negative ones, so the sign says which way a power was turned
+    middle = F.when(F.col("bucket.sign") == 0, 0.0).otherwise(F.col("bucket.sign") * 2 * F.pow(F.lit(width), F.col("bucket.sign") * F.col("bucket.power")) / (1 + width))
+    at = {name: F.min(F.when(F.col("upto") > F.floor(F.lit(share) * (F.col("count") - 1)), F.struct("bucket", middle.alias("v"))))["v"] for name, share in shares.items()}
+    return placed.groupBy(*by).agg(F.max("count").alias("count"), *(x.alias(name) for name, x in at.items()))
+
+
 def sweep_grid(servers: DataFrame, benches: DataFrame, runs: int = 3) -> DataFrame:
     """Every server with every benchmark parameter set, ``runs`` times: small tables, and the product is what is asked for."""
     return servers.crossJoin(benches).withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))

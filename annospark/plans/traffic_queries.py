@@ -28,6 +28,17 @@ def batch_requests(spark, sf_dir):
     return _chat_lines(spark, sf_dir).select("custom_id", F.size(contents).alias("n_messages"), get("$.body.messages[0].role").alias("first_role"), F.aggregate(contents, F.lit(0).cast("bigint"), lambda s, m: s + F.length(m["content"])).alias("n_chars"), get("$.body.model").alias("model"))
 
 
+@query("""WITH s AS (SELECT lang, doc_id, strlen(coalesce(text, '')) + 1 AS n, strlen(coalesce(text, '')) + 1 > 6250 AS alone FROM documents),
+  b AS (SELECT *, count(*) OVER w - 1 AS lines, coalesce(sum(n) OVER w - n, 0) AS bytes FROM s WINDOW w AS (PARTITION BY lang, alone ORDER BY doc_id ROWS UNBOUNDED PRECEDING)),
+  k AS (SELECT *, CASE WHEN n > 100000 THEN NULL WHEN alone THEN lines ELSE bytes // 93750 + lines // 40 END AS key FROM b),
+  f AS (SELECT lang, alone, key, row_number() OVER (PARTITION BY lang ORDER BY alone, key) - 1 AS file FROM (SELECT DISTINCT lang, alone, key FROM k WHERE key IS NOT NULL))
+  SELECT k.lang, f.file, count(*) AS lines, sum(n)::BIGINT AS n_bytes, min(doc_id) AS first_id, max(doc_id) AS last_id FROM k LEFT JOIN f ON k.lang IS NOT DISTINCT FROM f.lang AND k.alone = f.alone AND k.key = f.key GROUP BY 1, 2""")
+def batch_files(spark, sf_dir):
+    """Documents as lines in files of at most 40 lines and 100,000 bytes, one language a file."""
+    found = batch.packed_files(a.table(spark, sf_dir, "documents").select("lang", "doc_id", "text"), 40, 100_000, "lang", "doc_id", "text")
+    return found.groupBy("lang", "file").agg(F.count("*").alias("lines"), F.sum("n_bytes").alias("n_bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
 @query("""SELECT 'several_models' AS code, 'model-a, model-b' AS detail UNION ALL SELECT 'bad_endpoint', '/v1/unknown' UNION ALL SELECT 'repeated_id', 'c-' || conv_id FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 30 = 1)""")
 def batch_file_problems(spark, sf_dir):
     lines = _chat_lines(spark, sf_dir)
@@ -210,6 +221,25 @@ def lexical_scores(spark, sf_dir):
     return retrieval.lexical_scores(t.where("item_id % 20 = 0").withColumnRenamed("item_id", "query_id"), t.withColumnRenamed("item_id", "doc_id"), hot_salt=4)
 
 
+def _word_counts(texts, key):
+    return texts.select(key, F.explode(F.split("text", " ")).alias("token")).where("token <> ''").groupBy(key, "token").agg(F.count("*").alias("n"))
+
+
+@query("""WITH d AS (SELECT doc_id, token, count(*) / (count(*) + 1.0::DOUBLE) AS wd FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2),
+  f AS (SELECT token, round(ln(1 + (SELECT count(*) FROM documents) / count(*)::DOUBLE), 6) AS idf FROM d GROUP BY 1),
+  q AS (SELECT item_id, token, count(*) * any_value(idf) AS wq FROM (SELECT item_id, unnest(string_split(text, ' ')) AS token FROM benchmark) JOIN f USING (token) GROUP BY 1, 2),
+  s AS (SELECT item_id AS query_id, doc_id, round(sum(wq * wd), 6) AS score FROM q JOIN d USING (token) GROUP BY 1, 2)
+  SELECT query_id, doc_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
+def lexical_search(spark, sf_dir):
+    """The ten best documents for each benchmark item, rare words first."""
+    documents = a.table(spark, sf_dir, "documents")
+    docs = kept(_word_counts(documents, "doc_id"), "words")
+    idf = docs.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(documents.agg(F.count("*").alias("all"))))  # one row
+    idf = idf.select("token", F.round(F.log(1 + F.col("all") / F.col("df")), 6).alias("idf"))
+    asked = _word_counts(a.table(spark, sf_dir, "benchmark"), "item_id").join(idf, "token")
+    return retrieval.lexical_top(asked.select(F.col("item_id").alias("query_id"), "token", (F.col("n") * F.col("idf")).alias("weight")), docs.select("doc_id", "token", (F.col("n") / (F.col("n") + 1)).alias("weight")), 10)
+
+
 @query("""SELECT request_id, i::INT AS index, 'l' || (list_position(p, list_max(p)) - 1) AS label, round(list_max(p), 6) AS prob, 4 AS num_classes FROM (SELECT vec_id AS request_id, unnest([0, 1]) AS i, unnest([embedding[1:4]::DOUBLE[], embedding[5:8]::DOUBLE[]]) AS p FROM embeddings)""")
 def classification_rows(spark, sf_dir):
     part = lambda i: F.struct(F.lit(i).alias("index"), F.slice("embedding", i * 4 + 1, 4).cast("array<double>").alias("probs"))
@@ -294,6 +324,22 @@ def metric_summary(spark, sf_dir):
     return s.select("metric", "count", *(F.round(c, 5).alias(c) if c not in ("min", "max") else F.col(c) for c in s.columns[2:]))
 
 
+_WIDTH = (1 + 0.01) / (1 - 0.01)
+
+
+@query(f"""WITH s AS (SELECT event_type, sign(value)::INT AS sign, CASE WHEN value = 0 THEN 0 ELSE sign(value)::INT * ceil(ln(abs(value)) / ln({_WIDTH!r}))::INT END AS power FROM events WHERE value IS NOT NULL),
+  g AS (SELECT * FROM s UNION ALL SELECT 'all', sign, power FROM s), c AS (SELECT event_type, sign, power, count(*) AS n FROM g GROUP BY 1, 2, 3),
+  u AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY sign, power) AS upto, sum(n) OVER (PARTITION BY event_type) AS total, CASE WHEN sign = 0 THEN 0 ELSE sign * 2 * pow({_WIDTH!r}::DOUBLE, sign * power) / (1 + {_WIDTH!r}::DOUBLE) END AS v FROM c)
+  SELECT event_type, any_value(total)::BIGINT AS count, round(arg_min(v, upto) FILTER (upto > floor(0.5 * (total - 1))), 6) AS p50, round(arg_min(v, upto) FILTER (upto > floor(0.99 * (total - 1))), 6) AS p99 FROM u GROUP BY 1""")
+def metric_sketches(spark, sf_dir):
+    """Sketches by event type and day, merged by event type and over all."""
+    daily = serving.sketches(a.table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["event_type", "day"], "value")
+    by_type = serving.merged_sketches(daily, ["event_type"])
+    every = serving.merged_sketches(by_type.withColumn("event_type", F.lit("all")), ["event_type"])
+    found = serving.sketched_quantiles(by_type.unionByName(every), ["event_type"], {"p50": 0.5, "p99": 0.99})
+    return found.select("event_type", "count", F.round("p50", 6).alias("p50"), F.round("p99", 6).alias("p99"))
+
+
 @query("SELECT r_regionkey AS server, n_nationkey AS bench, run::INT AS run FROM region CROSS JOIN nation CROSS JOIN generate_series(0, 2) g(run)")
 def sweep_grid(spark, sf_dir):
     return serving.sweep_grid(a.table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("server")), a.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("bench")))

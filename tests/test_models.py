@@ -80,3 +80,61 @@ def test_no_run_within_the_limit_gives_zeros(spark):
 def test_choices_and_patterns(spark):
     row = spark.createDataFrame([("yes\n",)], "t string").select(batch.output_matches(F.col("t"), ["yes"]), batch.output_matches(F.col("t"), pattern="[a-z]+\\s")).first()
     assert tuple(row) == (False, True)
+
+
+def test_lexical_top_equals_scoring_every_pair(spark):
+    r = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in range(300)])
+    text = lambda n: {str(w): int(c) for w, c in zip(*np.unique(words[np.minimum(r.zipf(1.3, n) - 1, 299)], return_counts=True))}
+    docs = {d: text(60) for d in range(250)}
+    docs |= {300 + d: docs[7] for d in range(15)}  # ties
+    asked = {q: text(n) for q, n in enumerate((1, 3, 8, 20, 60, 60))} | {10: docs[7], 11: {"never seen": 2}}
+    idf = {w: 1 / sum(w in t for t in docs.values()) for w in {w for t in docs.values() for w in t}}
+    rows = [(q, w, n * idf.get(w, 1.0)) for q, t in asked.items() for w, n in t.items()] + [(2, "w0", None), (3, "w1", 0.0)]
+    rows = [x for x in rows if (x[0], x[1]) not in {(2, "w0"), (3, "w1")}] + [(2, "w0", None), (3, "w1", 0.0)]
+    queries = spark.createDataFrame(rows, "query_id int, token string, weight double")
+    postings = spark.createDataFrame([(d, w, float(n)) for d, t in docs.items() for w, n in t.items()], "doc_id int, token string, weight double")
+    want = set()
+    for q in asked:
+        mine = {w: x for i, w, x in rows if i == q and x}
+        scored = [(-round(sum(x * docs[d].get(w, 0) for w, x in mine.items()), 6), d) for d, t in docs.items() if mine.keys() & t.keys()]
+        want |= {(q, d, -s, n + 1) for n, (s, d) in enumerate(sorted(scored)[:10])}
+    for start in (1, 4):
+        got = {(x.query_id, x.doc_id, x.score, x["rank"]) for x in retrieval.lexical_top(queries, postings, 10, start).collect()}
+        assert {x[:2] + x[3:] for x in got} == {x[:2] + x[3:] for x in want} and all(abs(a[2] - b[2]) < 1e-5 for a, b in zip(sorted(got), sorted(want)))
+    assert retrieval.lexical_top(queries.limit(0), postings, 10).count() == 0
+
+
+def test_packed_files_keep_every_line_below_the_limits(spark):
+    r = np.random.default_rng(2)
+    rows = [(m, i, "é" * int(n)) for m, many in (("a", 400), ("b", 3), (None, 40)) for i, n in enumerate(r.integers(0, 60, many))]
+    rows += [("a", 1000, "x" * 700), ("a", 1001, "x" * 1999), ("a", 1002, "x" * 2000), ("a", 1003, None)]
+    lines = spark.createDataFrame(rows, "model string, custom_id int, line string")
+    for ranges in (1, 5):
+        found = batch.packed_files(lines, 20, 2000, ranges=ranges).collect()
+        assert sorted((str(x.model), x.custom_id) for x in found) == sorted((str(m), i) for m, i, _ in rows)
+        files = {}
+        for x in found:
+            files.setdefault((str(x.model), x.file), []).append(x.n_bytes)
+        assert files.pop(("a", None)) == [2001]
+        assert all(len(v) <= 20 and sum(v) <= 2000 for v in files.values())
+        for m in {m for m, _ in files}:
+            assert sorted(f for k, f in files if k == m) == list(range(sum(k == m for k, _ in files)))
+        assert files[("b", 0)] and len([1 for k, _ in files if k == "b"]) == 1
+    assert batch.packed_files(lines.limit(0), 20, 2000).count() == 0
+
+
+def test_sketches_merge_and_keep_their_error(spark):
+    r = np.random.default_rng(8)
+    values = np.concatenate([r.lognormal(0, 3, 3000), -r.lognormal(1, 1, 700), np.zeros(50)])
+    rows = [(int(i % 7), float(v)) for i, v in enumerate(values)] + [(0, None), (1, float("nan")), (2, float("inf"))]
+    df = spark.createDataFrame(rows, "part int, v double")
+    parts = serving.sketches(df, ["part"], "v")
+    shares = {f"q{i}": i / 20 for i in range(21)}
+    merged = serving.sketched_quantiles(serving.merged_sketches(parts, []), [], shares).first()
+    assert merged == serving.sketched_quantiles(serving.sketches(df, [], "v"), [], shares).first()
+    ordered = np.sort(values)
+    assert merged["count"] == len(values)
+    for name, q in shares.items():
+        exact = ordered[int(np.floor(q * (len(values) - 1)))]
+        assert abs(merged[name] - exact) <= 0.01 * abs(exact) + 1e-12
