@@ -168,33 +168,59 @@ def lexical_scores(query_weights: DataFrame, doc_weights: DataFrame, hot_salt: i
     return docs.join(queries, ["token", "salt"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("wd")).alias("score"))
 
 
+def _dot() -> Column:
+    return F.sum(F.col("wq") * F.col("wd")).alias("score")
+
+
+def _lexical_candidates(docs: DataFrame, plan: DataFrame, top_n: int, start: int) -> tuple[DataFrame, DataFrame]:
+    """``query_id, doc_id, score`` of all documents that can be in a query's top, and the query tokens that their scores lack: see :func:`lexical_top`."""
+    begun = plan.where(F.col("before") < start * top_n).join(docs, "token").groupBy("query_id", "doc_id").agg(_dot())
+    first = top_by_score(begun, "query_id", start * top_n).select("query_id", "doc_id")
+    whole = top_by_score(_whole_scores(first, plan, docs), "query_id", top_n)
+    floors = whole.where(F.col("rank") == top_n).select("query_id", F.col("score").alias("floor"))
+    planned = plan.join(kept(floors, "floors"), "query_id", "left")
+    # what is left out can't reach the floor even if all bounds are met; the margin covers rounding
+    short = F.coalesce(F.col("reach") * (1 + 1e-9) + 2e-6 < F.col("floor"), F.lit(False))
+    planned = planned.withColumn("rest", F.coalesce(F.max(F.when(short, F.col("reach"))).over(Window.partitionBy("query_id")), F.lit(0.0)))
+    met = planned.where(~short).join(docs, "token").groupBy("query_id", "doc_id").agg(_dot(), F.first("floor").alias("floor"), F.first("rest").alias("rest"))
+    enough = F.col("floor").isNull() | ((F.col("score") + F.col("rest")) * (1 + 1e-9) + 2e-6 >= F.col("floor"))
+    return met.where(enough).select("query_id", "doc_id", "score"), kept(planned.where(short).select("query_id", "token", "wq"), "short")
+
+
+def _whole_scores(pairs: DataFrame, plan: DataFrame, docs: DataFrame) -> DataFrame:
+    weights = pairs.select("query_id", "doc_id").join(plan.select("query_id", "token", "wq"), "query_id").join(docs, ["doc_id", "token"])
+    return weights.groupBy("query_id", "doc_id").agg(_dot()).withColumn("score", F.round("score", 6))
+
+
 def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, start: int = 4) -> DataFrame:
     """``query_id, doc_id, score, rank``: each query's ``top_n`` documents by ``lexical_scores``, exactly, without scoring all pairs.
 
     Weights are above 0, one row for each text and token; rows with a null or another weight are left out. A token can add at most
-    its own weight times its largest one in any document. Documents that hold a query's rarest tokens (until those have
-    ``start`` times ``top_n`` postings; any number gives the same result) are scored by these alone, which gives a floor that the last of the top must reach. Tokens whose bounds,
-    added up from the most frequent one, stay below the floor can't lift a document into the top by themselves: only documents that
-    hold another token of the query are scored. So postings of stop words are met by candidates alone. Ties go to the smaller
-    ``doc_id``; scores are compared as rounded to six digits, since sums depend on their order. A query that shares no
-    token with any document has no rows. Intermediate tables are written once below ``spark.checkpoint.dir``.
+    its own weight times its largest one in any document. Documents that hold a query's rarest tokens (until those have ``start``
+    times ``top_n`` postings; any number gives the same result) are scored first, which gives a floor that the last of the top
+    must reach. Tokens whose bounds, added up from the most frequent one, stay below the floor can't lift a document into
+    the top by themselves: only documents with another token of the query are met, and only those whose score so far can still
+    reach the floor with the bounds of what was left out are joined to the rest of their tokens. Ties go to the smaller ``doc_id``; scores are compared as
+    rounded to six digits, since sums depend on their order. A query that shares no token with any document has no rows.
+    Intermediate tables are written once below ``spark.checkpoint.dir``.
     """
+    docs, plan = _lexical_plan(query_weights, doc_weights)
+    met, short = _lexical_candidates(docs, plan, top_n, start)
+    met = kept(met, "candidates")
+    more = met.select("query_id", "doc_id").join(short, "query_id").join(docs, ["doc_id", "token"]).select("query_id", "doc_id", (F.col("wq") * F.col("wd")).alias("score"))
+    whole = met.union(more).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score"))
+    return top_by_score(whole, "query_id", top_n)
+
+
+def _lexical_plan(query_weights: DataFrame, doc_weights: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings, and the queries' tokens with their postings so far from the rarest one and bounds so far from the most frequent one."""
     docs = kept(doc_weights.where("weight > 0").select("doc_id", "token", F.col("weight").cast("double").alias("wd")), "postings")
     asked = query_weights.where("weight > 0").select("query_id", "token", F.col("weight").cast("double").alias("wq"))
     lists = docs.groupBy("token").agg(F.count("*").alias("df"), F.max("wd").alias("most"))
-    rare_first = Window.partitionBy("query_id").orderBy("df", "token")
-    frequent_first = Window.partitionBy("query_id").orderBy(F.desc("df"), F.desc("token"))
-    plan = asked.join(lists, "token").withColumn("bound", F.col("wq") * F.col("most"))
-    plan = plan.withColumn("before", F.coalesce(F.sum("df").over(rare_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    plan = kept(plan.withColumn("reach", F.sum("bound").over(frequent_first.rowsBetween(Window.unboundedPreceding, 0))), "plan")
-    product = F.sum(F.col("wq") * F.col("wd")).alias("score")
-    begun = plan.where(F.col("before") < start * top_n).join(docs, "token").groupBy("query_id", "doc_id").agg(product)
-    floors = top_by_score(begun, "query_id", top_n).where(F.col("rank") == top_n).select("query_id", F.col("score").alias("floor"))
-    needed = plan.join(floors, "query_id", "left").where(F.col("floor").isNull() | (F.col("reach") * (1 + 1e-9) + 1e-6 >= F.col("floor")))
-    candidates = needed.select("query_id", "token").join(docs.select("doc_id", "token"), "token").select("query_id", "doc_id").distinct()
-    weights = candidates.join(plan.select("query_id", "token", "wq"), "query_id").join(docs, ["doc_id", "token"])
-    scored = weights.groupBy("query_id", "doc_id").agg(product).withColumn("score", F.round("score", 6))
-    return top_by_score(scored, "query_id", top_n)
+    rare_first = Window.partitionBy("query_id").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
+    frequent_first = Window.partitionBy("query_id").orderBy(F.desc("df"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)
+    plan = asked.join(lists, "token").withColumn("before", F.coalesce(F.sum("df").over(rare_first), F.lit(0)))
+    return docs, kept(plan.withColumn("reach", F.sum(F.col("wq") * F.col("most")).over(frequent_first)), "plan")
 
 
 def classifications(results: DataFrame, labels: list[str], key: str = "request_id", data: str = "data") -> DataFrame:

@@ -32,11 +32,11 @@ def batch_requests(spark, sf_dir):
   b AS (SELECT *, count(*) OVER w - 1 AS lines, coalesce(sum(n) OVER w - n, 0) AS bytes FROM s WINDOW w AS (PARTITION BY lang, alone ORDER BY doc_id ROWS UNBOUNDED PRECEDING)),
   k AS (SELECT *, CASE WHEN n > 100000 THEN NULL WHEN alone THEN lines ELSE bytes // 93750 + lines // 40 END AS key FROM b),
   f AS (SELECT lang, alone, key, row_number() OVER (PARTITION BY lang ORDER BY alone, key) - 1 AS file FROM (SELECT DISTINCT lang, alone, key FROM k WHERE key IS NOT NULL))
-  SELECT k.lang, f.file, count(*) AS lines, sum(n)::BIGINT AS n_bytes, min(doc_id) AS first_id, max(doc_id) AS last_id FROM k LEFT JOIN f ON k.lang IS NOT DISTINCT FROM f.lang AND k.alone = f.alone AND k.key = f.key GROUP BY 1, 2""")
+  SELECT k.lang, coalesce(f.file, -1) AS file, count(*) AS lines, sum(n)::BIGINT AS n_bytes, min(doc_id) AS first_id, max(doc_id) AS last_id FROM k LEFT JOIN f ON k.lang IS NOT DISTINCT FROM f.lang AND k.alone = f.alone AND k.key = f.key GROUP BY 1, 2""")
 def batch_files(spark, sf_dir):
     """Documents as lines in files of at most 40 lines and 100,000 bytes, one language a file."""
     found = batch.packed_files(a.table(spark, sf_dir, "documents").select("lang", "doc_id", "text"), 40, 100_000, "lang", "doc_id", "text")
-    return found.groupBy("lang", "file").agg(F.count("*").alias("lines"), F.sum("n_bytes").alias("n_bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    return found.groupBy("lang", F.coalesce("file", F.lit(-1).cast("bigint")).alias("file")).agg(F.count("*").alias("lines"), F.sum("n_bytes").alias("n_bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
 
 
 @query("""SELECT 'several_models' AS code, 'model-a, model-b' AS detail UNION ALL SELECT 'bad_endpoint', '/v1/unknown' UNION ALL SELECT 'repeated_id', 'c-' || conv_id FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 30 = 1)""")
@@ -226,7 +226,7 @@ def _word_counts(texts, key):
 
 
 @query("""WITH d AS (SELECT doc_id, token, count(*) / (count(*) + 1.0::DOUBLE) AS wd FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2),
-  f AS (SELECT token, round(ln(1 + (SELECT count(*) FROM documents) / count(*)::DOUBLE), 6) AS idf FROM d GROUP BY 1),
+  f AS (SELECT token, ln(1 + (SELECT count(*) FROM documents) / count(*)::DOUBLE) AS idf FROM d GROUP BY 1),
   q AS (SELECT item_id, token, count(*) * any_value(idf) AS wq FROM (SELECT item_id, unnest(string_split(text, ' ')) AS token FROM benchmark) JOIN f USING (token) GROUP BY 1, 2),
   s AS (SELECT item_id AS query_id, doc_id, round(sum(wq * wd), 6) AS score FROM q JOIN d USING (token) GROUP BY 1, 2)
   SELECT query_id, doc_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
@@ -235,7 +235,7 @@ def lexical_search(spark, sf_dir):
     documents = a.table(spark, sf_dir, "documents")
     docs = kept(_word_counts(documents, "doc_id"), "words")
     idf = docs.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(documents.agg(F.count("*").alias("all"))))  # one row
-    idf = idf.select("token", F.round(F.log(1 + F.col("all") / F.col("df")), 6).alias("idf"))
+    idf = idf.select("token", F.log(1 + F.col("all") / F.col("df")).alias("idf"))
     asked = _word_counts(a.table(spark, sf_dir, "benchmark"), "item_id").join(idf, "token")
     return retrieval.lexical_top(asked.select(F.col("item_id").alias("query_id"), "token", (F.col("n") * F.col("idf")).alias("weight")), docs.select("doc_id", "token", (F.col("n") / (F.col("n") + 1)).alias("weight")), 10)
 

@@ -105,6 +105,15 @@ def test_lexical_top_equals_scoring_every_pair(spark):
     assert retrieval.lexical_top(queries.limit(0), postings, 10).count() == 0
 
 
+def test_documents_with_frequent_tokens_only_are_never_met(spark):
+    queries = spark.createDataFrame([(1, "rare", 5.0), (1, "the", 0.1)], "query_id int, token string, weight double")
+    postings = spark.createDataFrame([(d, "rare", 1.0) for d in range(12)] + [(d, "the", 1.0) for d in range(5, 500)], "doc_id int, token string, weight double")
+    table, plan = retrieval._lexical_plan(queries, postings)
+    met, short = retrieval._lexical_candidates(table, plan, 4, 2)
+    assert sorted(x.doc_id for x in met.collect()) == list(range(12)) and [x.token for x in short.collect()] == ["the"]
+    assert [(x.doc_id, x.score) for x in retrieval.lexical_top(queries, postings, 4, 2).orderBy("rank").collect()] == [(d, 5.1) for d in range(5, 9)]
+
+
 def test_packed_files_keep_every_line_below_the_limits(spark):
     r = np.random.default_rng(2)
     rows = [(m, i, "é" * int(n)) for m, many in (("a", 400), ("b", 3), (None, 40)) for i, n in enumerate(r.integers(0, 60, many))]
