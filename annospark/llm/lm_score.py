@@ -2,10 +2,9 @@
 
 ``score_whole`` counts every trigram and its context, over all words. Since the texts scored are the texts counted, each trigram has
 been seen, so the back-off is never taken and the score is a sum of log counts of trigrams less one of contexts: both are dealt by
-their own hash, and no table of words is broadcast. ``score_documents`` is the form with bigrams over a closed vocabulary: words
-with at least ``LEAST_SHARE`` of all words, one symbol for the rest, and counts broadcast as sorted hash arrays.
+their own hash, and no table of words is broadcast.
 
-In both, n-grams are exploded from every text and dealt by their hash. A partition holds the count table of its n-grams and all
+N-grams are exploded from every text and dealt by their hash. A partition holds the count table of its n-grams and all
 their occurrences, joins the two, and sends on the sums of the documents it met; those are added up by document. Occurrences
 and sums travel packed: a row holds what one block of documents and one partition have in common. Documents are numbered within
 their block; their ids and numbers of words travel once, with the first row of the block.
@@ -21,14 +20,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fitted, stored
 from .text import flat, hashes, mixed, pieces, words
 
-#: Least share of all words that makes a word known, so there are at most 1 / LEAST_SHARE of them (12 MB).
-LEAST_SHARE = 1e-6
-#: Factor for backing off; occurrences below which a bigram counts as unseen.
-BACK_OFF, LEAST_COUNT = 0.4, 2
-#: Words after which a task passes its counts on, and in a block of packed bigrams; hash partitions for each shuffle partition.
+#: Twice the words of a block of packed n-grams; hash partitions for each shuffle partition.
 HELD, FINER = 1_200_000, 2
 #: Sums travel as integers of this many steps per nat, so that their order doesn't matter.
 STEPS = 1 << 20
@@ -36,51 +30,6 @@ STEPS = 1 << 20
 PART_CHARS = 32_000_000
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``word`` (its 64-bit hash), ``n`` over all texts, added up within each task first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def added() -> pa.RecordBatch:
-            every, n = (np.concatenate(x) for x in zip(*parts))
-            word, place = np.unique(every, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.bincount(place, n).astype(np.int64))], names=["word", "n"])
-
-        for batch in pieces(batches, text):
-            data, offsets = flat(batch.column(text))
-            starts, ends, _ = words(data, offsets)
-            parts.append(np.unique(hashes(data, starts, ends), return_counts=True))
-            if sum(len(x) for x, _ in parts) > HELD:
-                yield added()
-                parts = []
-        if parts:
-            yield added()
-
-    return docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Vocabulary:
-    """Known words as a sorted hash array, and log counts by word number: 0 is any other word, the last one a text's begin."""
-
-    def __init__(self, word: np.ndarray, n: np.ndarray, total: int, texts: int) -> None:
-        order = np.argsort(word)
-        self.word = word[order]
-        self.total = max(total, 1)
-        self.logs = np.log(np.maximum(np.concatenate([[total - n.sum()], n[order], [texts]]), 1))
-
-    def numbers(self, found: np.ndarray) -> np.ndarray:
-        place = np.minimum(np.searchsorted(self.word, found), max(len(self.word) - 1, 0))
-        return np.where(self.word[place] == found, place + 1, 0) if len(self.word) else np.zeros(len(found), np.int64)
-
-
-def vocabulary(docs: DataFrame, text: str = "text", least_share: float = LEAST_SHARE) -> Vocabulary:
-    counts = stored(word_counts(docs, text), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = counts.where(F.col("n") >= F.lit(least_share * total)).toArrow()
-    return Vocabulary(known["word"].to_numpy().view(np.uint64), known["n"].to_numpy(), total, docs.count())
-
-
 def narrow(x: np.ndarray) -> bytes:
     """Integers from 0 on, in as few bytes each as the largest takes."""
     return x.astype(np.min_scalar_type(int(x.max(initial=0)))).tobytes()
@@ -91,98 +40,6 @@ def widened(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{max(1, len(data) // max(1, n))}").astype(np.int64)
 
 
-def packed_bigrams(rows: DataFrame, known, parts: int) -> DataFrame:
-    """``part, block, bigram, held, doc, times, ids, words`` from ``rid, body``: of a block of documents, the sorted bigrams of a
-    partition (six bytes each, all first bytes first), how many documents hold each, then for each of those its number in
-    the block and the occurrences. A block's first row has its documents' ids and numbers of words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = known.value
-        base, begin = np.int64(len(vocabulary.logs)), len(vocabulary.logs) - 1
-        grams, docs, rids, n = [], [], [], 0
-        number = TaskContext.get().partitionId() << 24  # of the block: the same whenever the task is run again
-
-        def block() -> pa.RecordBatch:
-            nonlocal number
-            number += 1
-            gram, doc = np.concatenate(grams), np.concatenate(docs)
-            part = (mixed(gram.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-            order = np.lexsort((doc, gram, part))
-            gram, doc, part = gram[order], doc[order], part[order]
-            fresh = np.ones(len(gram), bool)
-            fresh[1:] = (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])
-            at = np.flatnonzero(fresh)
-            times = np.diff(np.append(at, len(gram))).astype(np.int32)
-            gram, doc, part = gram[at], doc[at], part[at]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            every = np.concatenate(rids)
-            head = every.astype("<i8").tobytes(), narrow(np.bincount(np.concatenate(docs), minlength=len(every)))
-            out: list[list] = [[] for _ in range(8)]
-            for p in np.flatnonzero(np.diff(cuts)).tolist():
-                a, b = cuts[p], cuts[p + 1]
-                g, held = np.unique(gram[a:b], return_counts=True)
-                values = (p, number, g.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes(), narrow(held), narrow(doc[a:b]), narrow(times[a:b]), *head)
-                head = None, None
-                for column, value in zip(out, values):
-                    column.append(value)
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), *(pa.array(x, pa.binary()) for x in out[2:])], names=["part", "block", "bigram", "held", "doc", "times", "ids", "words"])
-
-        seen = 0
-        for batch in pieces(batches, "body"):
-            data, offsets = flat(batch.column(1))
-            starts, ends, of = words(data, offsets)
-            now = vocabulary.numbers(hashes(data, starts, ends))
-            before = np.empty_like(now)
-            before[1:] = now[:-1]
-            before[of[:-1][of[:-1] < of[1:]]] = begin
-            grams.append(before * base + now)
-            docs.append(seen + np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(of)))
-            rids.append(batch.column(0).to_numpy())
-            seen, n = seen + batch.num_rows, n + len(now)
-            if n > HELD:
-                yield block()
-                grams, docs, rids, n, seen = [], [], [], 0, 0
-        if n:
-            yield block()
-
-    return rows.mapInArrow(run, "part int, block long, bigram binary, held binary, doc binary, times binary, ids binary, words binary")
-
-
-def partial_scores(packed: DataFrame, known, least_count: int = LEAST_COUNT, back_off: float = BACK_OFF) -> DataFrame:
-    """``block, docs, gaps, score, ids, words``: for each partition and block the sums of its documents' log scores, in steps, packed,
-    with the number of documents and the gaps between theirs.
-
-    One group holds the count table and the occurrences of one hash partition.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = known.value
-        base = len(vocabulary.logs)
-        blocks = []
-        for row in (dict(zip(b.schema.names, x)) for b in batches for x in zip(*(c.to_pylist() for c in b.columns))):
-            six = np.frombuffer(row["bigram"], np.uint8).reshape(6, -1).T
-            gram = np.zeros((len(six), 8), np.uint8)
-            gram[:, :6] = six
-            held = widened(row["held"], len(six))
-            blocks.append((gram.view("<i8").ravel(), held, row["doc"], row["times"], (row["block"], row["ids"], row["words"])))
-        every = np.concatenate([x[0] for x in blocks])
-        counts = np.concatenate([np.add.reduceat(widened(times, held.sum()), np.concatenate([[0], np.cumsum(held)[:-1]])) for _, held, _, times, _ in blocks])
-        table, place = np.unique(every, return_inverse=True)
-        n = np.bincount(place, counts)
-        del every, counts, place
-        first, second = table // base, table % base
-        logs = np.where(n >= least_count, np.log(np.maximum(n, 1)) - vocabulary.logs[first], np.log(back_off) + vocabulary.logs[second] - np.log(vocabulary.total))
-        steps = np.rint(logs * STEPS)
-        for gram, held, doc, times, (block, ids, n_words) in blocks:
-            doc, times = widened(doc, held.sum()), widened(times, held.sum())
-            who, place = np.unique(doc, return_inverse=True)
-            score = np.bincount(place, np.repeat(steps[np.searchsorted(table, gram)], held) * times)
-            values = narrow(np.diff(who, prepend=0)), score.astype("<i4" if np.abs(score).max() < 1 << 31 else "<i8").tobytes(), ids, n_words
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([len(who)], pa.int32()), *(pa.array([x], pa.binary()) for x in values)], names=["block", "docs", "gaps", "score", "ids", "words"])
-
-    return packed.groupBy("part").applyInArrow(run, "block long, docs int, gaps binary, score binary, ids binary, words binary")
-
-
 def document_sums(partial: DataFrame) -> DataFrame:
     """``rid, score, n``: each block's documents with their sums over all partitions. A group has the parts of one block, which is bounded."""
 
@@ -205,21 +62,6 @@ def _by_document(rows: DataFrame, sums: DataFrame, key: str) -> DataFrame:
     return out.select(F.col("id").alias(key), n.cast("long").alias("n_words"), (total / STEPS).alias("log_score"), F.when(F.col("n") > 0, F.col("score") / F.col("n") / STEPS).alias("mean_log_score"))
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", least_share: float = LEAST_SHARE, parts: int | None = None) -> DataFrame:
-    """Per row: ``key, n_words, log_score, mean_log_score``, natural logs.
-
-    ``log(count(a b) / count(a))`` for a bigram seen ``LEAST_COUNT`` times or more, else ``log(0.4 * count(b) / all words)``;
-    the first word follows a begin symbol. Texts without words (null and empty ones) have 0, 0 and null. Repeated rows and
-    null ids are scored like others and count like others; an empty table gives an empty result; other columns are ignored.
-    """
-    spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(vocabulary(docs, text, least_share))
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("rid", F.xxhash64("id", "body"))
-    parts = parts or FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sums = document_sums(partial_scores(packed_bigrams(rows.select("rid", "body"), known, parts), known)).groupBy("rid").agg(F.sum("score").alias("score"), F.sum("n").alias("n"))
-    return _by_document(rows, sums, key)
-
-
 def _distinct(x: np.ndarray) -> np.ndarray:
     """Where a sorted array has a value for the first time."""
     fresh = np.ones(len(x), bool)
@@ -248,8 +90,8 @@ def summed(data: bytes, begin: int) -> np.ndarray:
 
 
 def packed_trigrams(rows: DataFrame, parts: int) -> DataFrame:
-    """As :func:`packed_bigrams`, with 63-bit hashes of the trigrams (odd) and of their contexts (even), before a text two begin
-    symbols. The bigram that ends a text counts as a context too; it belongs to no document, but to the number after the last."""
+    """A row for each block of texts and hash partition: 63-bit hashes of the trigrams (odd) and of their contexts (even), before a
+    text two begin symbols, with their documents and how often each holds them. The bigram that ends a text counts as a context too; it belongs to no document, but to the number after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, docs, ends_, rids, n = [], [], [], [], 0
@@ -305,7 +147,7 @@ def packed_trigrams(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def partial_log_counts(packed: DataFrame, parts: int) -> DataFrame:
-    """As :func:`partial_scores`: sums of the log counts of trigrams less those of contexts."""
+    """A row for each block and partition: its documents' sums of the log counts of trigrams less those of contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = []
@@ -328,7 +170,11 @@ def partial_log_counts(packed: DataFrame, parts: int) -> DataFrame:
 
 def score_whole(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """Per row: ``key, n_words, log_score, mean_log_score``, natural logs: ``log(count(a b c) / count(a b))`` over all words and
-    trigrams of the corpus, the first two words after begin symbols. Rows as in :func:`score_documents`."""
+    trigrams of the corpus, the first two words after begin symbols.
+
+    Texts without words (null and empty ones) have 0, 0 and null. Repeated rows and null ids are scored like others and count like
+    others; an empty table gives an empty result; other columns are ignored.
+    """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body")).withColumn("rid", F.xxhash64("id", "body"))
     if parts is None:
         chars = rows.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]

@@ -165,26 +165,6 @@ def test_learns_rare_bad_words_and_holds_out(spark):
     assert found[900].score == found[901].score and len(found) == len(rows)
 
 
-def test_stupid_backoff(spark):
-    texts = ["a b a b c", "a b c", "rare words here", None, "", "a b c", "a " * 2000]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "b c")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    words = [(i, (t or "").split()) for i, t in rows]
-    total = sum(len(w) for _, w in words)
-    ones, known = Counter(x for _, w in words for x in w), 0.002
-    keep = {w for w, n in ones.items() if n >= known * total}
-    shown = [(i, ["<s>", *(x if x in keep else "?" for x in w)]) for i, w in words]
-    uni, bi = Counter(x for _, w in shown for x in w[1:]), Counter(p for _, w in shown for p in zip(w, w[1:]))
-    uni["<s>"] = len(rows)
-    want = {i: sum(math.log(bi[p] / uni[p[0]]) if bi[p] >= 2 else math.log(0.4 * uni[p[1]] / total) for p in zip(w, w[1:])) for i, w in shown}
-    found = lm_score.score_documents(docs, least_share=known, parts=3).collect()
-    assert len(found) == len(rows)
-    for r in found:
-        assert abs(r.log_score - want[r.doc_id]) < 1e-2
-        assert (r.mean_log_score is None) == (r.n_words == 0)
-    assert lm_score.score_documents(docs.limit(0)).count() == 0
-
-
 def test_whole_counts_keep_rare_words_and_trigrams(spark):
     texts = ["a b a b c", "a b c", "rare words here", None, "", "a b c", "a " * 2000, "once", "a b rare"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, "b c")]
