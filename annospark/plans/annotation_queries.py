@@ -122,6 +122,24 @@ def value_checks(spark, sf_dir):
     return e.select("event_id", F.array_join(values.value_problems(held, EVENT_CONTRACT), "; ").alias("problems")).where("problems <> ''")
 
 
+@query("""WITH r AS (SELECT event_id, event_type AS t, event_id % 15 = 0 AS noted, CASE WHEN event_id % 10 = 0 THEN 'unexpected values: zone' END AS extra, CASE WHEN event_id % 50 = 7 THEN 'events-3' WHEN event_id % 2 = 0 THEN 'events-1' ELSE 'events-2' END AS schema_version FROM events),
+  p AS (SELECT event_id, schema_version, CASE schema_version WHEN 'events-3' THEN 'unknown schema: events-3'
+    WHEN 'events-1' THEN concat_ws('; ', extra, CASE WHEN noted THEN 'missing value: action' WHEN t NOT IN ('view', 'click', 'purchase', 'signup') THEN 'unknown action: ' || t END)
+    ELSE concat_ws('; ', extra, CASE WHEN NOT noted AND t NOT IN ('view', 'error') THEN 'unknown action: ' || t END, CASE WHEN NOT noted THEN 'missing value: note' END) END AS problems FROM r)
+  SELECT * FROM p WHERE problems <> ''""")
+def contract_checks(spark, sf_dir):
+    """Events under two contracts in one job; some name a third that isn't there."""
+    schema = {"schema_id": "events-2", "segment_values": {"action": {"type": "enum", "source": "ontology.actions", "required": False}, "note": {"type": "string"}}, "text_output": EVENT_CONTRACT.schema["text_output"]}
+    other = contracts.make_contract(schema, {"ontology_id": "errors", "revision": "1", "vocabularies": {"actions": [{"id": "view"}, {"id": "error"}]}})
+    k = F.col("event_id")
+    action = F.when(k % 15 != 0, F.create_map(F.lit("action"), "event_type")).otherwise(F.create_map(F.lit("note"), F.lit("x")))
+    held = F.when(k % 10 == 0, F.map_concat(action, F.create_map(F.lit("zone"), F.lit("1")))).otherwise(action)
+    named = F.when(k % 50 == 7, "events-3").when(k % 2 == 0, "events-1").otherwise("events-2")
+    rows = a.table(spark, sf_dir, "events").select("event_id", named.alias("schema_version"), held.alias("values"))
+    found = values.contract_problems(rows, contracts.contract_table(spark, [EVENT_CONTRACT, other]))
+    return found.select("event_id", "schema_version", F.array_join("problems", "; ").alias("problems")).where("problems <> ''")
+
+
 @query("SELECT event_type AS action, count(*) AS n FROM events WHERE event_type NOT IN ('view', 'click', 'purchase', 'signup') GROUP BY 1")
 def unknown_terms(spark, sf_dir):
     rows = a.table(spark, sf_dir, "events").select(F.col("event_type").alias("action"))

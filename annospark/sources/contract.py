@@ -119,6 +119,15 @@ def load_contract(schema_path: str, ontology_path: str) -> Contract:
     return make_contract(*documents)
 
 
+def contract_table(spark: SparkSession, contracts: list[Contract]) -> DataFrame:
+    """``schema_id, fields``: a row for each contract, its fields in order of name with type, whether required, and the terms of enums."""
+    twice = sorted({c.schema_id for c in contracts if sum(x.schema_id == c.schema_id for x in contracts) > 1})
+    if twice:
+        raise ContractError(f"several contracts have schema {', '.join(twice)}")
+    rows = [(c.schema_id, [(n, f["type"], f["required"], c.vocabularies.get(f["vocabulary"])) for n, f in sorted(c.fields.items())]) for c in contracts]
+    return spark.createDataFrame(rows, "schema_id string, fields array<struct<field:string,type:string,required:boolean,terms:array<string>>>")
+
+
 def repeated_terms(vocabulary: DataFrame) -> DataFrame:
     """``vocabulary, id, n`` of ids that a vocabulary table holds more than once."""
     return vocabulary.groupBy("vocabulary", "id").agg(F.count("*").alias("n")).where("n > 1")

@@ -147,3 +147,21 @@ def test_sketches_merge_and_keep_their_error(spark):
     for name, q in shares.items():
         exact = ordered[int(np.floor(q * (len(values) - 1)))]
         assert abs(merged[name] - exact) <= 0.01 * abs(exact) + 1e-12
+
+
+def test_contracts_of_a_table_judge_as_one_contract_does(spark):
+    from annospark.operators import values
+    from annospark.sources import contract
+
+    text = {"field": "sentence", "language": "en", "style": "imperative", "required": True}
+    make = lambda name, fields, terms: contract.make_contract({"schema_id": name, "segment_values": fields, "text_output": text}, {"ontology_id": name, "revision": "1", "vocabularies": {"v": [{"id": t} for t in terms]}})
+    enum = {"type": "enum", "source": "ontology.v"}
+    known = [make("a", {"x": enum, "y": {"type": "string", "required": False}}, ["1", "2"]), make("b", {"x": enum | {"required": False}, "z": {"type": "string"}}, ["3"])]
+    maps = [None, {}, {"x": "1"}, {"x": "3"}, {"x": None, "y": "s"}, {"x": "2", "q": "1", "a": None}, {"z": None}, {"z": "k", "x": "3"}]
+    rows = spark.createDataFrame([(i, s, m) for s in ("a", "b", "c", None) for i, m in enumerate(maps)], "i int, schema_version string, values map<string,string>")
+    got = {(r.i, r.schema_version): r.problems for r in values.contract_problems(rows, contract.contract_table(spark, known)).collect()}
+    assert len(got) == 4 * len(maps)
+    for c in known:
+        own = rows.where(F.col("schema_version") == c.schema_id).withColumn("p", values.value_problems(F.col("values"), c))
+        assert {(r.i, c.schema_id): r.p for r in own.collect()} == {k: v for k, v in got.items() if k[1] == c.schema_id}
+    assert got[0, "c"] == ["unknown schema: c"] and got[3, None] == ["unknown schema: "]
