@@ -23,8 +23,8 @@ def _limited(schema: dict, limits: dict[str, Column]) -> Column:
     return text
 
 
-def coarse_requests(plans: DataFrame, contract: Contract) -> DataFrame:
-    """Requests from ``video_id, path, chunk_start_ms, chunk_end_ms, samples``. Times in a response count from the chunk's start."""
+def coarse_requests(plans: DataFrame, contract: Contract, also: tuple[str, ...] = ()) -> DataFrame:
+    """Requests from ``video_id, path, chunk_start_ms, chunk_end_ms, samples``, with the columns ``also`` of the plans. Times in a response count from the chunk's start."""
     duration = F.col("chunk_end_ms") - F.col("chunk_start_ms")
     schema = contract.response_schema()
     segment = schema["properties"]["segments"]["items"]["properties"]
@@ -47,6 +47,7 @@ def coarse_requests(plans: DataFrame, contract: Contract) -> DataFrame:
         F.col("samples").alias("sample_timestamps_ms"),
         prompt.alias("prompt"),
         _limited(schema, {"@last": duration - 1, "@duration": duration}).alias("response_schema"),
+        *also,
     )
 
 

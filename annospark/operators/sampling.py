@@ -131,10 +131,13 @@ def targets_table(ranges: DataFrame, fps: float, start: str = "chunk_start_ms",
 
 
 def frames_in_ranges(ranges: DataFrame, frames: DataFrame, bin_ms: int, start: str = "chunk_start_ms", end: str = "chunk_end_ms") -> DataFrame:
-    """``ranges`` joined to ``frames`` (``video_id, pts_ms``) in ``[start, end)``: an equi-join on bins of time, then the exact test."""
+    """``ranges`` joined to ``frames`` (``video_id, pts_ms``) in ``[start, end)``: an equi-join on bins of time, then the exact test.
+
+    Ranges are made from few rows (a video's), by which their size is misjudged, and grow with the videos: they are never broadcast.
+    """
     binned = ranges.withColumn("bin", F.explode(F.sequence(F.floor(F.col(start) / bin_ms), F.floor((F.col(end) - 1) / bin_ms))))
     placed = frames.withColumn("bin", F.floor(F.col("pts_ms") / bin_ms))
-    return binned.join(placed, ["video_id", "bin"]).where((F.col("pts_ms") >= F.col(start)) & (F.col("pts_ms") < F.col(end))).drop("bin")
+    return binned.hint("merge").join(placed, ["video_id", "bin"]).where((F.col("pts_ms") >= F.col(start)) & (F.col("pts_ms") < F.col(end))).drop("bin")
 
 
 def ranges_without_frames(ranges: DataFrame, inside: DataFrame) -> DataFrame:

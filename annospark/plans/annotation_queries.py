@@ -279,8 +279,7 @@ _SCHEMA_SQL = """{"additionalProperties":false,"properties":{"segments":{"items"
 def response_schemas(spark, sf_dir):
     """The whole response schema of each chunk, with its limits."""
     plans = _chunks(spark, sf_dir).withColumn("path", F.lit("/v")).withColumn("samples", F.array("chunk_start_ms"))
-    made = requests.coarse_requests(plans, EVENT_CONTRACT)
-    return made.join(_chunks(spark, sf_dir).select("video_id", "chunk_id", F.col("chunk_start_ms").alias("media_start_ms")), ["video_id", "media_start_ms"]).select("video_id", "chunk_id", "response_schema")
+    return requests.coarse_requests(plans, EVENT_CONTRACT, ("chunk_id",)).select("video_id", "chunk_id", "response_schema")
 
 
 WINDOW_MS = 4_000_000
