@@ -31,7 +31,7 @@ EVENT_CONTRACT = contracts.make_contract(
 
 def _customer_lines(spark, sf_dir):
     """Customers as manifest lines: every 50th has an unknown key, every 51st no dataset, every 52nd a remote uri; some lines are blank or broken."""
-    c = a.table(spark, sf_dir, "customer")
+    c = a.table(spark, sf_dir, "customer").repartition("c_custkey")  # one small file would be parsed in one task
     k = F.col("c_custkey")
     plain = F.struct(
         F.concat(F.lit("v"), k.cast("string")).alias("video_id"),

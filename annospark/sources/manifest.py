@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.once import once
+
 FIELDS = ("video_id", "video_uri", "dataset_id", "schema_version", "ontology_id")
 KEYS = (*FIELDS, "context", "metadata")
 REJECT = "stage string, video_id string, item_id string, code string, message string"
@@ -55,19 +57,18 @@ def parse_manifest(lines: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]
     Unknown keys, missing, empty or non-string ids, and uris with a scheme are rejected. ``context`` and ``metadata`` are
     JSON text, ``{}`` by default, and must be objects.
     """
-    rows = lines.where(F.trim("value") != "").withColumn("json", F.try_parse_json("value"))
+    rows = once(lines.select("value").where(F.trim("value") != ""), json=F.try_parse_json("value"), keys=F.json_object_keys("value"))
     text = lambda name: F.when(F.schema_of_variant(F.variant_get("json", f"$.{name}", "variant")) == "STRING", F.try_variant_get("json", f"$.{name}", "string"))
     part = lambda name: F.coalesce(F.to_json(F.variant_get("json", f"$.{name}", "variant")), F.lit("{}"))
-    keys = F.json_object_keys("value")
-    found = rows.select("value", "json", keys.alias("keys"), *(text(n).alias(n) for n in FIELDS), *(part(n).alias(n) for n in ("context", "metadata")))
+    found = once(rows, **{n: text(n) for n in FIELDS}, **{n: part(n) for n in ("context", "metadata")})
     extra = F.array_sort(F.array_except("keys", F.array(*map(F.lit, KEYS))))
     empty = F.array_compact(F.array(*(F.when(F.coalesce(F.length(n), F.lit(0)) == 0, F.lit(n)) for n in FIELDS)))
     flawed = F.array_compact(F.array(*(F.when(~F.col(n).startswith("{"), F.lit(n)) for n in ("context", "metadata"))))
     code = F.when(F.col("json").isNull() | F.col("keys").isNull(), "not_json").when(F.size(extra) > 0, "unknown_keys").when(F.size(empty) > 0, "empty_field").when(F.size(flawed) > 0, "not_object").when(F.col("video_uri").contains("://"), "remote_uri")
     message = F.when(F.size(extra) > 0, F.array_join(extra, ", ")).when(F.size(empty) > 0, F.array_join(empty, ", ")).when(F.size(flawed) > 0, F.array_join(flawed, ", ")).otherwise(F.substring("value", 1, 200))
-    judged = found.withColumn("code", code).withColumn("message", message)
-    items = judged.where(F.col("code").isNull()).select(*FIELDS, "context", "metadata", resolved_uri(F.col("video_uri"), folder).alias("path"))
-    return items, reject(judged.where(F.col("code").isNotNull()), "manifest", F.col("code"), F.col("message"))
+    judged = once(found, code=code, message=message)
+    items = once(judged.where(F.col("code").isNull()), path=resolved_uri(F.col("video_uri"), folder))
+    return items.select(*FIELDS, "context", "metadata", "path"), reject(judged.where(F.col("code").isNotNull()), "manifest", F.col("code"), F.col("message"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -15,6 +15,10 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
+def optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().lower().replace("parsejson", "parse_json")
+
+
 def test_response_schemas_read_their_chunks_once(spark):
     assert "Join" not in plan_of(catalog.QUERIES["response_schemas"](spark, FOLDER))
 
@@ -25,3 +29,19 @@ def test_ranges_are_not_broadcast_to_frames(spark):
     inside = sampling.frames_in_ranges(ranges, frames, 5)
     assert "Broadcast" not in plan_of(inside)
     assert sorted((r.chunk_id, r.pts_ms) for r in inside.collect()) == [("c0", 3), ("c0", 8), ("c1", 8)]
+
+
+def test_a_value_made_once_is_not_copied_into_its_uses(spark):
+    rows = once(spark.createDataFrame([('{"a":1}',), ("x",)], "value string"), json=F.try_parse_json("value"))
+    used = rows.withColumn("n", F.try_variant_get("json", "$.a", "int")).where("n = 1 or json is null").select("n", F.to_json("json").alias("j"))
+    assert optimised(used).count("parse_json") == 1
+    assert sorted(map(tuple, used.collect()), key=repr) == [(1, '{"a":1}'), (None, None)]
+
+
+def test_manifest_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([('{"video_id":"v","video_uri":"a/../b.mp4","dataset_id":"d","schema_version":"s","ontology_id":"o"}',), ("{oops",), (" ",)], "value string")
+    items, bad = manifest.parse_manifest(lines, "/data")
+    for found in (items.where("path like '/data/%'"), bad.groupBy("code").count()):
+        assert optimised(found).count("parse_json") <= 1
+    assert [tuple(r) for r in items.collect()] == [("v", "a/../b.mp4", "d", "s", "o", "{}", "{}", "/data/b.mp4")]
+    assert [r.code for r in bad.collect()] == ["not_json"]
