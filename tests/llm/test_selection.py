@@ -260,3 +260,19 @@ def test_letters_outside_ascii_have_classes():
     of = lambda t: quality.grams(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[-1]
     letters = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþß"
     assert len({of(x) for x in letters}) == len(letters) and of("é") == of("É") and len({of(x) for x in "абвгд"}) == 5
+
+
+def test_every_language_has_its_own_model(spark, monkeypatch):
+    """More languages than are held at once: each is scored by its own model, as if it were alone, and every row is there once."""
+    r = np.random.default_rng(8)
+    letters = {"aa": "abcde", "bb": "efghi", None: "klmno", "cc": "pqrst", "dd": "uvwxy"}
+    rows = [(i * 30 + k, " ".join("".join(r.choice(list(letters[x]), 4)) for _ in range(60)), x) for i, x in enumerate(letters) for k in range(25)]
+    rows += [(900, "zq " * 70, "few"), (901, None, "few"), (902, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    rounded = lambda found: {x.doc_id: tuple(round(v, 6) if isinstance(v, float) else v for v in x) for x in found}
+    whole = rounded(quality.judge(docs).collect())
+    monkeypatch.setattr(quality, "LANGUAGES", 2)
+    found = quality.judge(docs).collect()
+    assert sorted(x.doc_id for x in found) == sorted(i for i, _, _ in rows)
+    assert rounded(found) == whole
+    assert sorted(x.doc_id for x in quality.keep_good(docs).collect()) == sorted(x.doc_id for x in found if x.kept)
