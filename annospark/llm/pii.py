@@ -109,12 +109,14 @@ def signs(found: DataFrame, text: str = "text") -> DataFrame:
 
 
 def units(found: DataFrame, text: str = "held") -> DataFrame:
-    """``rid, unit, first``: the unit that a row belongs to, and whether it stands for it. Equal texts are one unit, and so are
-    rows whose entities have the same surroundings. ``found`` has ``rid, base, sum`` (a hash of the text) and the text of rows with spans."""
+    """``rid, unit, first, own, texts``: the unit that a row belongs to, whether it stands for it, whether it stands for its text
+    there, and the unit's number of different texts. Equal texts are one unit, and so are rows whose entities have the same surroundings. ``found`` has ``rid, base, sum`` (a hash of the text) and the text of rows with spans."""
     unit = F.coalesce("sign", "sum")
-    rows = found.select("rid", "sum").distinct().join(signs(found, text), "rid", "left").select("rid", unit.alias("unit"))
-    heads = rows.groupBy("unit").agg(F.min("rid").alias("head"))
-    return rows.join(heads, "unit").select("rid", "unit", (F.col("rid") == F.col("head")).alias("first"))
+    rows = found.select("rid", "sum").distinct().join(signs(found, text), "rid", "left").select("rid", "sum", unit.alias("unit"))
+    each = rows.groupBy("unit", "sum").agg(F.min("rid").alias("own"))
+    heads = each.groupBy("unit").agg(F.min("own").alias("head"), F.count("*").alias("texts"))
+    held = rows.join(each, ["unit", "sum"]).join(heads, "unit")
+    return held.select("rid", "unit", (F.col("rid") == F.col("head")).alias("first"), (F.col("rid") == F.col("own")).alias("own"), "texts")
 
 
 def _distinct_terms(text: Column) -> Column:
@@ -136,26 +138,28 @@ def _outside(text: Column, base: Column) -> Column:
 def disclosing_terms(docs: DataFrame, found: DataFrame, unit: DataFrame, text: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """``entity, term, share``: terms that disclose an entity, from the rows ``found`` (``rid, base, held``) and the texts ``docs`` (``rid`` and text).
 
-    All counts are of units, and of a unit the row that stands for it is read, so neither repetition in a text nor copies of
-    it are evidence or hide any. With N units, of which df(e) hold the entity and df(t) the term, and c that hold both:
+    All counts are of units, and a unit holds what any of its texts holds, so neither repetition in a text nor copies of
+    it are evidence or hide any, and no text is left out. With N units, of which df(e) hold the entity and df(t) the term, and c that hold both:
     share = log(N c / (df(e) df(t))) / log(N / df(e)), at most 1.
     """
-    own = found.where(F.size("base") > 0).join(unit.where("first").select("rid"), "rid", "left_semi").dropDuplicates(["rid"])
-    own = stored(own.select("rid", entities(F.col("base")).alias("entities"), _distinct_terms(_outside(F.col("held"), F.col("base"))).alias("terms")), "pii-own")
-    holders = stored(own.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= support), "pii-holders")
-    held = own.select("rid", F.explode("entities").alias("entity")).join(fitted(holders.select("entity")), "entity", "left_semi")
-    pairs = held.join(own.select("rid", "terms"), "rid").select("entity", F.explode("terms").alias("term"))
+    own = found.where(F.size("base") > 0).join(unit.where("own").select("rid", "unit", "first", "texts"), "rid").dropDuplicates(["rid"])
+    own = stored(own.select("unit", "first", "texts", entities(F.col("base")).alias("entities"), _distinct_terms(_outside(F.col("held"), F.col("base"))).alias("terms")), "pii-own")
+    # the rows of a unit have the same entities
+    holders = stored(own.where("first").select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= support), "pii-holders")
+    held = own.where("first").select("unit", F.explode("entities").alias("entity")).join(fitted(holders.select("entity")), "entity", "left_semi")
+    pairs = held.join(own.where("texts = 1").select("unit", "terms"), "unit").select("entity", F.explode("terms").alias("term"))
+    pairs = pairs.union(held.join(own.where("texts > 1").select("unit", F.explode("terms").alias("term")).distinct(), "unit").select("entity", "term"))
     both = stored(pairs.groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= support), "pii-pairs")
     total = max(1, unit.where("first").count())
     wanted = stored(both.select("term").distinct(), "pii-terms")
     if wanted.isEmpty():
         return both.select("entity", "term", F.lit(0.0).alias("share"))
-    # rows that stand for no unit are left out, rows that are there several times with the same key count once
+    # rows that only repeat a text of their unit are left out, units of several texts and rows that are there several times with the same key count once
     times = docs.groupBy("rid").agg(F.count("*").alias("times"))
-    odd = stored(unit.join(times, "rid").where("not first or times > 1").select("rid", "first"), "pii-odd")
+    odd = stored(unit.join(times, "rid").where("not own or texts > 1 or times > 1").select("rid", "unit", "own"), "pii-odd")
     texts = docs.join(fitted(odd), "rid", "left")
-    every = lambda rows: rows.select("rid", F.explode(_distinct_terms(F.col(text))).alias("term")).join(fitted(wanted), "term", "left_semi")
-    single, repeated = every(texts.where(F.col("first").isNull())).groupBy("term").agg(F.count("*").alias("n")), every(texts.where("first")).distinct().groupBy("term").agg(F.count("*").alias("n"))
+    every = lambda rows: rows.select("unit", F.explode(_distinct_terms(F.col(text))).alias("term")).join(fitted(wanted), "term", "left_semi")
+    single, repeated = every(texts.where(F.col("own").isNull())).groupBy("term").agg(F.count("*").alias("n")), every(texts.where("own")).distinct().groupBy("term").agg(F.count("*").alias("n"))
     spread = single.union(repeated).groupBy("term").agg(F.sum("n").alias("df_t"))
     known = both.join(spread, "term").join(holders, "entity")
     content = F.log(F.lit(float(total)) / F.col("df_e"))

@@ -193,3 +193,14 @@ def test_hashes_travel_whole():
         for p in np.unique(part).tolist():
             own, begin = x[part == p], lm_score.part_begin(p, parts)
             assert (lm_score.summed(lm_score.stepped(own, begin), begin) == own).all()
+
+
+def test_texts_that_differ_beyond_their_entities_surroundings_are_all_read(spark):
+    """Long texts with the same surroundings are one unit, which holds the terms of each of them."""
+    near = "same words " * 30
+    rows = [(100 * u + k, f"Alpha{'' if k else ' Zorblax'} start {k} {near} {u}u {'abcde'[u]}{u}@{'abcde'[u]}host{u}.org {u}u {near} end") for u in range(5) for k in range(6)]
+    rows += [(9000 + i, f"plain words said {i}") for i in range(200)]
+    rows.append((9999, "here Zorblax is named"))
+    found = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [t.entity for t in found[9999].terms] == ["Zorblax"]
+    assert all([t.entity for t in found[100 * u].terms if t.entity == "Zorblax"] == ["Zorblax"] for u in range(5))
