@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import finite, half_even
+from ..functions.once import once
 from ..sources.manifest import reject
 
 PROBE = "struct<streams:array<struct<width:string,height:string,avg_frame_rate:string,duration:string,start_time:string>>,format:struct<duration:string>,frames:array<struct<best_effort_timestamp_time:string>>>"
@@ -48,8 +49,8 @@ def normalise(probes: DataFrame, column: str = "probe") -> tuple[DataFrame, Data
     Durations come from the stream, else the container. Frame times count from the stream's start or else the earliest
     frame; earlier ones go; they are distinct and ascending. Rates come from the stream, else from the median gap.
     """
-    parsed = probes.withColumn("p", F.from_json(column, PROBE)).withColumn("stream", F.try_element_at("p.streams", F.lit(1)))
-    rows = parsed.withColumn("pts", _frame_times(F.col("p.frames"), F.col("stream.start_time")))
+    parsed = once(probes.select("video_id", F.col(column)), p=F.from_json(column, PROBE)).withColumn("stream", F.try_element_at("p.streams", F.lit(1)))
+    rows = once(parsed, pts=_frame_times(F.col("p.frames"), F.col("stream.start_time")))
     rows = rows.withColumn("duration_ms", F.coalesce(_duration(F.col("stream.duration")), _duration(F.col("p.format.duration"))))
     rows = rows.withColumn("nominal_fps", F.coalesce(_rate(F.col("stream.avg_frame_rate")), _let(_median_gap(F.col("pts")), lambda gap: F.when(gap > 0, F.lit(1000.0) / gap))))
     rows = rows.withColumn("width", F.col("stream.width").try_cast("int")).withColumn("height", F.col("stream.height").try_cast("int"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import is_integer
+from ..functions.once import once
 from ..sources.contract import Contract
 from ..sources.manifest import reject
 from .values import value_problems
@@ -48,8 +49,9 @@ def _get(path: str, kind: str = "variant") -> Column:
     return F.try_variant_get("json", path, kind)
 
 
-def _keys_fault(text: Column, wanted: list[str]) -> Column:
-    keys, names = F.json_object_keys(text), F.array(*map(F.lit, wanted))
+def _keys_fault(keys: Column, wanted: list[str]) -> Column:
+    """What is wrong with an object's keys; they are null where there is no object."""
+    names = F.array(*map(F.lit, wanted))
     extra, missing = F.array_sort(F.array_except(keys, names)), F.array_sort(F.array_except(names, keys))
     return F.when(keys.isNull(), F.lit("no object")).when(F.size(extra) > 0, F.concat(F.lit("unexpected: "), F.array_join(extra, ", "))).when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
 
@@ -76,26 +78,34 @@ def coarse_segments(answered: DataFrame, contract: Contract) -> tuple[DataFrame,
     their form and every segment for its own; times are integers as such, ``0 <= start < end <= duration``, and evidence
     lies in the clip. Rejects name the segment.
     """
-    rows = answered.withColumn("json", F.try_parse_json("response"))
-    rows = rows.withColumn("fault", F.coalesce(_keys_fault(F.col("response"), ["task_summary", "segments"]), F.when(_kind(_get("$.task_summary")) != "STRING", "task_summary").when(F.length(_get("$.task_summary", "string")) == 0, "task_summary").when(~_kind(_get("$.segments")).startswith("ARRAY"), "segments"), F.when(F.col("json").isNull(), "no JSON")))
+    rows = once(answered.select("request_id", "video_id", "media_start_ms", "media_end_ms", "response"), json=F.try_parse_json("response"), keys=F.json_object_keys("response"))
+    rows = once(rows, fault=F.coalesce(_keys_fault(F.col("keys"), ["task_summary", "segments"]), F.when(_kind(_get("$.task_summary")) != "STRING", "task_summary").when(F.length(_get("$.task_summary", "string")) == 0, "task_summary").when(~_kind(_get("$.segments")).startswith("ARRAY"), "segments"), F.when(F.col("json").isNull(), "no JSON")))
     bad = reject(rows.where(F.col("fault").isNotNull()), "coarse", "bad_response", F.col("fault"), item=F.col("request_id"))
     each = rows.where(F.col("fault").isNull()).select("request_id", "video_id", "media_start_ms", "media_end_ms", _get("$.task_summary", "string").alias("task_summary"), F.posexplode(_get("$.segments", "array<variant>")).alias("pos", "json"))
-    text = F.to_json("json")
     duration = F.col("media_end_ms") - F.col("media_start_ms")
-    start, end = _get("$.start_ms", "bigint"), _get("$.end_ms", "bigint")
-    evidence, values = _get("$.evidence_timestamps_ms", "array<bigint>"), _strings_only(_get("$.values"))
-    form = F.coalesce(
-        _keys_fault(text, SEGMENT_KEYS),
+    wrong = (
         F.when(F.coalesce(_kind(_get("$.segment_id")) != "STRING", F.lit(True)) | (F.length(_get("$.segment_id", "string")) == 0), "segment_id")
         .when(F.coalesce(_kind(_get("$.sentence")) != "STRING", F.lit(True)) | (F.length(_get("$.sentence", "string")) == 0), "sentence")
         .when(~is_integer(_get("$.start_ms")), "start_ms")
         .when(~is_integer(_get("$.end_ms")), "end_ms")
-        .when(_times_fault(_get("$.evidence_timestamps_ms")), "evidence_timestamps_ms"),
+        .when(_times_fault(_get("$.evidence_timestamps_ms")), "evidence_timestamps_ms")
     )
-    bounds = F.when((start < 0) | (end <= start) | (end > duration), "bounds").when(F.exists(evidence, lambda t: (t < 0) | (t >= duration)), "evidence outside the clip")
-    problems = value_problems(values, contract)
-    judged = each.withColumn("code", F.when(form.isNotNull(), "bad_segment").when(bounds.isNotNull(), "bad_bounds").when(F.size(problems) > 0, "bad_values")).withColumn("message", F.coalesce(form, bounds, F.array_join(problems, "; ")))
-    judged = judged.withColumn("segment_id", _get("$.segment_id", "string"))
+    each = once(
+        each,
+        keys=F.json_object_keys(F.to_json("json")),
+        wrong=wrong,
+        segment_id=_get("$.segment_id", "string"),
+        sentence=_get("$.sentence", "string"),
+        start=_get("$.start_ms", "bigint"),
+        end=_get("$.end_ms", "bigint"),
+        evidence=_get("$.evidence_timestamps_ms", "array<bigint>"),
+        values=_strings_only(_get("$.values")),
+    )
+    start, end = F.col("start"), F.col("end")
+    bounds = F.when((start < 0) | (end <= start) | (end > duration), "bounds").when(F.exists("evidence", lambda t: (t < 0) | (t >= duration)), "evidence outside the clip")
+    judged = once(each, form=F.coalesce(_keys_fault(F.col("keys"), SEGMENT_KEYS), F.col("wrong")), bounds=bounds, problems=value_problems(F.col("values"), contract))
+    code = F.when(F.col("form").isNotNull(), "bad_segment").when(F.col("bounds").isNotNull(), "bad_bounds").when(F.size("problems") > 0, "bad_values")
+    judged = judged.withColumn("code", code).withColumn("message", F.coalesce("form", "bounds", F.array_join("problems", "; ")))
     shifted = judged.where(F.col("code").isNull()).select(
         "request_id",
         "video_id",
@@ -104,9 +114,9 @@ def coarse_segments(answered: DataFrame, contract: Contract) -> tuple[DataFrame,
         "segment_id",
         (start + F.col("media_start_ms")).alias("start_ms"),
         (end + F.col("media_start_ms")).alias("end_ms"),
-        values.alias("values"),
-        _get("$.sentence", "string").alias("sentence"),
-        F.transform(evidence, lambda t: t + F.col("media_start_ms")).alias("evidence"),
+        "values",
+        "sentence",
+        F.transform("evidence", lambda t: t + F.col("media_start_ms")).alias("evidence"),
         F.col("media_start_ms").alias("chunk_start_ms"),
         F.col("media_end_ms").alias("chunk_end_ms"),
     )
@@ -123,14 +133,18 @@ def boundaries(answered: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A boundary may lie on either end of its window; evidence lies before the window's end. Ids and kinds must be those asked for.
     """
-    rows = answered.withColumn("json", F.try_parse_json("response"))
+    rows = once(answered.select("request_id", "video_id", "segment_id", "kind", "media_start_ms", "media_end_ms", "response"), json=F.try_parse_json("response"), keys=F.json_object_keys("response"))
     length = F.col("media_end_ms") - F.col("media_start_ms")
-    at, evidence = _get("$.boundary_ms", "bigint"), _get("$.evidence_timestamps_ms", "array<bigint>")
-    form = F.coalesce(F.when(F.col("json").isNull(), "no JSON"), _keys_fault(F.col("response"), BOUNDARY_KEYS), F.when(~is_integer(_get("$.boundary_ms")), "boundary_ms").when(_times_fault(_get("$.evidence_timestamps_ms")), "evidence_timestamps_ms"))
+    wrong = F.when(F.col("json").isNull(), "no JSON").when(~is_integer(_get("$.boundary_ms")), "boundary_ms").when(_times_fault(_get("$.evidence_timestamps_ms")), "evidence_timestamps_ms")
     other = F.when(~_get("$.segment_id", "string").eqNullSafe(F.col("segment_id")), "segment_id").when(~_get("$.boundary_kind", "string").eqNullSafe(F.col("kind")), "boundary_kind")
-    bounds = F.when((at < 0) | (at > length), "boundary outside the window").when(F.exists(evidence, lambda t: (t < 0) | (t >= length)), "evidence outside the window")
-    judged = rows.withColumn("code", F.when(form.isNotNull(), "bad_response").when(other.isNotNull(), "other_boundary").when(bounds.isNotNull(), "bad_bounds")).withColumn("message", F.coalesce(form, other, bounds))
-    good = judged.where(F.col("code").isNull()).select("video_id", "segment_id", "kind", (at + F.col("media_start_ms")).alias("boundary_ms"), F.transform(evidence, lambda t: t + F.col("media_start_ms")).alias("evidence"))
+    rows = once(rows, wrong=wrong, other=other, at=_get("$.boundary_ms", "bigint"), evidence=_get("$.evidence_timestamps_ms", "array<bigint>"))
+    at = F.col("at")
+    form = F.coalesce(F.when(F.col("json").isNull(), "no JSON"), _keys_fault(F.col("keys"), BOUNDARY_KEYS), F.col("wrong"))
+    bounds = F.when((at < 0) | (at > length), "boundary outside the window").when(F.exists("evidence", lambda t: (t < 0) | (t >= length)), "evidence outside the window")
+    judged = once(rows, form=form, bounds=bounds)
+    code = F.when(F.col("form").isNotNull(), "bad_response").when(F.col("other").isNotNull(), "other_boundary").when(F.col("bounds").isNotNull(), "bad_bounds")
+    judged = judged.withColumn("code", code).withColumn("message", F.coalesce("form", "other", "bounds"))
+    good = judged.where(F.col("code").isNull()).select("video_id", "segment_id", "kind", (at + F.col("media_start_ms")).alias("boundary_ms"), F.transform("evidence", lambda t: t + F.col("media_start_ms")).alias("evidence"))
     return good, reject(judged.where(F.col("code").isNotNull()), "refine", F.col("code"), F.col("message"), item=F.col("request_id"))
 
 

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from annospark.functions.once import once
-from annospark.operators import sampling
+from annospark.operators import responses, sampling
 from annospark.plans import catalog
+from annospark.plans.annotation_queries import EVENT_CONTRACT
 from annospark.sources import manifest
 
 FOLDER = "/root/testdata/sf0.001"
@@ -45,3 +46,13 @@ def test_manifest_lines_are_parsed_once(spark):
         assert optimised(found).count("parse_json") <= 1
     assert [tuple(r) for r in items.collect()] == [("v", "a/../b.mp4", "d", "s", "o", "{}", "{}", "/data/b.mp4")]
     assert [r.code for r in bad.collect()] == ["not_json"]
+
+
+def test_responses_are_parsed_once(spark):
+    segment = '{"segment_id":"s","start_ms":0,"end_ms":%s,"values":{"action":"view"},"sentence":"x","evidence_timestamps_ms":[1]}'
+    texts = ['{"task_summary":"t","segments":[' + segment % end + "]}" for end in ("5", "5.0", "11")] + ["{oops"]
+    answered = spark.createDataFrame([(f"r{i}", f"v{i}", 0, 10, t) for i, t in enumerate(texts)], "request_id string, video_id string, media_start_ms long, media_end_ms long, response string")
+    good, bad = responses.coarse_segments(answered, EVENT_CONTRACT)
+    assert optimised(good).count("parse_json") == 1 and optimised(bad).count("parse_json") <= 2
+    assert [(r.video_id, r.start_ms, r.end_ms) for r in good.collect()] == [("v0", 0, 5)]
+    assert sorted((r.video_id, r.code) for r in bad.collect()) == [("v1", "bad_segment"), ("v2", "bad_bounds"), ("v3", "bad_response")]
