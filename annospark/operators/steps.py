@@ -40,6 +40,20 @@ def with_previous(samples: DataFrame, series: list[str], slab_s: int, value: str
     return both.withColumn("before_ts", F.lag(ts).over(order)).withColumn("before_value", F.lag(value).over(order)).where(~F.col("carried")).drop("slab", "carried")
 
 
+def _gain(now: Column, before: Column) -> Column:
+    """What a counter gained since the sample before; one that fell has begun anew from 0."""
+    return F.when(now < before, now).otherwise(now - before)
+
+
+def _dealt(pairs: DataFrame, by: list[str], gains: dict[str, Column], step_s: int, range_s: int, ts: str) -> DataFrame:
+    """``by, at`` and ``gains`` added up: those of samples (with ``before_ts``) that lie with the one before in the range up to the step ``at`` (microseconds)."""
+    step = step_s * _MICROS
+    spans = pairs.select(*by, _at_or_after(F.unix_micros(ts), step).alias("low"), _before(F.unix_micros("before_ts") + range_s * _MICROS, step).alias("high"), *(g.cast("double").alias(n) for n, g in gains.items()))
+    sums = [F.sum(n).alias(n) for n in gains]
+    spans = spans.where("low <= high").groupBy(*by, "low", "high").agg(*sums)
+    return spans.select(*by, *gains, F.explode(F.sequence("low", "high", F.lit(step).cast("bigint"))).alias("at")).groupBy(*by, "at").agg(*sums)
+
+
 def counter_steps(samples: DataFrame, series: list[str], step_s: int, range_s: int, slab_s: int = 86_400, value: str = "value", ts: str = "ts") -> DataFrame:
     """``series, step, increase, rate`` of counters: what each gained within ``range_s`` seconds up to each step, and that by the second.
 
@@ -48,13 +62,8 @@ def counter_steps(samples: DataFrame, series: list[str], step_s: int, range_s: i
     beyond the samples. Increases with the same first and last step are added up before they are dealt to their steps,
     so rows follow the steps and not how dense the samples are.
     """
-    step = step_s * _MICROS
     pairs = with_previous(samples, series, slab_s, value, ts).where("before_ts is not null")
-    gained = F.when(F.col(value) < F.col("before_value"), F.col(value)).otherwise(F.col(value) - F.col("before_value"))
-    spans = pairs.select(*series, _at_or_after(F.unix_micros(ts), step).alias("low"), _before(F.unix_micros("before_ts") + range_s * _MICROS, step).alias("high"), gained.cast("double").alias("gained"))
-    spans = spans.where("low <= high").groupBy(*series, "low", "high").agg(F.sum("gained").alias("gained"))
-    dealt = spans.select(*series, "gained", F.explode(F.sequence("low", "high", F.lit(step).cast("bigint"))).alias("at"))
-    found = dealt.groupBy(*series, "at").agg(F.sum("gained").alias("increase"))
+    found = _dealt(pairs, series, {"increase": _gain(F.col(value), F.col("before_value"))}, step_s, range_s, ts)
     return found.select(*series, F.timestamp_micros("at").alias("step"), "increase", (F.col("increase") / range_s).alias("rate"))
 
 
@@ -63,13 +72,23 @@ def summed_rates(steps: DataFrame, by: list[str]) -> DataFrame:
     return steps.groupBy(*by, "step").agg(F.sum("increase").alias("increase"), F.sum("rate").alias("rate"), F.count("*").alias("series"))
 
 
-def histogram_steps(samples: DataFrame, series: list[str], by: list[str], q: float, step_s: int, range_s: int, slab_s: int = 86_400) -> DataFrame:
+def histogram_steps(samples: DataFrame, series: list[str], by: list[str], q: float, step_s: int, range_s: int, slab_s: int = 86_400, bounds: list[float] | None = None) -> DataFrame:
     """``by, step, value``: the quantile, at each step, of what bucket counters (``series`` and ``le``) gained in the range.
 
-    Buckets of equal bound are added up by ``by`` first. Groups that gained nothing have no row.
+    With ``bounds`` a sample is a whole histogram: ``value`` has the counts of all buckets in order of ``bounds``, there is no ``le``, and
+    samples of one time are in order of their counts, from the first bucket on. Buckets of equal bound are added up by ``by``
+    before they are dealt to steps, so rows follow groups and steps and not the series. Groups that gained nothing have no row.
     """
-    gained = counter_steps(samples, [*dict.fromkeys([*series, *by]), "le"], step_s, range_s, slab_s)
-    return histogram_quantile(gained.select(*by, "step", "le", F.col("increase").alias("count")), q, [*by, "step"])
+    own = [*dict.fromkeys([*series, *by])]
+    if bounds is None:
+        pairs = with_previous(samples, [*own, "le"], slab_s).where("before_ts is not null")
+        found = _dealt(pairs, [*by, "le"], {"count": _gain(F.col("value"), F.col("before_value"))}, step_s, range_s, "ts")
+    else:
+        pairs = with_previous(samples, own, slab_s).where("before_ts is not null")
+        sums = _dealt(pairs, by, {f"bucket_{i}": _gain(F.get("value", F.lit(i)), F.get("before_value", F.lit(i))) for i in range(len(bounds))}, step_s, range_s, "ts")
+        buckets = F.array(*(F.struct(F.lit(float(le)).alias("le"), F.col(f"bucket_{i}").alias("count")) for i, le in enumerate(bounds)))
+        found = sums.select(*by, "at", F.inline(buckets))
+    return histogram_quantile(found.select(*by, F.timestamp_micros("at").alias("step"), "le", "count"), q, [*by, "step"])
 
 
 def gauge_steps(samples: DataFrame, series: list[str], step_s: int, lookback_s: int, value: str = "value", ts: str = "ts") -> DataFrame:

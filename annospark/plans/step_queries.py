@@ -39,10 +39,13 @@ def step_rates(spark, sf_dir):
   SELECT event_type, step, round(CASE WHEN le = 'inf'::DOUBLE THEN low ELSE low + (le - low) * (0.9 * total - under) / (n - under) END, 6) AS value FROM h WHERE nth = 1""")
 def step_quantiles(spark, sf_dir):
     """The 0.9 quantile of what bucket counters gained in a week, by day."""
-    bounds = F.explode(F.array(*(F.lit(float(x)) for x in (1, 5, 20, 50, "inf")))).alias("le")
-    order = Window.partitionBy("user_id", "event_type", "le").orderBy("ts", "event_id")
-    rows = _samples(spark, sf_dir).select("*", bounds).withColumn("value", F.count_if(F.col("value") <= F.col("le")).over(order).cast("double"))
-    found = steps.histogram_steps(rows, ["user_id", "event_type"], ["event_type"], 0.9, DAY, 7 * DAY, 3 * DAY)
+    bounds = [1.0, 5.0, 20.0, 50.0, float("inf")]
+    order = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    counts = F.array(*(F.count_if(F.col("value") <= le).over(order).cast("double") for le in bounds))
+    # by number, so that these partitions stay: put together by their compressed size, they would be large where they are sorted
+    dealt = _samples(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "user_id", "event_type")
+    rows = dealt.select("user_id", "event_type", "ts", counts.alias("value"))
+    found = steps.histogram_steps(rows, ["user_id", "event_type"], ["event_type"], 0.9, DAY, 7 * DAY, 3 * DAY, bounds)
     return _shown(found, F.round("value", 6).alias("value"))
 
 

@@ -1,9 +1,15 @@
 """Steps that must grow with their input: nothing large is broadcast, nothing costly is computed again for every use."""
 
+import itertools
+import random
+from collections import defaultdict
+from datetime import datetime, timezone
+
+import pytest
 from pyspark.sql import functions as F
 
 from annospark.functions.once import once
-from annospark.operators import responses, sampling
+from annospark.operators import responses, sampling, steps
 from annospark.plans import catalog
 from annospark.plans.annotation_queries import EVENT_CONTRACT
 from annospark.sources import manifest
@@ -56,3 +62,36 @@ def test_responses_are_parsed_once(spark):
     assert optimised(good).count("parse_json") == 1 and optimised(bad).count("parse_json") <= 2
     assert [(r.video_id, r.start_ms, r.end_ms) for r in good.collect()] == [("v0", 0, 5)]
     assert sorted((r.video_id, r.code) for r in bad.collect()) == [("v1", "bad_segment"), ("v2", "bad_bounds"), ("v3", "bad_response")]
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_buckets_are_added_up_before_they_are_dealt_to_steps(spark, whole):
+    rng, bounds = random.Random(4), [1.0, 5.0, float("inf")]
+    rows, counts = [], defaultdict(lambda: [0.0] * 3)
+    for s in sorted(rng.sample(range(9000), 600)):
+        series, kind = rng.randrange(9), rng.choice("ab")
+        if rng.random() < 0.05:
+            counts.pop((series, kind), None)  # begins anew
+        x = rng.random() * 8
+        counts[series, kind] = [n + (x <= le) for n, le in zip(counts[series, kind], bounds)]
+        rows.append((series, kind, datetime.fromtimestamp(1_700_000_000 + s, timezone.utc), counts[series, kind]))
+    table = spark.createDataFrame(rows, "series int, kind string, ts timestamp, value array<double>")
+    each = table.select("series", "kind", "ts", F.posexplode("value").alias("i", "value")).withColumn("le", F.element_at(F.array(*map(F.lit, bounds)), F.col("i") + 1)).drop("i")
+    found = steps.histogram_steps(table if whole else each, ["series", "kind"], ["kind"], 0.9, 60, 600, 300, *([bounds] if whole else []))
+    steps_made = optimised(found).split("generate explode(sequence")[1]
+    assert "aggregate [kind" in steps_made.split("\n")[1] + steps_made.split("\n")[2] and "series" not in "".join(steps_made.split("\n")[1:3])
+    gained = defaultdict(lambda: defaultdict(float))  # by plain loops
+    for (series, kind), own in itertools.groupby(sorted(rows), lambda r: r[:2]):
+        for (_, _, t, u), (_, _, now, v) in itertools.pairwise(own):
+            for step in range(-(-int(now.timestamp()) // 60) * 60, int(t.timestamp()) + 600, 60):
+                for le, a, b in zip(bounds, u, v):
+                    gained[kind, step][le] += b if b < a else b - a
+    want = {}
+    for key, n in gained.items():
+        target, low, under = 0.9 * n[bounds[-1]], 0.0, 0.0
+        for le in bounds:
+            if n[bounds[-1]] and n[le] >= target:
+                want[key] = low if le == bounds[-1] else low + (le - low) * (target - under) / (n[le] - under)
+                break
+            low, under = le, n[le]
+    assert {(r.kind, int(r.step.timestamp())): round(r.value, 9) for r in found.collect()} == {k: round(v, 9) for k, v in want.items()}
