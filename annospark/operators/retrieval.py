@@ -172,27 +172,39 @@ def _dot() -> Column:
     return F.sum(F.col("wq") * F.col("wd")).alias("score")
 
 
+def _floors(scored: DataFrame, plan: DataFrame, docs: DataFrame, top_n: int, many: int) -> DataFrame:
+    """``query_id, floor``: the whole score of the ``top_n``-th best of each query's ``many`` best by ``scored``. Queries with fewer have none."""
+    first = kept(top_by_score(scored, "query_id", many).select("query_id", "doc_id"), "first")
+    whole = top_by_score(_whole_scores(first, plan, docs), "query_id", top_n)
+    return kept(whole.where(F.col("rank") == top_n).select("query_id", F.col("score").alias("floor")), "floors")
+
+
+def _below(most: Column) -> Column:
+    """Whether a score of at most ``most`` can't reach the floor; the margin covers rounding. Without a floor all can."""
+    return F.coalesce(most * (1 + 1e-9) + 2e-6 < F.col("floor"), F.lit(False))
+
+
 def _lexical_candidates(docs: DataFrame, plan: DataFrame, top_n: int, start: int) -> tuple[DataFrame, DataFrame]:
-    """``query_id, doc_id, score`` of all documents that can be in a query's top, and the query tokens that their scores lack: see :func:`lexical_top`."""
+    """``query_id, doc_id, score, rest`` of all documents that can be in a query's top, and the query tokens that their scores lack: see :func:`lexical_top`."""
     begun = plan.where(F.col("before") < start * top_n).join(docs, "token").groupBy("query_id", "doc_id").agg(_dot())
-    first = top_by_score(begun, "query_id", start * top_n).select("query_id", "doc_id")
-    whole = top_by_score(_whole_scores(first, plan, docs), "query_id", top_n)
-    floors = whole.where(F.col("rank") == top_n).select("query_id", F.col("score").alias("floor"))
-    planned = plan.join(kept(floors, "floors"), "query_id", "left")
-    # what is left out can't reach the floor even if all bounds are met; the margin covers rounding
-    short = F.coalesce(F.col("reach") * (1 + 1e-9) + 2e-6 < F.col("floor"), F.lit(False))
-    planned = planned.withColumn("rest", F.coalesce(F.max(F.when(short, F.col("reach"))).over(Window.partitionBy("query_id")), F.lit(0.0)))
-    met = planned.where(~short).join(docs, "token").groupBy("query_id", "doc_id").agg(_dot(), F.first("floor").alias("floor"), F.first("rest").alias("rest"))
-    enough = F.col("floor").isNull() | ((F.col("score") + F.col("rest")) * (1 + 1e-9) + 2e-6 >= F.col("floor"))
-    return met.where(enough).select("query_id", "doc_id", "score"), kept(planned.where(short).select("query_id", "token", "wq"), "short")
+    planned = plan.join(_floors(begun, plan, docs, top_n, start * top_n), "query_id", "left").withColumn("short", _below(F.col("reach")))
+    # kept, so that its size is known and the postings need not be dealt by token
+    planned = kept(planned.withColumn("rest", F.coalesce(F.max(F.when(F.col("short"), F.col("reach"))).over(Window.partitionBy("query_id")), F.lit(0.0))), "planned")
+    met = planned.where("not short").join(docs, "token").groupBy("query_id", "doc_id").agg(_dot(), F.first("floor").alias("floor"), F.first("rest").alias("rest"))
+    return met.where(~_below(F.col("score") + F.col("rest"))).select("query_id", "doc_id", "score", "rest"), planned.where("short").select("query_id", "token", "wq")
+
+
+def _of_documents(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The postings of the documents of ``pairs``, so that no others are moved to them."""
+    return docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
 
 
 def _whole_scores(pairs: DataFrame, plan: DataFrame, docs: DataFrame) -> DataFrame:
-    weights = pairs.select("query_id", "doc_id").join(plan.select("query_id", "token", "wq"), "query_id").join(docs, ["doc_id", "token"])
+    weights = pairs.select("query_id", "doc_id").join(plan.select("query_id", "token", "wq"), "query_id").join(_of_documents(docs, pairs), ["doc_id", "token"])
     return weights.groupBy("query_id", "doc_id").agg(_dot()).withColumn("score", F.round("score", 6))
 
 
-def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, start: int = 4) -> DataFrame:
+def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, start: int = 4, stored: bool = False) -> DataFrame:
     """``query_id, doc_id, score, rank``: each query's ``top_n`` documents by ``lexical_scores``, exactly, without scoring all pairs.
 
     Weights are above 0, one row for each text and token; rows with a null or another weight are left out. A token can add at most
@@ -200,22 +212,27 @@ def lexical_top(query_weights: DataFrame, doc_weights: DataFrame, top_n: int, st
     times ``top_n`` postings; any number gives the same result) are scored first, which gives a floor that the last of the top
     must reach. Tokens whose bounds, added up from the most frequent one, stay below the floor can't lift a document into
     the top by themselves: only documents with another token of the query are met, and only those whose score so far can still
-    reach the floor with the bounds of what was left out are joined to the rest of their tokens. Ties go to the smaller ``doc_id``; scores are compared as
+    reach the floor with the bounds of what was left out are kept. The best of these by their score so far are scored whole, which
+    gives a higher floor, and what can reach that is joined to the rest of its tokens. Ties go to the smaller ``doc_id``; scores are compared as
     rounded to six digits, since sums depend on their order. A query that shares no token with any document has no rows.
-    Intermediate tables are written once below ``spark.checkpoint.dir``.
+    Intermediate tables are written once below ``spark.checkpoint.dir``; ``stored`` postings (of the queries' tokens, read from storage) are not written again.
     """
-    docs, plan = _lexical_plan(query_weights, doc_weights)
+    docs, plan = _lexical_plan(query_weights, doc_weights, stored)
     met, short = _lexical_candidates(docs, plan, top_n, start)
     met = kept(met, "candidates")
-    more = met.select("query_id", "doc_id").join(short, "query_id").join(docs, ["doc_id", "token"]).select("query_id", "doc_id", (F.col("wq") * F.col("wd")).alias("score"))
-    whole = met.union(more).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score"))
+    likely = met.join(_floors(met, plan, docs, top_n, start * top_n), "query_id", "left").where(~_below(F.col("score") + F.col("rest")))
+    likely = kept(likely.select("query_id", "doc_id", "score"), "likely")
+    more = likely.select("query_id", "doc_id").join(short, "query_id").join(_of_documents(docs, likely), ["doc_id", "token"]).select("query_id", "doc_id", (F.col("wq") * F.col("wd")).alias("score"))
+    whole = likely.union(more).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score"))
     return top_by_score(whole, "query_id", top_n)
 
 
-def _lexical_plan(query_weights: DataFrame, doc_weights: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings, and the queries' tokens with their postings so far from the rarest one and bounds so far from the most frequent one."""
-    docs = kept(doc_weights.where("weight > 0").select("doc_id", "token", F.col("weight").cast("double").alias("wd")), "postings")
+def _lexical_plan(query_weights: DataFrame, doc_weights: DataFrame, stored: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Postings of the queries' tokens, and these with their postings so far from the rarest one and bounds so far from the most frequent one."""
     asked = query_weights.where("weight > 0").select("query_id", "token", F.col("weight").cast("double").alias("wq"))
+    docs = doc_weights.where("weight > 0").select("doc_id", "token", F.col("weight").cast("double").alias("wd"))
+    if not stored:
+        docs = kept(docs.join(asked.select("token").distinct(), "token", "left_semi").select("doc_id", "token", "wd"), "postings")
     lists = docs.groupBy("token").agg(F.count("*").alias("df"), F.max("wd").alias("most"))
     rare_first = Window.partitionBy("query_id").orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
     frequent_first = Window.partitionBy("query_id").orderBy(F.desc("df"), F.desc("token")).rowsBetween(Window.unboundedPreceding, 0)

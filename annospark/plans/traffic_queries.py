@@ -221,8 +221,12 @@ def lexical_scores(spark, sf_dir):
     return retrieval.lexical_scores(t.where("item_id % 20 = 0").withColumnRenamed("item_id", "query_id"), t.withColumnRenamed("item_id", "doc_id"), hot_salt=4)
 
 
-def _word_counts(texts, key):
-    return texts.select(key, F.explode(F.split("text", " ")).alias("token")).where("token <> ''").groupBy(key, "token").agg(F.count("*").alias("n"))
+def _word_counts(texts, key, asked=None):
+    """How often a text has each word; with ``asked``, only of its ``token``, before any are counted."""
+    words = texts.select(key, F.explode(F.split("text", " ")).alias("token")).where("token <> ''")
+    if asked is not None:
+        words = words.join(asked.select("token").distinct(), "token", "left_semi")
+    return words.groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
 @query("""WITH d AS (SELECT doc_id, token, count(*) / (count(*) + 1.0::DOUBLE) AS wd FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents) WHERE token <> '' GROUP BY 1, 2),
@@ -231,13 +235,14 @@ def _word_counts(texts, key):
   s AS (SELECT item_id AS query_id, doc_id, round(sum(wq * wd), 6) AS score FROM q JOIN d USING (token) GROUP BY 1, 2)
   SELECT query_id, doc_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 10""")
 def lexical_search(spark, sf_dir):
-    """The ten best documents for each benchmark item, rare words first."""
+    """The ten best documents for each benchmark item, rare words first. Words that no item has add to no score and are not counted."""
     documents = a.table(spark, sf_dir, "documents")
-    docs = kept(_word_counts(documents, "doc_id"), "words")
+    asked = kept(_word_counts(a.table(spark, sf_dir, "benchmark"), "item_id"), "asked")
+    docs = kept(_word_counts(documents, "doc_id", asked), "words")
     idf = docs.groupBy("token").agg(F.count("*").alias("df")).crossJoin(F.broadcast(documents.agg(F.count("*").alias("all"))))  # one row
     idf = idf.select("token", F.log(1 + F.col("all") / F.col("df")).alias("idf"))
-    asked = _word_counts(a.table(spark, sf_dir, "benchmark"), "item_id").join(idf, "token")
-    return retrieval.lexical_top(asked.select(F.col("item_id").alias("query_id"), "token", (F.col("n") * F.col("idf")).alias("weight")), docs.select("doc_id", "token", (F.col("n") / (F.col("n") + 1)).alias("weight")), 10)
+    weighed = asked.join(idf, "token").select(F.col("item_id").alias("query_id"), "token", (F.col("n") * F.col("idf")).alias("weight"))
+    return retrieval.lexical_top(weighed, docs.select("doc_id", "token", (F.col("n") / (F.col("n") + 1)).alias("weight")), 10, stored=True)
 
 
 @query("""SELECT request_id, i::INT AS index, 'l' || (list_position(p, list_max(p)) - 1) AS label, round(list_max(p), 6) AS prob, 4 AS num_classes FROM (SELECT vec_id AS request_id, unnest([0, 1]) AS i, unnest([embedding[1:4]::DOUBLE[], embedding[5:8]::DOUBLE[]]) AS p FROM embeddings)""")

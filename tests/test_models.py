@@ -165,3 +165,22 @@ def test_contracts_of_a_table_judge_as_one_contract_does(spark):
         own = rows.where(F.col("schema_version") == c.schema_id).withColumn("p", values.value_problems(F.col("values"), c))
         assert {(r.i, c.schema_id): r.p for r in own.collect()} == {k: v for k, v in got.items() if k[1] == c.schema_id}
     assert got[0, "c"] == ["unknown schema: c"] and got[3, None] == ["unknown schema: "]
+
+
+def test_only_postings_that_queries_ask_for_are_kept(spark):
+    queries = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (2, "c", None)], "query_id int, token string, weight double")
+    postings = spark.createDataFrame([(d, t, 1.0) for d in range(3) for t in "abcd"], "doc_id int, token string, weight double")
+    table, _ = retrieval._lexical_plan(queries, postings)
+    assert sorted((x.doc_id, x.token) for x in table.collect()) == [(d, t) for d in range(3) for t in "ab"]
+
+
+def test_a_second_floor_leaves_few_documents_to_score_whole(spark, monkeypatch):
+    """Documents with the rarest word lack the others, so that the first floor is low; a better one comes from what is met with it."""
+    queries = spark.createDataFrame([(1, "rare", 1.0), (1, "mid", 3.0), (1, "the", 0.5)], "query_id int, token string, weight double")
+    rows = [(d, "rare", 1.0) for d in range(4)] + [(d, "mid", 1.0 if d < 20 else 0.4) for d in range(10, 400)] + [(d, "the", 1.0) for d in range(800)]
+    postings = spark.createDataFrame(rows, "doc_id int, token string, weight double")
+    written, kept = {}, retrieval.kept
+    monkeypatch.setattr(retrieval, "kept", lambda df, name: written.setdefault(name if name not in written else f"{name} {len(written)}", kept(df, name)))
+    found = retrieval.lexical_top(queries, postings, 2, 2).orderBy("rank").collect()
+    assert [(x.doc_id, x.score) for x in found] == [(10, 3.5), (11, 3.5)]
+    assert written["candidates"].count() > 300 and written["likely"].count() == 10
