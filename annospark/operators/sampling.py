@@ -140,6 +140,33 @@ def frames_in_ranges(ranges: DataFrame, frames: DataFrame, bin_ms: int, start: s
     return binned.hint("merge").join(placed, ["video_id", "bin"]).where((F.col("pts_ms") >= F.col(start)) & (F.col("pts_ms") < F.col(end))).drop("bin")
 
 
+def frames_of_targets(inside: DataFrame, fps: float, by: list[str], start: str = "chunk_start_ms", end: str = "chunk_end_ms") -> DataFrame:
+    """The rows of ``inside`` (distinct ``pts_ms`` of ranges, each range one of ``by``) that are nearest to a target of their range, the earlier one on a tie.
+
+    A frame has the targets from the middle to the frame before, which is left out, up to the middle to the frame after. Rows are
+    judged one by one with these two, so nothing grows with the targets, nor a task with a range. Ranges that can't be sampled have none.
+    """
+    order = Window.partitionBy(*by).orderBy("pts_ms")
+    middle = lambda other: F.floor((F.col("pts_ms") + other) / 2)
+    good, _ = guarded(inside, fps, start, end, start)
+    names = inside.columns
+    near = good.withColumn("above", middle(F.lag("pts_ms").over(order))).withColumn("up_to", middle(F.lead("pts_ms").over(order)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds = np.stack([batch.column(start).to_numpy(), batch.column(end).to_numpy()], axis=1)
+            ranges, of = np.unique(bounds, axis=0, return_inverse=True)
+            rows = np.split(np.argsort(of, kind="stable"), np.cumsum(np.bincount(of, minlength=len(ranges)))[:-1])
+            above, up_to = batch.column("above").fill_null(-(1 << 62)).to_numpy(), batch.column("up_to").fill_null(1 << 62).to_numpy()
+            chosen = np.zeros(batch.num_rows, bool)
+            for (s, e), own in zip(ranges.tolist(), rows):
+                at = target_times(s, e, fps)
+                chosen[own] = np.searchsorted(at, up_to[own], "right") > np.searchsorted(at, above[own], "right")
+            yield batch.filter(pa.array(chosen)).select(names)
+
+    return near.mapInArrow(run, inside.schema)
+
+
 def ranges_without_frames(ranges: DataFrame, inside: DataFrame) -> DataFrame:
     """Rejects for ranges (``video_id, chunk_id``) in which no frame lies."""
     empty = ranges.join(inside.select("video_id", "chunk_id").distinct(), ["video_id", "chunk_id"], "left_anti")

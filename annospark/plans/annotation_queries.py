@@ -236,11 +236,9 @@ near AS (SELECT DISTINCT t.video_id, t.chunk_id, t.chunk_start_ms, first(p.pts_m
 
 @query(f"{SAMPLES} SELECT video_id, chunk_id, pts_ms AS source_timestamp_ms, pts_ms - chunk_start_ms AS chunk_timestamp_ms FROM near")
 def sample_plan(spark, sf_dir):
-    by = ["video_id", "chunk_id", "chunk_start_ms"]
-    chunks = _chunks(spark, sf_dir)
-    targets = sampling.targets_table(chunks, a.HOURLY_FPS)
-    inside = sampling.frames_in_ranges(chunks, a.frames(spark, sf_dir), a.CHUNK_MS)
-    return sampling.sample_points(sampling.nearest_as_of(targets, inside, by), by).drop("chunk_start_ms")
+    inside = sampling.frames_in_ranges(_chunks(spark, sf_dir), a.frames(spark, sf_dir), a.CHUNK_MS)
+    found = sampling.frames_of_targets(inside, a.HOURLY_FPS, ["video_id", "chunk_id"])
+    return found.select("video_id", "chunk_id", F.col("pts_ms").alias("source_timestamp_ms"), (F.col("pts_ms") - F.col("chunk_start_ms")).alias("chunk_timestamp_ms"))
 
 
 @query(f"{SAMPLES} SELECT video_id, chunk_id, count(*)::INT AS n, string_agg(pts_ms, ',' ORDER BY pts_ms) AS samples FROM near GROUP BY 1, 2")

@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from datetime import datetime, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,21 @@ def test_buckets_are_added_up_before_they_are_dealt_to_steps(spark, whole):
                 break
             low, under = le, n[le]
     assert {(r.kind, int(r.step.timestamp())): round(r.value, 9) for r in found.collect()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_frames_of_targets_are_the_nearest_without_a_row_for_each_target(spark):
+    rng, ranges = random.Random(6), [("v", f"c{i}", s, e) for i, (s, e) in enumerate([(0, 900), (800, 3001), (3000, 3007), (5000, 90_000), (7, 8)])] + [("w", "c0", 0, 900)]
+    pts = {"v": sorted({rng.randrange(95_000) for _ in range(300)} | {0, 1, 7, 899, 3000, 3006}), "w": [450]}
+    table = spark.createDataFrame(ranges, "video_id string, chunk_id string, chunk_start_ms long, chunk_end_ms long")
+    inside = sampling.frames_in_ranges(table, spark.createDataFrame([(v, p) for v, own in pts.items() for p in own], "video_id string, pts_ms long"), 5000)
+    for fps in (0.5, 3.0, 7.3, 240.0):
+        found = sampling.frames_of_targets(inside, fps, ["video_id", "chunk_id"])
+        assert "MapInArrow" in plan_of(found).split("Union")[0] and "Union" not in plan_of(found)
+        want = [(v, c, p) for v, c, s, e in ranges for p in sampling.nearest_frames(np.array(pts[v]), s, e, fps).tolist()]
+        assert sorted((r.video_id, r.chunk_id, r.pts_ms) for r in found.collect()) == sorted(want)
+    assert sampling.frames_of_targets(inside, 300.0, ["video_id", "chunk_id"]).count() == 0  # can't be sampled
+
+
+def test_sample_plan_makes_no_row_for_each_target(spark):
+    plan = plan_of(catalog.QUERIES["sample_plan"](spark, FOLDER))
+    assert plan.index("MapInArrow") < plan.index("Window") and "target_ms" not in plan
